@@ -1,0 +1,52 @@
+"""Compare a Spark result with DuckDB's, by schema, row count and values."""
+
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "date": "DATE", "boolean": "BOOLEAN",
+}
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def _cell(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    return str(value)
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
+
+
+def differences(df, con, sql: str) -> list[str]:
+    """Empty if equal; otherwise what differs."""
+    shape = con.execute(f"describe {sql}").fetchall()
+    expected = sorted((row[0], row[1]) for row in shape)
+    got = sorted((field.name, _TYPES[field.dataType.simpleString()]) for field in df.schema)
+    if got != expected:
+        return [f"schema: spark {got}, duckdb {expected}"]
+    result = con.execute(sql)
+    want = _rows([row[0] for row in shape], result.fetchall())
+    have = _rows(df.columns, df.collect())
+    found = []
+    if len(have) != len(want):
+        found.append(f"rows: spark {len(have)}, duckdb {len(want)}")
+    wrong = [(a, b) for a, b in zip(have, want) if a != b]
+    if wrong:
+        found.append(f"{len(wrong)} rows differ, first: {wrong[:2]}")
+    return found
