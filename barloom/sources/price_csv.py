@@ -14,13 +14,7 @@ FILE_SCHEMA = T.StructType([*CSV_SCHEMA.fields, *_PARTITIONS])
 
 # The header line is read as a row, since Spark binds columns by position and,
 # told to skip a header, would skip the first price of a file that has none.
-# Without column pruning every row is checked whole, whatever the query selects.
-READ_OPTIONS = {
-    "header": "false",
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": "_bad",
-    "columnPruning": "false",
-}
+READ_OPTIONS = {"header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
 
 
 def _is_header(line: Column, header: str) -> Column:
@@ -29,9 +23,13 @@ def _is_header(line: Column, header: str) -> Column:
 
 def rows_of_files(files: DataFrame, header: str = CSV_HEADER) -> DataFrame:
     """A CSV scan (batch or streaming) without its header lines, with the file of each row."""
-    return files.withColumn("source_file", F.col("_metadata.file_path")).where(
-        ~_is_header(F.col("_bad"), header)
-    )
+    # Spark parses only the columns a query uses, and a row is then bad or not
+    # depending on the query. Using every column here makes it the same for all.
+    header_line = _is_header(F.col("_bad"), header)
+    for field in CSV_SCHEMA:
+        if field.name != "_bad":
+            header_line = header_line & F.col(field.name).isNull()
+    return files.withColumn("source_file", F.col("_metadata.file_path")).where(~header_line)
 
 
 def read_prices(spark: SparkSession, path: str, header: str = CSV_HEADER) -> DataFrame:

@@ -93,7 +93,7 @@ def run_daily(
         append_runs(
             this_run.select(
                 "run_id", "run_date", F.lit("failed").alias("status"),
-                F.lit(str(error)[:1000]).alias("reason"),
+                F.lit(str(error)).alias("reason"),
                 zero.alias("rows_in"), zero.alias("rows_ok"), zero.alias("rows_rejected"),
             ),
             runs,
