@@ -40,62 +40,43 @@ def _row_reasons(columns: list[str]) -> Column:
 def classify(
     raw: DataFrame, order: list[str], fetch: list[str] | None = None, salts: int = SALTS
 ) -> DataFrame:
-    """Raw price rows with ``reasons`` (empty = accepted) and ``copies``.
+    """Raw price rows with ``reasons``, why each is rejected; empty if it is accepted.
 
     ``raw`` has ``symbol``, the price CSV columns and optionally ``header_ok``.
     Of the sound rows sharing a (symbol, trade_date) the first by ``order`` is
-    kept; the others get ``duplicate_key``. ``fetch`` names the columns that tell
-    fetches apart: the same key in two fetches is a restatement, no duplicate.
-    Rows equal in every column become one row with their number in ``copies``,
-    so the sum of ``copies`` is the number of rows read and nothing is lost.
-
-    No step gathers a hot key, source or group of copies in one task: equal rows
-    are combined before the shuffle, the remaining rows of a key are ranked in
-    ``salts`` slices, and only the first of each slice goes on to the second
-    ranking. Unsound rows are spread by their hash throughout.
+    accepted; the others get ``duplicate_key``. ``fetch`` names the columns that
+    tell fetches apart: the same key in two fetches is a restatement, no duplicate.
+    Every row read is in the result.
+
+    No step gathers a hot key, source or group of copies in one task. The rows of
+    a key are first ranked in ``salts`` slices, and only the first of each slice
+    meets the others. The slice comes from the row's content and its input
+    partition: recomputing a lost task gives the same slices, and equal rows from
+    different partitions part. Unsound rows are not ranked, only spread. Which
+    rows are accepted does not depend on the slices.
     """
     columns = raw.columns
     key = [*(fetch or []), *KEY]
-    counted = (
-        raw.withColumn("reasons", _row_reasons(columns))
-        .groupBy(*columns, "reasons")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    sound = F.size("reasons") == 0
-    fingerprint = F.xxhash64(*columns)
-    placed = counted.withColumn(
-        "_slice", F.when(sound, F.pmod(fingerprint, F.lit(salts))).otherwise(fingerprint)
-    )
     ranking = [F.asc_nulls_last(name) for name in [*order, *[c for c in columns if c not in order]]]
+    sound = F.size("reasons") == 0
+    spread = F.xxhash64(*columns, F.spark_partition_id())
+
+    placed = raw.withColumn("reasons", _row_reasons(columns)).withColumn("_spread", spread)
+    placed = placed.withColumn(
+        "_slice", F.when(sound, F.pmod("_spread", F.lit(salts))).otherwise(F.col("_spread"))
+    ).drop("_spread")
     in_slice = Window.partitionBy(*key, "_slice").orderBy(*ranking)
-    first_in_slice = placed.withColumn(
-        "_finalist", sound & (F.row_number().over(in_slice) == 1)
-    ).withColumn("_group", F.when(~F.col("_finalist"), F.col("_slice")))
+    first_of_slice = sound & (F.row_number().over(in_slice) == 1)
+    # The firsts of a key's slices share the null group; the rest stay spread.
+    finalists = placed.withColumn("_finalist", first_of_slice).withColumn(
+        "_group", F.when(~F.col("_finalist"), F.col("_slice"))
+    )
     in_key = Window.partitionBy(*key, "_finalist", "_group").orderBy(*ranking)
     kept = F.col("_finalist") & (F.row_number().over(in_key) == 1)
-    ranked = first_in_slice.withColumn("_kept", kept)
-
     duplicate = F.array(F.lit("duplicate_key"))
-    # A kept row stands once; its further copies follow as duplicates.
-    parts = F.when(
-        F.col("_kept"),
-        F.array(
-            F.struct(F.col("reasons"), F.lit(1).cast("bigint").alias("copies")),
-            F.struct(duplicate.alias("reasons"), (F.col("copies") - 1).alias("copies")),
-        ),
-    ).otherwise(
-        F.array(
-            F.struct(
-                F.when(sound, duplicate).otherwise(F.col("reasons")).alias("reasons"),
-                F.col("copies"),
-            )
-        )
-    )
-    return (
-        ranked.select(*columns, F.explode(parts).alias("_part"))
-        .select(*columns, "_part.reasons", "_part.copies")
-        .where(F.col("copies") > 0)
-    )
+    return finalists.withColumn(
+        "reasons", F.when(sound & ~kept, duplicate).otherwise(F.col("reasons"))
+    ).select(*columns, "reasons")
 
 
 def accepted(checked: DataFrame) -> DataFrame:
@@ -118,9 +99,9 @@ def reason_counts(checked: DataFrame) -> DataFrame:
     """Number of rows per reason; a row with several reasons counts under each."""
     labels = F.when(F.size("reasons") == 0, F.array(F.lit("accepted"))).otherwise(F.col("reasons"))
     return (
-        checked.select(F.explode(labels).alias("reason"), "copies")
+        checked.select(F.explode(labels).alias("reason"))
         .groupBy("reason")
-        .agg(F.sum("copies").alias("n_rows"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
     )
 
 
@@ -138,12 +119,13 @@ def run_log(runs: DataFrame, checked: DataFrame) -> DataFrame:
     is classified rows carrying ``run_id``. A run that delivered no acceptable
     row has failed even when the download itself succeeded.
     """
-    zero = F.lit(0).cast("bigint")
-    good = F.when(F.size("reasons") == 0, F.col("copies")).otherwise(zero)
     delivered = checked.select(
-        "run_id", F.lit(None).cast("date").alias("run_date"), "copies", good.alias("good")
+        "run_id",
+        F.lit(None).cast("date").alias("run_date"),
+        F.lit(1).alias("read"),
+        (F.size("reasons") == 0).cast("int").alias("good"),
     )
-    started = runs.select("run_id", "run_date", zero.alias("copies"), zero.alias("good"))
+    started = runs.select("run_id", "run_date", F.lit(0).alias("read"), F.lit(0).alias("good"))
     status = F.when(F.col("rows_ok") > 0, "ok").otherwise("failed")
     reason = (
         F.when(F.col("rows_in") == 0, "no rows delivered")
@@ -156,7 +138,7 @@ def run_log(runs: DataFrame, checked: DataFrame) -> DataFrame:
         .groupBy("run_id")
         .agg(
             F.max("run_date").alias("run_date"),
-            F.sum("copies").alias("rows_in"),
+            F.sum("read").alias("rows_in"),
             F.sum("good").alias("rows_ok"),
         )
         .withColumn("rows_rejected", F.col("rows_in") - F.col("rows_ok"))

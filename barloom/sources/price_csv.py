@@ -21,64 +21,79 @@ def _is_header(line: Column, header: str) -> Column:
     return F.coalesce(F.lower(F.trim(line)) == header, F.lit(False))
 
 
-def rows_of_files(files: DataFrame, header: str = CSV_HEADER) -> DataFrame:
-    """A CSV scan (batch or streaming) without its header lines, with the file of each row."""
-    # Spark parses only the columns a query uses, and a row is then bad or not
-    # depending on the query. Using every column here makes it the same for all.
-    header_line = _is_header(F.col("_bad"), header)
-    for field in CSV_SCHEMA:
-        if field.name != "_bad":
-            header_line = header_line & F.col(field.name).isNull()
-    return files.withColumn("source_file", F.col("_metadata.file_path")).where(~header_line)
-
+def scan(files: DataFrame, header: str = CSV_HEADER) -> DataFrame:
+    """A CSV read (batch or streaming) with the file of each row and ``is_header``."""
+    return files.withColumn("source_file", F.col("_metadata.file_path")).withColumn(
+        "is_header", F.col("trade_date").isNull() & _is_header(F.col("_bad"), header)
+    )
 
-def read_prices(spark: SparkSession, path: str, header: str = CSV_HEADER) -> DataFrame:
-    """Raw price rows of all files below ``path``; unparsable lines are kept in ``_bad``."""
-    return rows_of_files(spark.read.schema(FILE_SCHEMA).options(**READ_OPTIONS).csv(path), header)
 
+def without_headers(scanned: DataFrame) -> DataFrame:
+    """The price rows of a scan.
 
-def stream_prices(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """``read_prices`` over files as they arrive."""
-    reader = spark.readStream.schema(FILE_SCHEMA).options(**READ_OPTIONS)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return rows_of_files(reader.csv(path))
+    Spark parses only the columns a query uses, and a row is then bad or not
+    depending on the query. Using every column here makes it the same for all.
+    """
+    header_line = F.col("is_header")
+    for field in CSV_SCHEMA:
+        if field.name != "_bad":
+            header_line = header_line & F.col(field.name).isNull()
+    return scanned.where(~header_line).drop("is_header")
 
 
-def files_without_header(spark: SparkSession, path: str, header: str = CSV_HEADER) -> DataFrame:
-    """Files in which the expected header line does not occur.
+def files_without_header(scanned: DataFrame) -> DataFrame:
+    """Files of a scan in which the expected header line does not occur.
 
-    A single-line scan; per file only a flag is shuffled, combined map-side.
+    Parses the first column only; one flag per file is shuffled.
     """
     return (
-        spark.read.text(path)
-        .select(
-            F.col("_metadata.file_path").alias("source_file"),
-            _is_header(F.col("value"), header).alias("is_header"),
-        )
-        .groupBy("source_file")
+        scanned.groupBy("source_file")
         .agg(F.max("is_header").alias("has_header"))
         .where(~F.col("has_header"))
         .select("source_file")
     )
 
 
-def read_checked(spark: SparkSession, path: str) -> DataFrame:
-    """``read_prices`` with ``header_ok``, false on every row of a file lacking the header.
+def check_headers(scanned: DataFrame) -> DataFrame:
+    """The price rows of a scan with ``header_ok``, false if their file lacks the header.
 
     The right side holds one row per faulty file. Its size is left to the
-    adaptive planner: empty, the join vanishes; small, it is broadcast; large,
-    the sorted join splits a file that dominates.
+    adaptive planner: small, it is broadcast; large, the sorted join splits a
+    file that dominates.
     """
-    faulty = files_without_header(spark, path).withColumn("faulty", F.lit(True))
+    faulty = files_without_header(scanned).withColumn("faulty", F.lit(True))
     return (
-        read_prices(spark, path)
+        without_headers(scanned)
         .join(faulty, "source_file", "left")
         .withColumn("header_ok", F.col("faulty").isNull())
         .drop("faulty")
     )
 
 
+def _scan_path(spark: SparkSession, path: str, header: str) -> DataFrame:
+    return scan(spark.read.schema(FILE_SCHEMA).options(**READ_OPTIONS).csv(path), header)
+
+
+def read_prices(spark: SparkSession, path: str, header: str = CSV_HEADER) -> DataFrame:
+    """Raw price rows of all files below ``path``; unparsable lines are kept in ``_bad``."""
+    return without_headers(_scan_path(spark, path, header))
+
+
+def read_checked(spark: SparkSession, path: str, header: str = CSV_HEADER) -> DataFrame:
+    """``read_prices`` with ``header_ok`` for each row."""
+    return check_headers(_scan_path(spark, path, header))
+
+
+def stream_scan(
+    spark: SparkSession, path: str, max_files: int | None = None, header: str = CSV_HEADER
+) -> DataFrame:
+    """Files as they arrive, scanned; each batch then goes through ``check_headers``."""
+    reader = spark.readStream.schema(FILE_SCHEMA).options(**READ_OPTIONS)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return scan(reader.csv(path), header)
+
+
 def write_prices(bars: DataFrame, path: str) -> None:
     """Bars with ``fetch_date`` as price CSV files, one directory per fetch date and symbol.
 

@@ -10,15 +10,15 @@ from pyspark.sql import types as T
 from barloom.operators.history import latest
 from barloom.operators.quality import accepted, classify, run_log, to_bars
 from barloom.sources.landing import append_runs
-from barloom.sources.price_csv import FILE_SCHEMA, stream_prices
+from barloom.sources.price_csv import FILE_SCHEMA, check_headers, stream_scan
 
 # A batch stores the raw row, the verdict on it, and two partition columns.
 _ROWS = T.StructType(
     [
         *FILE_SCHEMA.fields,
         T.StructField("source_file", T.StringType()),
+        T.StructField("header_ok", T.BooleanType()),
         T.StructField("reasons", T.ArrayType(T.StringType())),
-        T.StructField("copies", T.LongType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("is_ok", T.BooleanType()),
     ]
@@ -49,7 +49,7 @@ def ingest_new_files(
     written: list[int] = []
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
-        checked = classify(batch, order=["source_file"], fetch=["fetch_date"])
+        checked = classify(check_headers(batch), order=["source_file"], fetch=["fetch_date"])
         (
             checked.withColumn("is_ok", F.size("reasons") == 0)
             .write.mode("overwrite")
@@ -59,7 +59,7 @@ def ingest_new_files(
         written.append(batch_id)
 
     query = (
-        stream_prices(spark, landing, max_files)
+        stream_scan(spark, landing, max_files)
         .writeStream.foreachBatch(store_batch)
         .option("checkpointLocation", f"{store}/checkpoint")
         .trigger(availableNow=True)

@@ -1,0 +1,82 @@
+"""Plans that must hold when the tables are a million times larger."""
+
+import contextlib
+import io
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+from barloom.operators import indicators, quality
+from barloom.sources import price_csv
+from barloom.sources.tables import order_bars
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("simple")
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("name", entry.queries())
+def test_no_global_step(spark, name):
+    """No window or join over everything at once, and Python only where it is meant."""
+    plan = plan_of(entry.queries()[name](spark, SF))
+    for bad in ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]:
+        assert bad not in plan
+    assert "SinglePartition" not in plan
+    assert ("FlatMapGroupsIn" in plan) == (name == "chart_correlation")
+
+
+def test_ticks_are_combined_before_the_shuffle(spark):
+    plan = plan_of(order_bars(spark, SF))
+    assert re.search(r"HashAggregate.*\n.*Exchange hashpartitioning\(symbol#\d+, trade_date#\d+.*\n.*partial_min_by", plan)
+    assert "SortAggregate" not in plan
+
+
+def test_chained_indicators_share_one_shuffle(spark):
+    bars = order_bars(spark, SF)
+    plan = plan_of(
+        indicators.true_range(
+            indicators.drawdown(indicators.rolling_volatility(indicators.moving_average(indicators.daily_return(bars), 5, 20)))
+        )
+    )
+    assert plan.count("Exchange") == 2 and plan.count("+- Sort") == 1
+
+
+def test_aggregates_after_a_window_do_not_shuffle_again(spark):
+    for name in ["chart_line", "chart_box", "weekday_effect", "month_effect"]:
+        assert plan_of(entry.queries()[name](spark, SF)).count("Exchange") == 2, name
+
+
+def test_top_movers_limits_before_the_shuffle(spark):
+    plan = plan_of(entry.queries()["top_movers"](spark, SF))
+    assert "row_number(), 3, Partial" in plan and "row_number(), 3, Final" in plan
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = plan_of(entry.queries()["merge_latest"](spark, SF))
+    assert len(re.findall(r"PushedFilters: \[IsNotNull\(o_orderdate\)", plan)) == 2
+    assert "o_custkey" not in plan and "o_orderstatus" not in plan
+
+
+def test_unneeded_bar_columns_are_not_computed(spark):
+    plan = plan_of(entry.queries()["daily_return"](spark, SF))
+    assert "min_by" not in plan and "max_by" in plan
+
+
+def test_classification_shuffles_by_slice(spark, make_bars, tmp_path):
+    bars = make_bars([("A", "2024-01-02", 10, 12, 9, 11, 1)])
+    import datetime
+
+    from pyspark.sql import functions as F
+
+    price_csv.write_prices(bars.withColumn("fetch_date", F.lit(datetime.date(2024, 1, 3))), str(tmp_path))
+    raw = price_csv.read_prices(spark, str(tmp_path))
+    plan = plan_of(quality.classify(raw, ["source_file"], ["fetch_date"]))
+    exchanges = re.findall(r"Exchange hashpartitioning\((.*?), 8\)", plan)
+    assert len(exchanges) == 2
+    assert "_slice" in exchanges[1] and "_finalist" in exchanges[0] and "_group" in exchanges[0]

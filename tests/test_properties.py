@@ -203,6 +203,21 @@ def test_newest_fetch_wins_whatever_the_batch(spark, random_bars, tmp_path):
     assert rows_of(daily_ingest.read_history(spark, store)) == rows_of(history.merge(older, newer))
 
 
+def test_file_rewritten_under_its_name_is_not_seen(spark, make_bars, tmp_path):
+    """Why landed names must be new for each fetch."""
+    files, store = tmp_path / "files", str(tmp_path / "store")
+    write_days(make_bars([("A", "2024-01-02", 10, 12, 9, 11, 1)]), str(files), START)
+    daily_ingest.run_daily(spark, str(files), store, START)
+    (landed,) = files.rglob("*.csv")
+    landed.with_name(f".{landed.name}.crc").unlink()
+    landed.write_text("trade_date,open,high,low,close,volume\n2024-01-02,9,9,9,9,9\n")
+    assert daily_ingest.ingest_new_files(spark, str(files), store) == []
+    renamed = landed.with_name("again.csv")
+    renamed.write_text("trade_date,open,high,low,close,volume\n2024-01-03,9,9,9,9,9\n")
+    assert daily_ingest.ingest_new_files(spark, str(files), store) == [1]
+    assert daily_ingest.read_history(spark, store).count() == 2
+
+
 def test_runs_are_logged(spark, make_bars, tmp_path):
     files, store = str(tmp_path / "files"), str(tmp_path / "store")
     good = ("A", "2024-01-02", 10, 12, 9, 11, 1)
@@ -221,6 +236,18 @@ def test_runs_are_logged(spark, make_bars, tmp_path):
     assert sorted(r.symbol for r in rejected) == ["A", "B"]
 
 
+def test_file_without_header_is_rejected(spark, make_bars, tmp_path):
+    files, store = tmp_path / "files", str(tmp_path / "store")
+    write_days(make_bars([("A", "2024-01-02", 10, 12, 9, 11, 1)]), str(files), START)
+    (files / "fetch_date=2024-01-01" / "symbol=A" / "swapped.csv").write_text(
+        "trade_date,close,high,low,open,volume\n2024-01-03,1,1,1,1,1\n"
+    )
+    daily_ingest.run_daily(spark, str(files), store, START)
+    assert [str(r.trade_date) for r in daily_ingest.read_history(spark, store).collect()] == ["2024-01-02"]
+    reasons = [r.reasons for r in daily_ingest.read_rows(spark, store).where("not is_ok").collect()]
+    assert reasons == [["bad_header"], ["bad_header"]]
+
+
 def test_missing_setting(spark, tmp_path):
     with pytest.raises(ValueError, match="landing"):
         daily_ingest.run_daily(spark, "", str(tmp_path), START)
