@@ -76,7 +76,7 @@ def chart_box(rows: DataFrame, value: str, whisker: float = 1.5) -> DataFrame:
 _PAIRS = "symbol_a string, symbol_b string, n bigint, correlation double"
 
 
-def _block_correlator():
+def _block_correlator(min_days: int):
     """The pandas function for one pair of symbol blocks.
 
     Made here so that it is sent to the executors by value: they need numpy and
@@ -108,7 +108,7 @@ def _block_correlator():
             var_x = (x**2 @ in_y.T) / n - mean_x**2
             var_y = (in_x @ (y**2).T) / n - mean_y**2
             corr = cov / np.sqrt(var_x * var_y)
-        wanted = n >= 3
+        wanted = n >= min_days
         if left_block == right_block:
             wanted &= np.triu(np.ones_like(wanted), k=1)
         i, j = np.nonzero(wanted)
@@ -126,8 +126,10 @@ def _block_correlator():
     return correlate
 
 
-def chart_correlation(bars: DataFrame, symbols_per_block: int = SYMBOLS_PER_BLOCK) -> DataFrame:
-    """Correlation of daily returns for every pair of symbols sharing at least 3 days.
+def chart_correlation(
+    bars: DataFrame, min_days: int = 3, symbols_per_block: int = SYMBOLS_PER_BLOCK
+) -> DataFrame:
+    """Correlation of daily returns for every pair of symbols sharing at least ``min_days``.
 
     A blocked matrix product. A self-join on the date would emit every pair of
     symbols once per day; here a symbol's series is one row, copied once per
@@ -154,7 +156,7 @@ def chart_correlation(bars: DataFrame, symbols_per_block: int = SYMBOLS_PER_BLOC
     )
     pairs = placed.groupBy(
         F.least("block", "other").alias("left_block"), F.greatest("block", "other").alias("right_block")
-    ).applyInPandas(_block_correlator(), _PAIRS)
+    ).applyInPandas(_block_correlator(min_days), _PAIRS)
     return pairs.withColumn(
         "correlation",
         F.when(~F.isnan("correlation"), F.round("correlation", 9)),

@@ -4,6 +4,7 @@ All symbols are pooled in one model unless the name says otherwise.
 """
 
 import datetime
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -95,23 +96,48 @@ def coefficients(spark: SparkSession, model: PipelineModel, columns: list[str] =
     return spark.createDataFrame(rows, "term string, value double")
 
 
+@dataclass(frozen=True)
+class LinearFit:
+    """A linear model in price units, with its weights in standard deviations beside."""
+
+    intercept: float
+    coefficients: dict[str, float]
+    std_weights: dict[str, float]
+
+    def predict(self, rows: DataFrame) -> DataFrame:
+        """Adds ``prediction`` to the rows that have all features."""
+        columns = list(self.coefficients)
+        value = F.lit(self.intercept)
+        for name in columns:
+            value = value + F.lit(self.coefficients[name]) * F.col(name)
+        return complete(rows, columns).withColumn("prediction", value)
+
+
 def fit_sgd(
     train: DataFrame, columns: list[str] = FEATURES, iterations: int = 100, step: float = 0.5
-):
+) -> LinearFit:
     """Least squares by gradient descent, on standardised label and features.
 
     Unscaled prices make the descent diverge. With everything centred there is
-    no intercept to fit. Returns the RDD-API model; its weights are in standard
-    deviations. The training rows are held in executor memory and disk for the
-    iterations, each of which sends a gradient through a tree aggregate.
+    no intercept to fit; it follows from the means. The training rows are held in
+    executor memory and disk for the iterations, each of which sends a gradient
+    through a tree aggregate. ``train`` is read twice, so pass a written table.
     """
     assembled = VectorAssembler(inputCols=["label", *columns], outputCol="raw").transform(train)
-    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True)
-    scaled = scaler.fit(assembled).transform(assembled).select(vector_to_array("scaled").alias("v"))
+    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True).fit(assembled)
+    scaled = scaler.transform(assembled).select(vector_to_array("scaled").alias("v"))
     points = scaled.rdd.map(lambda row: LabeledPoint(row.v[0], Vectors.dense(row.v[1:])))
-    return LinearRegressionWithSGD.train(
+    model = LinearRegressionWithSGD.train(
         points, iterations=iterations, step=step, intercept=False, convergenceTol=0.0
     )
+    weights = [float(weight) for weight in model.weights]
+    (label_mean, *means), (label_sd, *sds) = scaler.mean.tolist(), scaler.std.tolist()
+    slopes = [weight * label_sd / sd for weight, sd in zip(weights, sds)]
+    return LinearFit(
+        intercept=label_mean - sum(slope * mean for slope, mean in zip(slopes, means)),
+        coefficients=dict(zip(columns, slopes)),
+        std_weights=dict(zip(columns, weights)),
+    )
 
 
 def predict(model: PipelineModel, rows: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
@@ -128,7 +154,7 @@ def predict_close(model: PipelineModel, split_rows: DataFrame, columns: list[str
 
 
 def evaluate(predictions: DataFrame) -> DataFrame:
-    """RMSE, MSE, MAE, R2 and explained variance per symbol, and pooled as symbol "ALL".
+    """RMSE, MSE, MAE, R2 and explained variance per symbol, and once for all (``pooled``).
 
     One pass and one shuffle of partial sums for all of them.
     """
@@ -139,7 +165,7 @@ def evaluate(predictions: DataFrame) -> DataFrame:
         predictions.where(y.isNotNull())
         .rollup("symbol")
         .agg(
-            F.when(F.grouping("symbol") == 1, "ALL").otherwise(F.col("symbol")).alias("name"),
+            (F.grouping("symbol") == 1).alias("pooled"),
             n.alias("n"),
             (sse / n).alias("mse"),
             F.avg(F.abs(p - y)).alias("mae"),
@@ -150,7 +176,8 @@ def evaluate(predictions: DataFrame) -> DataFrame:
     )
     mse, label_var = F.col("mse"), F.col("label_var")
     return scored.select(
-        F.col("name").alias("symbol"),
+        "pooled",
+        "symbol",
         "n",
         F.sqrt(mse).alias("rmse"),
         "mse",

@@ -73,14 +73,15 @@ def fit_ols(spark, sf_dir):
     "fit_sgd",
     f"""with {BARS}, {FEATURES}, {SPLIT}, {OLS},
       sd as (select stddev_samp(x1) as s1, stddev_samp(x2) as s2, stddev_samp(label) as sy from train)
-      select 'x1' as term, round(b1 * s1 / sy, 4) + 0.0 as std_weight from ols, sd
-      union all select 'x2', round(b2 * s2 / sy, 4) + 0.0 from ols, sd""",
+      select 'x1' as term, round(b1 * s1 / sy, 4) + 0.0 as std_weight, round(b1, 4) + 0.0 as value from ols, sd
+      union all select 'x2', round(b2 * s2 / sy, 4) + 0.0, round(b2, 4) + 0.0 from ols, sd""",
 )
 def fit_sgd(spark, sf_dir):
-    model = fc.fit_sgd(fc.train_rows(_split_rows(spark, sf_dir)))
-    rows = [(name, float(weight)) for name, weight in zip(fc.FEATURES, model.weights)]
+    """The descent, compared to 4 places, to which it has converged."""
+    fit = fc.fit_sgd(fc.train_rows(_model_input(spark, sf_dir)))
+    rows = [(name, fit.std_weights[name], fit.coefficients[name]) for name in fc.FEATURES]
     return round_columns(
-        spark.createDataFrame(rows, "term string, std_weight double"), 4, "std_weight"
+        spark.createDataFrame(rows, "term string, std_weight double, value double"), 4, "std_weight", "value"
     )
 
 
@@ -115,11 +116,11 @@ def evaluate(spark, sf_dir):
 @query(
     "evaluate_pooled",
     f"""with {MODEL}, m as ({metrics('predicted')})
-      select 'rmse' as metric, rmse as value from m where symbol = 'ALL'
-      union all select 'mse', mse from m where symbol = 'ALL'
-      union all select 'mae', mae from m where symbol = 'ALL'
-      union all select 'r2', r2 from m where symbol = 'ALL'
-      union all select 'var', explained_variance from m where symbol = 'ALL'""",
+      select 'rmse' as metric, rmse as value from m where pooled
+      union all select 'mse', mse from m where pooled
+      union all select 'mae', mae from m where pooled
+      union all select 'r2', r2 from m where pooled
+      union all select 'var', explained_variance from m where pooled""",
 )
 def evaluate_pooled(spark, sf_dir):
     """The pooled metrics from Spark ML's evaluator, over predictions written once."""

@@ -3,13 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators import history, quality
+from barloom.operators import history, indicators, quality
 from barloom.plans import fixtures
 from barloom.plans.registry import query
-from barloom.plans.sql import BARS, EVENT_BARS, SNAPSHOTS
+from barloom.plans.sql import BARS, EVENT_BARS, RETURNS, SNAPSHOTS, SUPPLIER_BARS
 from barloom.sources import landing, price_csv
 from barloom.sources.scratch import new_path
-from barloom.sources.tables import order_bars
+from barloom.sources.tables import order_bars, supplier_bars
 from barloom.streaming import daily_ingest as daily
 from barloom.streaming import tick_bars
 
@@ -93,6 +93,20 @@ def land_snapshot(spark, sf_dir):
     return landing.read_landed(spark, path)
 
 
+@query(
+    "bucketed_returns",
+    f"""with {SUPPLIER_BARS}, {RETURNS} select symbol, trade_date, close_c, ret from returns""",
+)
+def bucketed_returns(spark, sf_dir):
+    """Returns over bars kept bucketed by symbol: no shuffle when they are read."""
+    path = new_path(spark, "bucketed")
+    table = "barloom_" + path.rsplit("-", 1)[1]
+    landing.save_bucketed(supplier_bars(spark, sf_dir), table, path, buckets=16)
+    returns = indicators.daily_return(spark.table(table))
+    spark.sql(f"drop table {table}")  # leaves the files, which the result reads
+    return returns.select("symbol", "trade_date", "close_c", "ret")
+
+
 @query("merge_latest", _MERGED)
 def merge_latest(spark, sf_dir):
     bars = order_bars(spark, sf_dir)

@@ -110,7 +110,7 @@ def metrics(source: str) -> str:
         as explained_variance
     """
     return f"""
-      select symbol, {one} from {source} where label is not null group by symbol
+      select false as pooled, symbol, {one} from {source} where label is not null group by symbol
       union all
-      select 'ALL' as symbol, {one} from {source} where label is not null
+      select true as pooled, null as symbol, {one} from {source} where label is not null
     """

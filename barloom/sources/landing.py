@@ -25,6 +25,23 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BARS).parquet(path).select(*BAR_COLUMNS)
 
 
+def save_bucketed(bars: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Replace a table of bars bucketed by symbol and sorted by day inside a bucket.
+
+    Every per-symbol window over it, and every aggregate by symbol, then runs
+    without a shuffle. One file per bucket: rows are gathered by symbol first.
+    """
+    (
+        bars.select(*BAR_COLUMNS)
+        .repartition(buckets, "symbol")
+        .write.mode("overwrite")
+        .option("path", path)
+        .bucketBy(buckets, "symbol")
+        .sortBy("symbol", "trade_date")
+        .saveAsTable(table)
+    )
+
+
 def append_runs(log: DataFrame, path: str) -> None:
     """Add run rows to the run table."""
     log.write.mode("append").parquet(path)

@@ -33,8 +33,15 @@ def test_ols_equals_closed_form(rows, model):
 def test_sgd_approaches_ols(rows, model):
     train = fc.train_rows(rows)
     sd = train.select("x1", "x2", "label").toPandas().std()
-    want = [c * sd[x] / sd["label"] for x, c in zip(fc.FEATURES, model.stages[-1].coefficients)]
-    assert list(fc.fit_sgd(train).weights) == pytest.approx(want, abs=1e-5)
+    ols = model.stages[-1]
+    want = {x: c * sd[x] / sd["label"] for x, c in zip(fc.FEATURES, ols.coefficients)}
+    fit = fc.fit_sgd(train)
+    assert fit.std_weights == pytest.approx(want, abs=1e-5)
+    assert fit.intercept == pytest.approx(ols.intercept, rel=1e-5)
+    key = ["symbol", "trade_date"]
+    a = [r.prediction for r in fit.predict(rows).orderBy(*key).collect()]
+    b = [r.prediction for r in fc.predict(model, rows).orderBy(*key).collect()]
+    assert a == pytest.approx(b, rel=1e-4)
 
 
 def test_more_features(rows):
@@ -52,9 +59,10 @@ def test_every_symbol_has_one_forecast(rows, model):
 def test_evaluate_equals_the_evaluator(rows, model):
     predictions = fc.predict_close(model, rows).cache()
     scores = {r.symbol: r for r in fc.evaluate(predictions).collect()}
-    assert scores["ALL"].n == predictions.where("split = 'test'").count()
+    assert [s for s, r in scores.items() if r.pooled] == [None]
+    assert scores[None].n == predictions.where("split = 'test'").count()
     for symbol, row in scores.items():
-        part = predictions if symbol == "ALL" else predictions.where(predictions.symbol == symbol)
+        part = predictions if row.pooled else predictions.where(predictions.symbol == symbol)
         for metric, column in [
             ("rmse", "rmse"), ("mse", "mse"), ("mae", "mae"), ("r2", "r2"), ("var", "explained_variance"),
         ]:

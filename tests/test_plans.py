@@ -68,6 +68,11 @@ def test_unneeded_bar_columns_are_not_computed(spark):
     assert "min_by" not in plan and "max_by" in plan
 
 
+def test_bucketed_bars_need_no_shuffle(spark):
+    plan = plan_of(entry.queries()["bucketed_returns"](spark, SF))
+    assert "Window" in plan and "Exchange" not in plan
+
+
 def test_classification_shuffles_by_slice(spark, make_bars, tmp_path):
     bars = make_bars([("A", "2024-01-02", 10, 12, 9, 11, 1)])
     import datetime
