@@ -79,7 +79,10 @@ def vector_columns(rows: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
 
 
 def fit_ols(train: DataFrame, columns: list[str] = FEATURES) -> PipelineModel:
-    """Least squares by the normal equations: one pass, a small matrix to the driver."""
+    """Least squares by the normal equations: a small matrix goes to the driver.
+
+    Spark reads ``train`` a few times, so pass a written table where it is dear.
+    """
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=columns, outputCol="features"),

@@ -22,7 +22,7 @@ def _split_rows(spark, sf_dir) -> DataFrame:
 
 
 def _model_input(spark, sf_dir) -> DataFrame:
-    """Split features, written once: fitting and predicting both read them."""
+    """Split features, written once: fitting reads them several times, predicting again."""
     return materialize(_split_rows(spark, sf_dir), "features")
 
 
@@ -64,7 +64,7 @@ def assemble(spark, sf_dir):
       union all select 'x2', round(b2, 6) from ols""",
 )
 def fit_ols(spark, sf_dir):
-    model = fc.fit_ols(fc.train_rows(_split_rows(spark, sf_dir)))
+    model = fc.fit_ols(fc.train_rows(_model_input(spark, sf_dir)))
     places = F.when(F.col("term") == "intercept", F.round("value", 3)).otherwise(F.round("value", 6))
     return fc.coefficients(spark, model).withColumn("value", places)
 

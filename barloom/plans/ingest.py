@@ -8,7 +8,7 @@ from barloom.plans import fixtures
 from barloom.plans.registry import query
 from barloom.plans.sql import BARS, EVENT_BARS, RETURNS, SNAPSHOTS, SUPPLIER_BARS
 from barloom.sources import landing, price_csv
-from barloom.sources.scratch import new_path
+from barloom.sources.scratch import materialize, new_path
 from barloom.sources.tables import order_bars, supplier_bars
 from barloom.streaming import daily_ingest as daily
 from barloom.streaming import tick_bars
@@ -85,7 +85,7 @@ def quarantine_accepted(spark, sf_dir):
 def land_snapshot(spark, sf_dir):
     """A first landing of all symbols, then a refetch of two of them, landed twice."""
     path = new_path(spark, "landed")
-    bars = order_bars(spark, sf_dir)
+    bars = materialize(order_bars(spark, sf_dir), "bars")
     refetched = fixtures.new_snapshot(bars).where(F.col("symbol").isin("1-URGENT", "2-HIGH"))
     landing.land(fixtures.old_snapshot(bars), path)
     landing.land(refetched, path)
@@ -132,7 +132,7 @@ def snapshot_diff(spark, sf_dir):
 def daily_ingest(spark, sf_dir):
     """Two days of the job, the second with restated prices; a third finds nothing new."""
     files, store = new_path(spark, "files"), new_path(spark, "store")
-    bars = order_bars(spark, sf_dir)
+    bars = materialize(order_bars(spark, sf_dir), "bars")
     for fetch_date, snapshot in [
         (fixtures.OLD_FETCH, fixtures.old_snapshot(bars)),
         (fixtures.NEW_FETCH, fixtures.new_snapshot(bars)),
@@ -163,7 +163,8 @@ def daily_ingest(spark, sf_dir):
 )
 def run_log(spark, sf_dir):
     bars = order_bars(spark, sf_dir)
-    bodies = _faulty_bodies(bars).unionByName(fixtures.error_bodies(bars))
+    fetched = _faulty_bodies(bars).unionByName(fixtures.error_bodies(bars))
+    bodies = materialize(fetched, "bodies")
     run_id = F.col("fetch_date").cast("string").alias("run_id")
     runs = bodies.select(run_id, F.col("fetch_date").alias("run_date"))
     checked = _checked(bodies).withColumn("run_id", run_id)

@@ -1,4 +1,9 @@
-"""The daily job: take in the files that are new, then stop."""
+"""The daily job: take in the files that are new, then stop.
+
+A store holds ``rows``, every row ever read with the verdict on it, a directory
+per batch; ``current``, the history made from them, a directory per period; and
+``runs``, a row per run.
+"""
 
 import datetime
 import uuid
@@ -8,10 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators.history import latest
-from barloom.operators.quality import accepted, classify, run_log, to_bars
+from barloom.operators.quality import classify, run_log, to_bars
+from barloom.schemas import BAR_COLUMNS, BARS
 from barloom.sources.landing import append_runs
 from barloom.sources.price_csv import FILE_SCHEMA, check_headers, stream_scan
 
+_PERIODS = {"year": "yyyy", "month": "yyyy-MM"}
+
 # A batch stores the raw row, the verdict on it, and two partition columns.
 _ROWS = T.StructType(
     [
@@ -32,18 +40,48 @@ def read_rows(spark: SparkSession, store: str) -> DataFrame:
 
 def read_history(spark: SparkSession, store: str) -> DataFrame:
     """The history: of each (symbol, trade_date) the bar of the newest fetch."""
-    sound = accepted(read_rows(spark, store).where("is_ok"))
-    return latest(to_bars(sound, "fetch_date", "batch_id"), "fetch_date", "batch_id")
+    schema = T.StructType([*BARS.fields, T.StructField("period", T.StringType())])
+    return spark.read.schema(schema).parquet(f"{store}/current").select(*BAR_COLUMNS)
+
+
+def _refresh_history(spark: SparkSession, store: str, batch_id: int, period: str) -> None:
+    """Remake the periods of the history that a batch has bars in.
+
+    They are made from the stored rows, never from themselves, so doing it again
+    after a failure gives the same. Only their names come to the driver, at most
+    as many as the calendar has months; the first and last go to the Parquet scan
+    as a range of days.
+    """
+    label = F.date_format("trade_date", _PERIODS[period])
+    sound = read_rows(spark, store).where("is_ok").withColumn("period", label)
+    new = sound.where(F.col("batch_id") == batch_id)
+    periods = sorted(row["period"] for row in new.select("period").distinct().collect())
+    if not periods:
+        return
+    first, last = (F.to_date(F.lit(name), _PERIODS[period]) for name in (periods[0], periods[-1]))
+    in_span = (F.col("trade_date") >= first) & (
+        F.col("trade_date") < F.add_months(last, 12 if period == "year" else 1)
+    )
+    touched = sound.where(in_span & F.col("period").isin(periods))
+    bars = latest(to_bars(touched, "fetch_date", "batch_id"), "fetch_date", "batch_id")
+    (
+        bars.withColumn("period", label)
+        .hint("rebalance", "period")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("period")
+        .parquet(f"{store}/current")
+    )
 
 
 def ingest_new_files(
-    spark: SparkSession, landing: str, store: str, max_files: int | None = None
+    spark: SparkSession, landing: str, store: str, max_files: int | None = None, period: str = "year"
 ) -> list[int]:
     """Check and store the files not seen before; returns the ids of the batches written.
 
     A batch is written in one pass, sound and rejected rows side by side, to a
-    directory of its own that a replay overwrites. Together with the checkpoint
-    every file counts exactly once. A file rewritten under its old name is not
+    directory of its own that a replay overwrites; then the periods it touches
+    ("year" or "month", the same for all runs of a store) are remade. Together with the checkpoint every file counts exactly once. A file rewritten under its old name is not
     seen again, so landed names must be new for each fetch.
     """
     written: list[int] = []
@@ -52,10 +90,12 @@ def ingest_new_files(
         checked = classify(check_headers(batch), order=["source_file"], fetch=["fetch_date"])
         (
             checked.withColumn("is_ok", F.size("reasons") == 0)
+            .sortWithinPartitions("is_ok", "trade_date")
             .write.mode("overwrite")
             .partitionBy("is_ok")
             .parquet(f"{store}/rows/batch_id={batch_id}")
         )
+        _refresh_history(batch.sparkSession, store, batch_id, period)
         written.append(batch_id)
 
     query = (
@@ -75,6 +115,7 @@ def run_daily(
     store: str,
     run_date: datetime.date,
     max_files: int | None = None,
+    period: str = "year",
 ) -> str:
     """One scheduled run; leaves one row in the run table and returns its run_id.
 
@@ -87,7 +128,7 @@ def run_daily(
     this_run = spark.createDataFrame([(run_id, run_date)], "run_id string, run_date date")
     runs = f"{store}/runs"
     try:
-        batches = ingest_new_files(spark, landing, store, max_files)
+        batches = ingest_new_files(spark, landing, store, max_files, period)
     except Exception as error:
         zero = F.lit(0).cast("bigint")
         append_runs(

@@ -197,9 +197,9 @@ def test_newest_fetch_wins_whatever_the_batch(spark, random_bars, tmp_path):
     files, store = str(tmp_path / "files"), str(tmp_path / "store")
     newer, older = random_bars(31, symbols=1), random_bars(32, symbols=1)
     write_days(newer, files, START + datetime.timedelta(1))
-    daily_ingest.run_daily(spark, files, store, START)
+    daily_ingest.run_daily(spark, files, store, START, period="month")
     write_days(older, files, START)
-    daily_ingest.run_daily(spark, files, store, START)
+    daily_ingest.run_daily(spark, files, store, START, period="month")
     assert rows_of(daily_ingest.read_history(spark, store)) == rows_of(history.merge(older, newer))
 
 
@@ -236,6 +236,24 @@ def test_runs_are_logged(spark, make_bars, tmp_path):
     assert sorted(r.symbol for r in rejected) == ["A", "B"]
 
 
+def test_a_batch_remakes_only_its_own_periods(spark, make_bars, tmp_path):
+    files, store = str(tmp_path / "files"), tmp_path / "store"
+    days = ["2022-12-31", "2023-01-01", "2023-12-31", "2024-01-01"]
+    first = make_bars([("A", day, 10, 12, 9, 11, 1) for day in days])
+    write_days(first, files, START)
+    daily_ingest.run_daily(spark, files, str(store), START)
+    before = {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (store / "current").glob("period=*")}
+    assert sorted(before) == ["period=2022", "period=2023", "period=2024"]
+
+    second = make_bars([("A", day, 20, 22, 19, 21, 1) for day in [days[0], days[3]]])
+    write_days(second, files, START + datetime.timedelta(1))
+    daily_ingest.run_daily(spark, files, str(store), START)
+    after = {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (store / "current").glob("period=*")}
+    assert after["period=2023"] == before["period=2023"]
+    assert after["period=2022"] != before["period=2022"]
+    assert rows_of(daily_ingest.read_history(spark, str(store))) == rows_of(history.merge(first, second))
+
+
 def test_file_without_header_is_rejected(spark, make_bars, tmp_path):
     files, store = tmp_path / "files", str(tmp_path / "store")
     write_days(make_bars([("A", "2024-01-02", 10, 12, 9, 11, 1)]), str(files), START)
