@@ -14,6 +14,16 @@ def to_price(cents: Column) -> Column:
     return cents.cast("double") / 100
 
 
+def wide_key(high: Column, low: Column) -> Column:
+    """Two non-negative bigints as one number that sorts by ``high``, then ``low``.
+
+    Of fixed width, so aggregates ordered by it run by hash; ordered by a struct,
+    Spark would sort the rows.
+    """
+    shift = F.lit("1" + "0" * 19).cast("decimal(20,0)")  # above the largest bigint
+    return high.cast("decimal(19,0)") * shift + low.cast("decimal(19,0)")
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient as double; null where the denominator is 0."""
     return numerator.cast("double") / F.nullif(denominator, F.lit(0)).cast("double")

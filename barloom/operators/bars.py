@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 def daily_bars(ticks: DataFrame) -> DataFrame:
     """Ticks ``(symbol, trade_date, price_c, seq)`` to one bar per symbol and day.
 
-    ``seq`` orders the ticks inside a day and must be unique there; a number or
-    time is aggregated by hash, a struct works too but is sorted. The shuffle is on
-    ``(symbol, trade_date)`` and carries partial aggregates only, so a symbol
-    holding a third of all ticks is spread over its days and its ticks never
-    travel. Volume is the number of ticks.
+    ``seq`` orders the ticks inside a day and must be unique there. A number or
+    time is aggregated by hash (``wide_key`` makes one of two); a struct would be
+    sorted. The shuffle is on ``(symbol, trade_date)`` and carries partial
+    aggregates only, so a symbol holding a third of all ticks is spread over its
+    days and its ticks never travel. Volume is the number of ticks.
     """
     return ticks.groupBy("symbol", "trade_date").agg(
         F.min_by("price_c", "seq").alias("open_c"),

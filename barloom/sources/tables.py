@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.columns import to_cents
+from barloom.functions.columns import to_cents, wide_key
 from barloom.operators.bars import daily_bars
 
 
@@ -22,12 +22,19 @@ def order_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as ticks: a symbol per supplier, so many symbols."""
+    """Line items as ticks: a symbol per supplier, so many symbols.
+
+    Ordered by order, line (a digit), part and price (up to 8 digits of cents).
+    """
+    price_c = to_cents(F.col("l_extendedprice"))
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("symbol"),
         F.col("l_shipdate").cast("date").alias("trade_date"),
-        to_cents(F.col("l_extendedprice")).alias("price_c"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("seq"),
+        price_c.alias("price_c"),
+        wide_key(
+            F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+            F.col("l_partkey") * 100_000_000 + price_c,
+        ).alias("seq"),
     )
 
 

@@ -18,8 +18,6 @@ from barloom.schemas import BAR_COLUMNS, BARS
 from barloom.sources.landing import append_runs
 from barloom.sources.price_csv import FILE_SCHEMA, check_headers, stream_scan
 
-_PERIODS = {"year": "yyyy", "month": "yyyy-MM"}
-
 # A batch stores the raw row, the verdict on it, and two partition columns.
 _ROWS = T.StructType(
     [
@@ -40,7 +38,7 @@ def read_rows(spark: SparkSession, store: str) -> DataFrame:
 
 def read_history(spark: SparkSession, store: str) -> DataFrame:
     """The history: of each (symbol, trade_date) the bar of the newest fetch."""
-    schema = T.StructType([*BARS.fields, T.StructField("period", T.StringType())])
+    schema = T.StructType([*BARS.fields, T.StructField("period", T.DateType())])
     return spark.read.schema(schema).parquet(f"{store}/current").select(*BAR_COLUMNS)
 
 
@@ -48,19 +46,18 @@ def _refresh_history(spark: SparkSession, store: str, batch_id: int, period: str
     """Remake the periods of the history that a batch has bars in.
 
     They are made from the stored rows, never from themselves, so doing it again
-    after a failure gives the same. Only their names come to the driver, at most
-    as many as the calendar has months; the first and last go to the Parquet scan
-    as a range of days.
+    after a failure gives the same. Only their first days come to the driver, at
+    most as many as the calendar has months; the earliest and latest go to the
+    Parquet scan as a range of days.
     """
-    label = F.date_format("trade_date", _PERIODS[period])
+    label = F.trunc("trade_date", period)
     sound = read_rows(spark, store).where("is_ok").withColumn("period", label)
     new = sound.where(F.col("batch_id") == batch_id)
     periods = sorted(row["period"] for row in new.select("period").distinct().collect())
     if not periods:
         return
-    first, last = (F.to_date(F.lit(name), _PERIODS[period]) for name in (periods[0], periods[-1]))
-    in_span = (F.col("trade_date") >= first) & (
-        F.col("trade_date") < F.add_months(last, 12 if period == "year" else 1)
+    in_span = (F.col("trade_date") >= F.lit(periods[0])) & (
+        F.col("trade_date") < F.add_months(F.lit(periods[-1]), 12 if period == "year" else 1)
     )
     touched = sound.where(in_span & F.col("period").isin(periods))
     bars = latest(to_bars(touched, "fetch_date", "batch_id"), "fetch_date", "batch_id")

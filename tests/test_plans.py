@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from barloom.operators import indicators, quality
 from barloom.sources import price_csv
-from barloom.sources.tables import order_bars
+from barloom.sources.tables import order_bars, supplier_bars
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,7 +34,8 @@ def test_no_global_step(spark, name):
 def test_ticks_are_combined_before_the_shuffle(spark):
     plan = plan_of(order_bars(spark, SF))
     assert re.search(r"HashAggregate.*\n.*Exchange hashpartitioning\(symbol#\d+, trade_date#\d+.*\n.*partial_min_by", plan)
-    assert "SortAggregate" not in plan
+    for bars in [order_bars(spark, SF), supplier_bars(spark, SF)]:
+        assert "SortAggregate" not in plan_of(bars)
 
 
 def test_chained_indicators_share_one_shuffle(spark):

@@ -243,14 +243,14 @@ def test_a_batch_remakes_only_its_own_periods(spark, make_bars, tmp_path):
     write_days(first, files, START)
     daily_ingest.run_daily(spark, files, str(store), START)
     before = {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (store / "current").glob("period=*")}
-    assert sorted(before) == ["period=2022", "period=2023", "period=2024"]
+    assert sorted(before) == ["period=2022-01-01", "period=2023-01-01", "period=2024-01-01"]
 
     second = make_bars([("A", day, 20, 22, 19, 21, 1) for day in [days[0], days[3]]])
     write_days(second, files, START + datetime.timedelta(1))
     daily_ingest.run_daily(spark, files, str(store), START)
     after = {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (store / "current").glob("period=*")}
-    assert after["period=2023"] == before["period=2023"]
-    assert after["period=2022"] != before["period=2022"]
+    assert after["period=2023-01-01"] == before["period=2023-01-01"]
+    assert after["period=2022-01-01"] != before["period=2022-01-01"]
     assert rows_of(daily_ingest.read_history(spark, str(store))) == rows_of(history.merge(first, second))
 
 
@@ -312,3 +312,13 @@ def test_streamed_bars_over_several_files(spark, tmp_path):
         "2024-01-05": (500, 500, 500, 500, 1),
         "2024-01-06": (400, 400, 400, 400, 1),
     }
+
+
+def test_wide_key_sorts_by_high_then_low(spark):
+    from barloom.functions.columns import wide_key
+
+    top = 2**63 - 1
+    pairs = [(a, b) for a in (0, 1, 9, 10**18, top) for b in (0, 1, 10**18, top)]
+    df = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(3)
+    got = df.orderBy(wide_key(F.col("a"), F.col("b"))).collect()
+    assert [tuple(r) for r in got] == sorted(pairs)
