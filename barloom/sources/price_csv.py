@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.schemas import CSV_DDL, CSV_HEADER, CSV_SCHEMA
+from barloom.sources.scratch import materialize
 
 _PARTITIONS = [
     T.StructField("fetch_date", T.DateType()),
@@ -57,14 +58,19 @@ def files_without_header(scanned: DataFrame) -> DataFrame:
 def check_headers(scanned: DataFrame) -> DataFrame:
     """The price rows of a scan with ``header_ok``, false if their file lacks the header.
 
-    The right side holds one row per faulty file. Its size is left to the
-    adaptive planner: small, it is broadcast; large, the sorted join splits a
-    file that dominates.
+    The faulty files are found and written first, so the rows need no join when
+    there are none. When there are, Spark knows the size of the written list: it
+    broadcasts a small one and leaves the rows where they are; for a long one its
+    sorted join splits a file that dominates.
     """
-    faulty = files_without_header(scanned).withColumn("faulty", F.lit(True))
+    faulty = materialize(
+        files_without_header(scanned).withColumn("faulty", F.lit(True)), "faulty_files"
+    )
+    rows = without_headers(scanned)
+    if faulty.isEmpty():
+        return rows.withColumn("header_ok", F.lit(True))
     return (
-        without_headers(scanned)
-        .join(faulty, "source_file", "left")
+        rows.join(faulty, "source_file", "left")
         .withColumn("header_ok", F.col("faulty").isNull())
         .drop("faulty")
     )
@@ -80,7 +86,7 @@ def read_prices(spark: SparkSession, path: str, header: str = CSV_HEADER) -> Dat
 
 
 def read_checked(spark: SparkSession, path: str, header: str = CSV_HEADER) -> DataFrame:
-    """``read_prices`` with ``header_ok`` for each row."""
+    """``read_prices`` with ``header_ok`` for each row; reads the files once to find it."""
     return check_headers(_scan_path(spark, path, header))
 
 

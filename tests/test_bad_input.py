@@ -117,10 +117,21 @@ def test_files(spark, tmp_path):
     assert raw.select("_bad").where("_bad is not null").count() == 2
     faulty = price_csv.files_without_header(price_csv._scan_path(spark, path, CSV_HEADER)).collect()
     assert sorted(r.source_file.rsplit("/", 1)[1] for r in faulty) == ["bare.csv", "other.csv"]
-    checked = quality.classify(price_csv.read_checked(spark, path), ["source_file"], ["fetch_date"])
+    rows = price_csv.read_checked(spark, path)
+    assert "BroadcastHashJoin" in rows._jdf.queryExecution().executedPlan().toString()
+    checked = quality.classify(rows, ["source_file"], ["fetch_date"])
     assert reasons(checked) == {"accepted": 1, "unparsable": 1, "bad_header": 3}
 
 
+def test_files_that_all_have_headers_are_not_joined(spark, tmp_path):
+    folder = tmp_path / "fetch_date=2024-01-05" / "symbol=A"
+    folder.mkdir(parents=True)
+    (folder / "good.csv").write_text(body(GOOD))
+    rows = price_csv.read_checked(spark, str(tmp_path))
+    assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert [r.header_ok for r in rows.collect()] == [True]
+
+
 RAW = (
     "symbol string, trade_date date, open decimal(18,4), high decimal(18,4), low decimal(18,4), "
     "close decimal(18,4), volume bigint, _bad string, line_no int"
