@@ -1,13 +1,14 @@
 """The daily job: take in the files that are new, then stop.
 
 A store holds ``rows``, every row ever read with the verdict on it, a directory
-per batch; ``current``, the history made from them, a directory per period; and
-``runs``, a row per run.
+per batch; ``current``, the history made from them, a directory per period;
+``refreshed``, up to which batch it is made; and ``runs``, a row per run.
 """
 
 import datetime
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,33 +30,47 @@ _ROWS = T.StructType(
         T.StructField("is_ok", T.BooleanType()),
     ]
 )
+_CURRENT = T.StructType([*BARS.fields, T.StructField("period", T.DateType())])
+_REFRESHED = T.StructType([T.StructField("batch_id", T.LongType())])
+
+
+def _read_if_there(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """A Parquet table, empty if nothing was written to it yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_rows(spark: SparkSession, store: str) -> DataFrame:
     """Every row ever taken in, accepted or not."""
-    return spark.read.schema(_ROWS).parquet(f"{store}/rows")
+    return _read_if_there(spark, _ROWS, f"{store}/rows")
 
 
 def read_history(spark: SparkSession, store: str) -> DataFrame:
     """The history: of each (symbol, trade_date) the bar of the newest fetch."""
-    schema = T.StructType([*BARS.fields, T.StructField("period", T.DateType())])
-    return spark.read.schema(schema).parquet(f"{store}/current").select(*BAR_COLUMNS)
+    return _read_if_there(spark, _CURRENT, f"{store}/current").select(*BAR_COLUMNS)
 
 
-def _refresh_history(spark: SparkSession, store: str, batch_id: int, period: str) -> None:
-    """Remake the periods of the history that a batch has bars in.
+def refresh_history(spark: SparkSession, store: str, period: str) -> None:
+    """Remake the periods of the history in which batches since the last refresh have bars.
 
-    They are made from the stored rows, never from themselves, so doing it again
-    after a failure gives the same. Only their first days come to the driver, at
-    most as many as the calendar has months; the earliest and latest go to the
-    Parquet scan as a range of days.
+    They are made from the stored rows, never from themselves, and the newest
+    batch is noted last, so a refresh that broke off is done again by the next
+    run. Only the first days of the periods come to the driver, at most as many as
+    the calendar has months; the earliest and latest go to the Parquet scan as a
+    range of days.
     """
+    noted = _read_if_there(spark, _REFRESHED, f"{store}/refreshed").agg(F.max("batch_id")).first()[0]
     label = F.trunc("trade_date", period)
     sound = read_rows(spark, store).where("is_ok").withColumn("period", label)
-    new = sound.where(F.col("batch_id") == batch_id)
-    periods = sorted(row["period"] for row in new.select("period").distinct().collect())
-    if not periods:
+    new = sound.where(F.col("batch_id") > F.lit(-1 if noted is None else noted))
+    news = new.groupBy("period").agg(F.max("batch_id").alias("batch_id")).collect()
+    if not news:
         return
+    periods = sorted(row["period"] for row in news)
     in_span = (F.col("trade_date") >= F.lit(periods[0])) & (
         F.col("trade_date") < F.add_months(F.lit(periods[-1]), 12 if period == "year" else 1)
     )
@@ -69,6 +84,8 @@ def _refresh_history(spark: SparkSession, store: str, batch_id: int, period: str
         .partitionBy("period")
         .parquet(f"{store}/current")
     )
+    newest = max(row["batch_id"] for row in news)
+    spark.createDataFrame([(newest,)], _REFRESHED).write.mode("append").parquet(f"{store}/refreshed")
 
 
 def ingest_new_files(
@@ -77,9 +94,11 @@ def ingest_new_files(
     """Check and store the files not seen before; returns the ids of the batches written.
 
     A batch is written in one pass, sound and rejected rows side by side, to a
-    directory of its own that a replay overwrites; then the periods it touches
-    ("year" or "month", the same for all runs of a store) are remade. Together with the checkpoint every file counts exactly once. A file rewritten under its old name is not
-    seen again, so landed names must be new for each fetch.
+    directory of its own that a replay overwrites. Together with the checkpoint
+    every file counts exactly once. A file rewritten under its old name is not
+    seen again, so landed names must be new for each fetch. After the batches,
+    the history is refreshed by ``period`` ("year" or "month", the same for all
+    runs of a store).
     """
     written: list[int] = []
 
@@ -92,7 +111,6 @@ def ingest_new_files(
             .partitionBy("is_ok")
             .parquet(f"{store}/rows/batch_id={batch_id}")
         )
-        _refresh_history(batch.sparkSession, store, batch_id, period)
         written.append(batch_id)
 
     query = (
@@ -103,6 +121,7 @@ def ingest_new_files(
         .start()
     )
     query.awaitTermination()
+    refresh_history(spark, store, period)
     return written
 
 
@@ -137,10 +156,7 @@ def run_daily(
             runs,
         )
         raise
-    if batches:
-        rows = read_rows(spark, store).where(F.col("batch_id").isin(batches))
-    else:
-        rows = spark.createDataFrame([], _ROWS)
+    rows = read_rows(spark, store).where(F.col("batch_id").isin(batches))
     append_runs(run_log(this_run, rows.withColumn("run_id", F.lit(run_id))), runs)
     return run_id
 

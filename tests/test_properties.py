@@ -288,6 +288,27 @@ def test_failing_run_is_logged_and_raised(spark, make_bars, tmp_path, monkeypatc
     assert daily_ingest.read_history(spark, store).count() == 1
 
 
+def test_refresh_that_broke_off_is_done_by_the_next_run(spark, random_bars, tmp_path, monkeypatch):
+    files, store = str(tmp_path / "files"), str(tmp_path / "store")
+    first, second = random_bars(40), random_bars(41)
+    write_days(first, files, START)
+    daily_ingest.run_daily(spark, files, store, START)
+
+    write_days(second, files, START + datetime.timedelta(1))
+    with monkeypatch.context() as patch:
+        patch.setattr(daily_ingest, "latest", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            daily_ingest.run_daily(spark, files, store, START)
+    assert rows_of(daily_ingest.read_history(spark, store)) == rows_of(first)
+    daily_ingest.run_daily(spark, files, store, START)
+    assert rows_of(daily_ingest.read_history(spark, store)) == rows_of(history.merge(first, second))
+
+
+def test_empty_store(spark, tmp_path):
+    assert daily_ingest.read_history(spark, str(tmp_path / "none")).count() == 0
+    assert daily_ingest.read_rows(spark, str(tmp_path / "none")).count() == 0
+
+
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
