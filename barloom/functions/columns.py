@@ -29,31 +29,32 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(denominator, F.lit(0)).cast("double")
 
 
-def over(agg: Column, window) -> Column:
-    return agg if window is None else agg.over(window)
-
-
 def mean_price(cents: Column, window=None) -> Column:
     """Mean of integer cents, as a price. The sum is exact, so the mean does
     not depend on the order rows arrive in."""
-    return (
-        over(F.sum(cents), window).cast("double")
-        / over(F.count(cents), window)
-        / 100
-    )
+    total, n = F.sum(cents), F.count(cents)
+    if window is not None:
+        total, n = total.over(window), n.over(window)
+    return ratio(total, n) / 100
+
+
+def exact(cents: Column) -> Column:
+    """Wide enough for sums of squares."""
+    return cents.cast(_EXACT)
+
+
+def square(cents: Column) -> Column:
+    return (exact(cents) * exact(cents)).cast(_EXACT)
 
 
-def sample_sd_price(cents: Column, window=None) -> Column:
-    """Sample standard deviation of integer cents, as a price.
+def sd_price(n: Column, total: Column, squares: Column) -> Column:
+    """Sample standard deviation, as a price, from count, sum and sum of squares in cents.
 
-    Built from exact integer moments: a floating-point variance would change in
-    its last digits with the order of the rows. Null for fewer than two rows.
+    The moments are exact integers: a floating-point variance would change in its
+    last digits with the order of the rows. Null for fewer than two rows.
     """
-    exact = cents.cast(_EXACT)
-    n = over(F.count(cents), window).cast("decimal(18,0)")
-    s1 = over(F.sum(exact), window)
-    s2 = over(F.sum((exact * exact).cast(_EXACT)), window)
-    spread = (n * s2 - s1 * s1).cast("double")
+    n = n.cast("decimal(18,0)")
+    spread = (n * squares - total * total).cast("double")
     return F.when(n > 1, F.sqrt(spread / (n * (n - 1)).cast("double")) / 100)
 
 

@@ -16,7 +16,7 @@ from pyspark.mllib.regression import LabeledPoint, LinearRegressionWithSGD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.columns import mean_price, to_price
+from barloom.functions.columns import exact, mean_price, square, to_price
 from barloom.functions.windows import by_day, so_far, trailing
 
 FEATURES = ["x1", "x2"]
@@ -225,21 +225,20 @@ def walk_forward(bars: DataFrame, min_pairs: int = 30) -> DataFrame:
     at t is fitted on the pairs up to t from running, exact integer sums, so no
     later price can enter it; it predicts the close after t.
     """
-    exact = "decimal(38,0)"
     day, past = by_day(), so_far()
     paired = bars.select(
         "symbol", "trade_date", "close_c", F.lag("close_c").over(day).alias("prev_c"),
         F.lead("close_c").over(day).alias("next_c"),
     )
-    x, y = F.col("prev_c").cast(exact), F.col("close_c").cast(exact)
-    y = F.when(x.isNotNull(), y)
+    x = exact(F.col("prev_c"))
+    y = F.when(x.isNotNull(), exact(F.col("close_c")))
     sums = paired.withColumns(
         {
             "n": F.count("prev_c").over(past),
             "sx": F.sum(x).over(past),
             "sy": F.sum(y).over(past),
-            "sxx": F.sum((x * x).cast(exact)).over(past),
-            "sxy": F.sum((x * y).cast(exact)).over(past),
+            "sxx": F.sum(square(F.col("prev_c"))).over(past),
+            "sxy": F.sum(exact(x * y)).over(past),
         }
     )
     n, sx, sy = F.col("n").cast("decimal(18,0)"), F.col("sx"), F.col("sy")

@@ -8,8 +8,16 @@ costs one shuffle and one sort.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.columns import day_of_week, mean_price, ratio, sample_sd_price, to_price
-from barloom.functions.windows import by_day, so_far, trailing
+from barloom.functions.columns import (
+    day_of_week,
+    exact,
+    mean_price,
+    ratio,
+    sd_price,
+    square,
+    to_price,
+)
+from barloom.functions.windows import by_day, so_far, trailing, trailing_total
 
 
 def daily_return(bars: DataFrame) -> DataFrame:
@@ -25,14 +33,31 @@ def log_return(bars: DataFrame) -> DataFrame:
 
 def moving_average(bars: DataFrame, *rows: int) -> DataFrame:
     """Adds ``sma_<n>`` for each n: mean close of the last n bars (fewer at the start)."""
-    return bars.withColumns(
-        {f"sma_{n}": mean_price(F.col("close_c"), trailing(n)) for n in rows}
+    totals = bars.withColumns(
+        {"_n": F.count("close_c").over(so_far()), "_total": F.sum("close_c").over(so_far())}
     )
+    means = {
+        f"sma_{n}": ratio(trailing_total("_total", n), trailing_total("_n", n)) / 100 for n in rows
+    }
+    return totals.withColumns(means).drop("_n", "_total")
 
 
 def rolling_volatility(bars: DataFrame, rows: int = 20) -> DataFrame:
     """Adds ``sd_<n>``: sample standard deviation of the last n closes."""
-    return bars.withColumn(f"sd_{rows}", sample_sd_price(F.col("close_c"), trailing(rows)))
+    close = F.col("close_c")
+    totals = bars.withColumns(
+        {
+            "_n": F.count(close).over(so_far()),
+            "_total": F.sum(exact(close)).over(so_far()),
+            "_squares": F.sum(square(close)).over(so_far()),
+        }
+    )
+    moments = ["_n", "_total", "_squares"]
+    return (
+        totals.withColumns({name: trailing_total(name, rows) for name in moments})
+        .withColumn(f"sd_{rows}", sd_price(*[F.col(name) for name in moments]))
+        .drop(*moments)
+    )
 
 
 def rolling_high_low(bars: DataFrame, rows: int = 20) -> DataFrame:
@@ -106,13 +131,14 @@ def top_movers(bars: DataFrame, k: int = 3) -> DataFrame:
 
 def summary_stats(bars: DataFrame) -> DataFrame:
     """Count, range, mean, sample deviation and exact quartiles of close, per symbol."""
-    quartiles = F.percentile("close_c", [0.25, 0.5, 0.75])
+    close = F.col("close_c")
+    quartiles = F.percentile(close, [0.25, 0.5, 0.75])
     return bars.groupBy("symbol").agg(
-        F.count("close_c").alias("n"),
-        to_price(F.min("close_c")).alias("min_close"),
-        to_price(F.max("close_c")).alias("max_close"),
-        mean_price(F.col("close_c")).alias("mean_close"),
-        sample_sd_price(F.col("close_c")).alias("sd_close"),
+        F.count(close).alias("n"),
+        to_price(F.min(close)).alias("min_close"),
+        to_price(F.max(close)).alias("max_close"),
+        mean_price(close).alias("mean_close"),
+        sd_price(F.count(close), F.sum(exact(close)), F.sum(square(close))).alias("sd_close"),
         quartiles.alias("_q"),
     ).select(
         "symbol", "n", "min_close", "max_close", "mean_close", "sd_close",
@@ -155,10 +181,13 @@ def true_range(bars: DataFrame) -> DataFrame:
 
 def volume_stats(bars: DataFrame, rows: int = 20, spike: float = 2.0) -> DataFrame:
     """Adds the mean volume of the last n bars, the ratio to it and a spike flag."""
-    frame = trailing(rows)
-    mean = F.sum("volume").over(frame).cast("double") / F.count("volume").over(frame)
+    totals = bars.withColumns(
+        {"_n": F.count("volume").over(so_far()), "_total": F.sum("volume").over(so_far())}
+    )
+    mean = ratio(trailing_total("_total", rows), trailing_total("_n", rows))
     return (
-        bars.withColumn("mean_volume", mean)
+        totals.withColumn("mean_volume", mean)
+        .drop("_n", "_total")
         .withColumn("volume_ratio", ratio(F.col("volume"), F.col("mean_volume")))
         .withColumn("is_spike", F.coalesce(F.col("volume_ratio") >= spike, F.lit(False)))
     )

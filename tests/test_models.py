@@ -14,7 +14,9 @@ CUT = datetime.date(2000, 1, 1)
 
 @pytest.fixture(scope="module")
 def rows(spark):
-    return fc.chrono_split(fc.features(order_bars(spark, SF)), CUT).cache()
+    cached = fc.chrono_split(fc.features(order_bars(spark, SF)), CUT).cache()
+    yield cached
+    cached.unpersist()
 
 
 @pytest.fixture(scope="module")

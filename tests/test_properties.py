@@ -23,7 +23,9 @@ def rows_of(df):
 
 @pytest.fixture(scope="module")
 def bars(spark):
-    return order_bars(spark, SF).cache()
+    cached = order_bars(spark, SF).cache()
+    yield cached
+    cached.unpersist()  # or plans tested later would show the cache
 
 
 @pytest.fixture
@@ -343,3 +345,24 @@ def test_wide_key_sorts_by_high_then_low(spark):
     df = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(3)
     got = df.orderBy(wide_key(F.col("a"), F.col("b"))).collect()
     assert [tuple(r) for r in got] == sorted(pairs)
+
+
+@pytest.mark.parametrize("rows", [1, 2, 7, 60])
+def test_rolling_measures_against_lists(random_bars, rows):
+    import statistics
+
+    bars = random_bars(50, symbols=2)
+    both = indicators.volume_stats(
+        indicators.rolling_volatility(indicators.moving_average(bars, rows), rows), rows
+    )
+    for symbol in ["S0", "S1"]:
+        got = both.where(F.col("symbol") == symbol).orderBy("trade_date").collect()
+        for t, row in enumerate(got):
+            part = got[max(0, t - rows + 1) : t + 1]
+            closes = [r.close_c / 100 for r in part]
+            assert row[f"sma_{rows}"] == pytest.approx(statistics.mean(closes))
+            if len(closes) > 1:
+                assert row[f"sd_{rows}"] == pytest.approx(statistics.stdev(closes), abs=1e-9)
+            else:
+                assert row[f"sd_{rows}"] is None
+            assert row.mean_volume == pytest.approx(statistics.mean(r.volume for r in part))
