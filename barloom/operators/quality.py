@@ -43,8 +43,8 @@ def classify(
     """Raw price rows with ``reasons``, why each is rejected; empty if it is accepted.
 
     ``raw`` has ``symbol``, the price CSV columns and optionally ``header_ok``.
-    Of the sound rows sharing a (symbol, trade_date) the first by ``order`` is
-    accepted; the others get ``duplicate_key``. ``fetch`` names the columns that
+    Of the sound rows sharing a (symbol, trade_date) the first by ``order``, then
+    by the other columns, is accepted; the others get ``duplicate_key``. ``fetch`` names the columns that
     tell fetches apart: the same key in two fetches is a restatement, no duplicate.
     Every row read is in the result.
 
@@ -116,8 +116,9 @@ def run_log(runs: DataFrame, checked: DataFrame) -> DataFrame:
     """One row per run: status, reason and row counts.
 
     ``runs`` lists (run_id, run_date), one row or several per run; ``checked``
-    is classified rows carrying ``run_id``. A run that delivered no acceptable
-    row has failed even when the download itself succeeded.
+    is classified rows carrying ``run_id``. A run that delivered rows but no
+    acceptable one has failed, even when the download itself succeeded; one that
+    delivered none is empty, as on a holiday.
     """
     delivered = checked.select(
         "run_id",
@@ -126,7 +127,9 @@ def run_log(runs: DataFrame, checked: DataFrame) -> DataFrame:
         (F.size("reasons") == 0).cast("int").alias("good"),
     )
     started = runs.select("run_id", "run_date", F.lit(0).alias("read"), F.lit(0).alias("good"))
-    status = F.when(F.col("rows_ok") > 0, "ok").otherwise("failed")
+    status = (
+        F.when(F.col("rows_in") == 0, "empty").when(F.col("rows_ok") > 0, "ok").otherwise("failed")
+    )
     reason = (
         F.when(F.col("rows_in") == 0, "no rows delivered")
         .when(F.col("rows_ok") == 0, "no acceptable row")

@@ -155,8 +155,8 @@ def daily_ingest(spark, sf_dir):
             union all
             select date '2002-12-31', count(distinct symbol), 0 from bars)
       select cast(run_date as varchar) as run_id, run_date,
-             case when rows_ok > 0 then 'ok' else 'failed' end as status,
-             case when rows_ok = 0 then 'no acceptable row'
+             case when rows_in = 0 then 'empty' when rows_ok > 0 then 'ok' else 'failed' end as status,
+             case when rows_in = 0 then 'no rows delivered' when rows_ok = 0 then 'no acceptable row'
                   when rows_in > rows_ok then 'some rows rejected' else '' end as reason,
              rows_in, rows_ok, rows_in - rows_ok as rows_rejected
       from c""",

@@ -231,7 +231,7 @@ def test_runs_are_logged(spark, make_bars, tmp_path):
     got = [tuple(r)[1:] for r in daily_ingest.read_runs(spark, store).orderBy("run_date").collect()]
     assert got == [
         (datetime.date(2024, 1, 4), "ok", "some rows rejected", 2, 1, 1),
-        (datetime.date(2024, 1, 5), "failed", "no rows delivered", 0, 0, 0),
+        (datetime.date(2024, 1, 5), "empty", "no rows delivered", 0, 0, 0),
         (datetime.date(2024, 1, 6), "failed", "no acceptable row", 1, 0, 1),
     ]
     rejected = daily_ingest.read_rows(spark, store).where("not is_ok").collect()
@@ -290,6 +290,26 @@ def test_failing_run_is_logged_and_raised(spark, make_bars, tmp_path, monkeypatc
     assert daily_ingest.read_history(spark, store).count() == 1
 
 
+def test_submitted_job(spark, make_bars, tmp_path, capsys):
+    import json
+
+    import daily
+
+    files, store = str(tmp_path / "files"), str(tmp_path / "store")
+
+    def submit():
+        code = daily.main(["--landing", files, "--store", store, "--run-date", "2024-01-04"])
+        return code, json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"]
+
+    write_days(make_bars([("A", "2024-01-02", 10, 12, 9, 11, 1)]), files, START)
+    assert submit() == (0, "ok")
+    assert submit() == (0, "empty")
+    write_days(make_bars([("A", "2024-01-03", 10, 9, 12, 11, 1)]), files, START)
+    assert submit() == (1, "failed")
+    with pytest.raises(SystemExit):
+        daily.main(["--landing", files])
+
+
 def test_refresh_that_broke_off_is_done_by_the_next_run(spark, random_bars, tmp_path, monkeypatch):
     files, store = str(tmp_path / "files"), str(tmp_path / "store")
     first, second = random_bars(40), random_bars(41)
