@@ -2,7 +2,8 @@
 
 from pyspark.sql import types as T
 
-# The assumed layout of a daily price CSV, and its header line.
+# The assumed layout of a daily price CSV, and its usual header line. Columns are
+# bound by position; readers take another header line as an argument.
 CSV_HEADER = "trade_date,open,high,low,close,volume"
 CSV_SCHEMA = (
     T.StructType()

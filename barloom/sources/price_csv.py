@@ -1,5 +1,7 @@
 """Price CSV: files landed as ``fetch_date=.../symbol=.../*.csv``, and fetched bodies."""
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +92,16 @@ def read_checked(spark: SparkSession, path: str, header: str = CSV_HEADER) -> Da
     return check_headers(_scan_path(spark, path, header))
 
 
+def read_flat(
+    spark: SparkSession, path: str, symbol: str, fetch_date: datetime.date, header: str = CSV_HEADER
+) -> DataFrame:
+    """``read_checked`` for files of one symbol and fetch whose path names neither."""
+    files = spark.read.schema(CSV_SCHEMA).options(**READ_OPTIONS).csv(path)
+    return check_headers(scan(files, header)).withColumns(
+        {"fetch_date": F.lit(fetch_date), "symbol": F.lit(symbol)}
+    )
+
+
 def stream_scan(
     spark: SparkSession, path: str, max_files: int | None = None, header: str = CSV_HEADER
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from barloom.operators.history import latest
 from barloom.operators.quality import classify, run_log, to_bars
-from barloom.schemas import BAR_COLUMNS, BARS
+from barloom.schemas import BAR_COLUMNS, BARS, CSV_HEADER
 from barloom.sources.landing import append_runs
 from barloom.sources.price_csv import FILE_SCHEMA, check_headers, stream_scan
 
@@ -89,7 +89,12 @@ def refresh_history(spark: SparkSession, store: str, period: str) -> None:
 
 
 def ingest_new_files(
-    spark: SparkSession, landing: str, store: str, max_files: int | None = None, period: str = "year"
+    spark: SparkSession,
+    landing: str,
+    store: str,
+    max_files: int | None = None,
+    period: str = "year",
+    header: str = CSV_HEADER,
 ) -> list[int]:
     """Check and store the files not seen before; returns the ids of the batches written.
 
@@ -114,7 +119,7 @@ def ingest_new_files(
         written.append(batch_id)
 
     query = (
-        stream_scan(spark, landing, max_files)
+        stream_scan(spark, landing, max_files, header)
         .writeStream.foreachBatch(store_batch)
         .option("checkpointLocation", f"{store}/checkpoint")
         .trigger(availableNow=True)
@@ -132,6 +137,7 @@ def run_daily(
     run_date: datetime.date,
     max_files: int | None = None,
     period: str = "year",
+    header: str = CSV_HEADER,
 ) -> str:
     """One scheduled run; leaves one row in the run table and returns its run_id.
 
@@ -144,7 +150,7 @@ def run_daily(
     this_run = spark.createDataFrame([(run_id, run_date)], "run_id string, run_date date")
     runs = f"{store}/runs"
     try:
-        batches = ingest_new_files(spark, landing, store, max_files, period)
+        batches = ingest_new_files(spark, landing, store, max_files, period, header)
     except Exception as error:
         zero = F.lit(0).cast("bigint")
         append_runs(

@@ -123,6 +123,18 @@ def test_files(spark, tmp_path):
     assert reasons(checked) == {"accepted": 1, "unparsable": 1, "bad_header": 3}
 
 
+def test_flat_file_with_another_header(spark, tmp_path):
+    header = "timestamp,open,high,low,close,volume"
+    (tmp_path / "prices.csv").write_text(body(GOOD, header=header.title()))
+    raw = price_csv.read_flat(spark, str(tmp_path / "prices.csv"), "ABC", DAY, header)
+    good, rejects = quality.validate(raw, ["source_file"], ["fetch_date"])
+    assert [tuple(r) for r in quality.to_bars(good).collect()] == [("ABC", DAY, 1000, 1100, 900, 1050, 100)]
+    assert rejects.count() == 0
+    # Against the usual header the file does not pass.
+    usual = price_csv.read_flat(spark, str(tmp_path / "prices.csv"), "ABC", DAY)
+    assert reasons(quality.classify(usual, ["source_file"], ["fetch_date"])) == {"bad_header": 2}
+
+
 def test_files_that_all_have_headers_are_not_joined(spark, tmp_path):
     folder = tmp_path / "fetch_date=2024-01-05" / "symbol=A"
     folder.mkdir(parents=True)

@@ -238,6 +238,15 @@ def test_runs_are_logged(spark, make_bars, tmp_path):
     assert sorted(r.symbol for r in rejected) == ["A", "B"]
 
 
+def test_ingest_with_another_header(spark, tmp_path):
+    folder = tmp_path / "files" / "fetch_date=2024-01-05" / "symbol=A"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("day,o,h,l,c,v\n2024-01-02,1,1,1,1,1\n")
+    store = str(tmp_path / "store")
+    daily_ingest.run_daily(spark, str(tmp_path / "files"), store, START, header="day,o,h,l,c,v")
+    assert daily_ingest.read_history(spark, store).count() == 1
+
+
 def test_a_batch_remakes_only_its_own_periods(spark, make_bars, tmp_path):
     files, store = str(tmp_path / "files"), tmp_path / "store"
     days = ["2022-12-31", "2023-01-01", "2023-12-31", "2024-01-01"]
