@@ -199,3 +199,52 @@ def weekday_effect(spark, sf_dir):
 @query("month_effect", _effect_sql("month", "month(trade_date)"))
 def month_effect(spark, sf_dir):
     return indicators.month_effect(order_bars(spark, sf_dir))
+
+
+@query(
+    "indicator_panel",
+    f"""with {SUPPLIER_BARS},
+      w as (
+        select *, lag(close_c) over d as prev_c, lag(trade_date) over d as prev_date,
+          first_value(close_c) over d as first_c, max(close_c) over d as peak_c,
+          sum(close_c) over f5 as s5, count(*) over f5 as n5,
+          cast(count(*) over f20 as hugeint) as n, sum(cast(close_c as hugeint)) over f20 as s1,
+          sum(cast(close_c as hugeint) * close_c) over f20 as s2,
+          max(high_c) over f20 as range_high_c, min(low_c) over f20 as range_low_c,
+          cast(sum(volume) over f20 as double) / count(*) over f20 as mean_volume
+        from bars
+        window d as {_DAY}, f5 as {_rows(5)}, f20 as {_rows(20)})
+      select symbol, trade_date, close_c,
+        cast(close_c as double) / nullif(cast(prev_c as double), 0) - 1 as ret,
+        cast(s5 as double) / n5 / 100 as sma_5,
+        cast(s1 as double) / cast(n as double) / 100 as sma_20,
+        case when n > 1 then sqrt(cast(n * s2 - s1 * s1 as double) / cast(n * (n - 1) as double)) / 100
+        end as sd_20,
+        cast(close_c - range_low_c as double)
+          / nullif(cast(range_high_c - range_low_c as double), 0) as range_position,
+        cast(close_c as double) / nullif(cast(first_c as double), 0) * 100 as index_100,
+        cast(close_c as double) / nullif(cast(peak_c as double), 0) - 1 as drawdown,
+        greatest(high_c - low_c, abs(high_c - prev_c), abs(low_c - prev_c)) as true_range_c,
+        cast(datediff('day', prev_date, trade_date) as integer) as gap_days,
+        cast(volume as double) / nullif(mean_volume, 0) as volume_ratio
+      from w""",
+)
+def indicator_panel(spark, sf_dir):
+    """The indicators side by side over many symbols: one shuffle and one sort by symbol."""
+    bars = supplier_bars(spark, sf_dir)
+    for add in [
+        indicators.daily_return,
+        lambda rows: indicators.moving_average(rows, 5, 20),
+        indicators.rolling_volatility,
+        indicators.rolling_high_low,
+        indicators.indexed_close,
+        indicators.drawdown,
+        indicators.true_range,
+        indicators.date_gaps,
+        indicators.volume_stats,
+    ]:
+        bars = add(bars)
+    return bars.select(
+        *KEY, "close_c", "ret", "sma_5", "sma_20", "sd_20", "range_position", "index_100",
+        "drawdown", "true_range_c", "gap_days", "volume_ratio",
+    )

@@ -140,13 +140,13 @@ def parse_payloads(payloads: DataFrame, header: str = CSV_HEADER) -> DataFrame:
     as one such line. No shuffle; what a task holds at a time is one body.
     """
     kept = [name for name in payloads.columns if name != "body"]
-    lines = payloads.select(
+    split = payloads.select(
         *kept, F.split(F.coalesce(F.col("body"), F.lit("")), "\r?\n").alias("lines")
-    ).select(
-        *kept,
-        _is_header(F.col("lines")[0], header).alias("header_ok"),
-        F.posexplode("lines").alias("line_no", "line"),
     )
+    # The flag is made in a step of its own: beside the explode, Spark would carry
+    # the whole body along with each of its lines.
+    flagged = split.withColumn("header_ok", _is_header(F.col("lines")[0], header))
+    lines = flagged.select(*kept, "header_ok", F.posexplode("lines").alias("line_no", "line"))
     wanted = F.when(F.col("line_no") == 0, ~F.col("header_ok")).otherwise(F.trim("line") != "")
     return (
         lines.where(wanted)

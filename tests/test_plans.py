@@ -7,7 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from barloom.operators import indicators, quality
+from barloom.operators import quality
 from barloom.sources import price_csv
 from barloom.sources.tables import order_bars, supplier_bars
 
@@ -39,12 +39,7 @@ def test_ticks_are_combined_before_the_shuffle(spark):
 
 
 def test_chained_indicators_share_one_shuffle(spark):
-    bars = order_bars(spark, SF)
-    plan = plan_of(
-        indicators.true_range(
-            indicators.drawdown(indicators.rolling_volatility(indicators.moving_average(indicators.daily_return(bars), 5, 20)))
-        )
-    )
+    plan = plan_of(entry.queries()["indicator_panel"](spark, SF))
     assert plan.count("Exchange") == 2 and plan.count("+- Sort") == 1
 
 
@@ -69,6 +64,12 @@ def test_unneeded_bar_columns_are_not_computed(spark):
     assert "min_by" not in plan and "max_by" in plan
 
 
+def test_lines_do_not_carry_their_body(spark):
+    payloads = spark.createDataFrame([("A", "x")], "symbol string, body string")
+    plan = plan_of(price_csv.parse_payloads(payloads))
+    assert re.search(r"Generate posexplode\(lines#\d+\), \[symbol#\d+, header_ok#\d+\]", plan)
+
+
 def test_bucketed_bars_need_no_shuffle(spark):
     plan = plan_of(entry.queries()["bucketed_returns"](spark, SF))
     assert "Window" in plan and "Exchange" not in plan
