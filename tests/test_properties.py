@@ -395,3 +395,27 @@ def test_rolling_measures_against_lists(random_bars, rows):
             else:
                 assert row[f"sd_{rows}"] is None
             assert row.mean_volume == pytest.approx(statistics.mean(r.volume for r in part))
+
+
+def test_streamed_bars_in_append_mode_wait_for_the_watermark(spark, tmp_path):
+    """A day is emitted once, when no tick that is not too late can change it any more."""
+    folder, out = str(tmp_path / "events"), str(tmp_path / "out")
+
+    def arrive(*ticks):
+        rows = [(i, datetime.datetime.fromisoformat(ts), 1, "A", v, "") for i, ts, v in ticks]
+        spark.createDataFrame(rows, EVENTS).coalesce(1).write.mode("append").parquet(folder)
+        stream = tick_bars.stream_daily_bars(tick_bars.event_stream(spark, folder), "1 day")
+        (
+            stream.writeStream.outputMode("append")
+            .option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True)
+            .start(out)
+            .awaitTermination()
+        )
+        return sorted((str(r.trade_date), r.close_c, r.volume) for r in spark.read.parquet(out).collect())
+
+    assert arrive((1, "2024-01-01 10:00:00", 1.0), (2, "2024-01-02 10:00:00", 2.0)) == []
+    assert arrive((3, "2024-01-03 12:00:00", 3.0), (4, "2024-01-01 11:00:00", 4.0)) == [("2024-01-01", 400, 2)]
+    assert arrive((5, "2024-01-09 12:00:00", 5.0)) == [
+        ("2024-01-01", 400, 2), ("2024-01-02", 200, 1), ("2024-01-03", 300, 1),
+    ]
