@@ -28,6 +28,7 @@ BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 2
 
 #: Documents compared with each other in one task, at most about twice as many.
 BLOCK = 512
+BLOCK_CHARS = 16_000_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -135,8 +136,7 @@ def sketch(df: DataFrame, near: Near, doc_id: str = "doc_id", text: str = "text"
                 if not found:
                     yield one, 0, None, None, None
                     continue
-                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-                hashes.sort()
+                hashes = hashed(found)
                 own = registers(hashes, drawn)
                 bands = [
                     xxhash.xxh3_64_intdigest(own[i : i + r].tobytes(), seed=i) - 2**63
@@ -188,18 +188,33 @@ def verified(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     return frames.explode_rows(held, inputs, start, {"u": "bigint", "v": "bigint"})
 
 
+def hashed(found: set[bytes]) -> np.ndarray:
+    """Sorted 64-bit hashes of a set of shingles."""
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+    hashes.sort()
+    return hashes
+
+
 def _across(members: DataFrame, near: Near) -> DataFrame:
-    """Pairs (u, v) of different components in one group that the registers do not rule out.
+    """Links (u, v) that join different components of one group, by registers, then hashed sets.
 
-    ``members``: (group, id, component, main, registers, n_shingles). Documents of the
-    group's main component are compared with the others only, blocks with blocks.
+    ``members``: (group, id, component, main, registers, n_shingles, body). Documents of
+    the group's main component are compared with the others only, blocks with blocks; a
+    block has about ``BLOCK`` documents or ``BLOCK_CHARS`` characters. Of the links between
+    two blocks, those are returned that join what was not yet joined.
     """
-    least = near.least_estimate
+    least, size, percent = near.least_estimate, near.size, near.percent
     members = members.withColumn("rest", F.col("component") != F.col("main"))
+
+    def n_blocks(which: Column) -> Column:
+        rows = F.sum(which.cast("long")) / BLOCK
+        chars = F.sum(F.when(which, F.length("body")).otherwise(0)) / BLOCK_CHARS
+        return F.ceil(F.greatest(rows, chars)).cast("long")
+
     counts = members.groupBy("group").agg(
-        F.ceil(F.sum(F.col("rest").cast("long")) / BLOCK).alias("n_rest"),
-        F.ceil(F.sum((~F.col("rest")).cast("long")) / BLOCK).alias("n_main"),
-    ).where("n_rest > 0")
+        n_blocks(F.col("rest")).alias("n_rest"), n_blocks(~F.col("rest")).alias("n_main")
+    )
+    counts = materialize(counts.where("n_rest > 0"), "blocks")
     held = members.join(counts, "group").withColumn(
         "block", F.pmod(F.xxhash64("id"), F.when(F.col("rest"), F.col("n_rest")).otherwise(F.col("n_main")))
     )
@@ -228,32 +243,54 @@ def _across(members: DataFrame, near: Near) -> DataFrame:
     )
 
     def run(key, rows):
-        ids, part = rows["id"].to_numpy(), rows["component"].to_numpy()
+        ids, part = rows["id"].to_numpy(), rows["component"].to_pylist()
         sizes = rows["n_shingles"].to_numpy().astype(float)
         own = np.stack([np.frombuffer(x, np.uint16) for x in rows["registers"].to_pylist()])
         rest = rows["rest"].to_numpy(zero_copy_only=False)
         m = own.shape[1]
         left = np.flatnonzero(rest)
         right = np.flatnonzero(~rest) if key[1].as_py() == "main" else left
+        above = {c: c for c in part}
+        sets: dict[int, np.ndarray] = {}
+
+        def root(c):
+            while above[c] != c:
+                above[c] = above[above[c]]
+                c = above[c]
+            return c
+
+        def full(k):
+            if k not in sets:
+                sets[k] = hashed(shingles(rows["body"][int(k)].as_py(), size))
+            return sets[k]
+
         us, vs = [], []
         for i in left:
-            others = right[part[right] != part[i]]
-            if right is left:
-                others = others[ids[others] > ids[i]]
+            others = right[ids[right] > ids[i]] if right is left else right
             others = others[(own[others] == own[i]).sum(axis=1) >= (least - 0.05) * m]
-            if len(others):
-                close = estimate(
-                    np.broadcast_to(own[i], (len(others), m)), own[others],
-                    np.full(len(others), sizes[i]), sizes[others],
-                ) >= least
-                us.append(np.full(int(close.sum()), ids[i]))
-                vs.append(ids[others[close]])
-        empty = np.zeros(0, np.int64)
-        return pa.table({"u": np.concatenate(us or [empty]), "v": np.concatenate(vs or [empty])})
-
+            others = others[[root(part[k]) != root(part[i]) for k in others]] if len(others) else others
+            if not len(others):
+                continue
+            likely = estimate(
+                np.broadcast_to(own[i], (len(others), m)), own[others],
+                np.full(len(others), sizes[i]), sizes[others],
+            )
+            for k in others[np.argsort(-likely, kind="stable")][: int((likely >= least).sum())]:
+                a, b = root(part[i]), root(part[k])
+                if a != b:
+                    x, y = full(i), full(k)
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * shared >= percent * (len(x) + len(y) - shared):
+                        above[b] = a
+                        us.append(ids[i])
+                        vs.append(ids[k])
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+
+    keys = ["group", "kind", "i", "j"]
     return (
-        held.select("group", "cell.kind", "cell.i", "cell.j", "id", "component", "n_shingles", "registers", "rest")
-        .groupBy("group", "kind", "i", "j")
+        held.select("group", "cell.kind", "cell.i", "cell.j", "id", "component", "n_shingles", "registers", "rest", "body")
+        .repartition(*keys)  # else all blocks of a group would stay in the task of the join
+        .groupBy(*keys)
         .applyInArrow(run, "u bigint, v bigint")
     )
 
@@ -274,6 +311,7 @@ def near_duplicates(
        place of all pairs). Registers, then full sets, confirm the pairs.
     3. Buckets that still hold several components: sets of different components are
        compared by registers, in blocks, and what is close is confirmed on full sets.
+       Within two blocks, documents that are joined already are not compared again.
 
     So every pair that shares a band is either joined already or compared.
     """
@@ -308,7 +346,7 @@ def near_duplicates(
         held.join(mixed.select("band"), "band").join(main, "center", "left")
         .withColumn("main", F.coalesce("main", "center"))
         .select(F.col("main").alias("group"), "main", "id", "component").distinct()
-        .join(light, "id")
+        .join(light, "id").join(texts, "id")
     )
     more = materialize(verified(_across(members, near).distinct(), texts, near), "links")
     part = first.select(F.col("node").alias("id"), "component")
