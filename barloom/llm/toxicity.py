@@ -238,7 +238,8 @@ def fit(docs: DataFrame, labels: DataFrame, rule: Rule = Rule(), doc_id: str = "
 
     rows = frames.explode_rows(
         sample, [F.col("body"), F.col("toxic")], start, {"counts": "binary", "toxic": "int"}
-    ).orderBy("counts", "toxic").collect()  # at most rule.labelled rows of rule.voters numbers
+    ).collect()  # at most rule.labelled rows of rule.voters numbers
+    rows.sort(key=lambda r: (bytes(r.counts), r.toxic))  # sums in one order, whatever the partitions
     if not rows or not n:
         return Model((), (0.0,) * N_PATTERNS + (-4.0,))
     counts = np.stack([np.frombuffer(bytes(r.counts), np.float32) for r in rows])
