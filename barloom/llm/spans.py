@@ -83,7 +83,7 @@ def repeated(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: s
              * F.lit(str(10**15)).cast("decimal(16,0)")).cast("decimal(37,0)") + F.col("place").cast("decimal(15,0)")
     firsts = places.groupBy("code").agg(F.min(order).alias("first"), F.max(order).alias("last"))
     firsts = materialize(firsts.where("first < last").select("code", "first"), "firsts")
-    again = places.join(firsts, "code").where(order != F.col("first")).select("id", "place").distinct()
+    again = places.join(firsts.hint("merge"), "code").where(order != F.col("first")).select("id", "place").distinct()
     first, n = F.shiftright("place", 8), F.col("place").bitwiseAND(255)
     each = again.select("id", F.explode(F.sequence(first, first + n - 1)).alias("sentence"))
     return each.groupBy("id").agg(F.sort_array(F.collect_set("sentence")).alias("covered"))
@@ -97,11 +97,12 @@ def dedup(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str
     places, so one does not make the other a repeat; rows that share an id with other
     texts are one document for finding, and lose the sentences of the same numbers.
     Columns of the new names are replaced, others kept. An empty table stays empty.
-    Repeats are found by 64-bit hashes.
+    Repeats are found by 64-bit hashes. Joins sort and merge at every size: what they
+    look up grows with the documents.
     """
     found = materialize(repeated(df, rule, doc_id, text).withColumnRenamed("id", "_id"), "covered")
     key = frames.col(doc_id).cast("bigint")
-    joined = df.join(found, key == F.col("_id"), "left").drop("_id")
+    joined = df.join(found.hint("merge"), key == F.col("_id"), "left").drop("_id")
 
     def start():
         def work(texts, all_covered):
