@@ -21,7 +21,7 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 from barloom.llm import frames
 
 #: Pre-tokens remembered by a task.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def byte_characters() -> list[str]:
@@ -129,6 +129,22 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame
     return frames.extend(df, [frames.col(ids)], start, {"decoded": "binary"})
 
 
+def roundtrip(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+    """``encode``, with the text as decoded from the ids, in one pass; null or empty texts become empty."""
+    codec = _codec_of(df, vocabulary)
+
+    def start():
+        own = codec()
+
+        def work(texts):
+            for ids in own.encode([t or "" for t in texts]):
+                yield len(ids) // 4, ids, own.decode(ids).decode()
+
+        return work
+
+    return frames.extend(df, [frames.col(text)], start, {"n_tokens": "bigint", "ids": "binary", text: "string"})
+
+
 def digests(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """``df`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``, encoded and decoded in one pass."""
     codec = _codec_of(df, vocabulary)

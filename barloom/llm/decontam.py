@@ -126,6 +126,19 @@ class Automaton:
         return runs, found, longest
 
 
+def without_runs(text: str | None, flat: list[int] | None) -> str | None:
+    """The text without the runs of words (start, end, start, ...), and without what lies between their words."""
+    if not flat or text is None:
+        return text
+    data = text.encode()
+    at = [(m.start(), m.end()) for m in WORD.finditer(data.lower())]
+    parts, done = [], 0
+    for a, b in zip(flat[::2], flat[1::2]):
+        parts.append(data[done : at[a][0]])
+        done = at[b - 1][1]
+    return b"".join([*parts, data[done:]]).decode()
+
+
 @dataclass(frozen=True)
 class Rule:
     """Windows of ``window`` words; contaminated where ``share`` * hit words >= all words."""
@@ -155,6 +168,7 @@ def scan(
     item_text: str = "text",
     block_bytes: int = BLOCK_BYTES,
     prefix: str = "",
+    cut: bool = False,
 ) -> DataFrame:
     """``df`` with ``n_words``, ``n_hit``, ``items`` (found, as strings in order), ``longest``, ``spans``, ``contaminated``.
 
@@ -165,7 +179,7 @@ def scan(
     nothing. Documents are read in place, without a shuffle. A benchmark over
     ``block_bytes`` is held block by block: all documents are read against each block in
     turn in the same task, and hits of all blocks are united. ``prefix`` goes before
-    the new columns' names.
+    the new columns' names. With ``cut``, the text loses its hit runs in the same pass.
     """
     sc = df.sparkSession.sparkContext
     # Tasks build the automaton from the items: they are far smaller than it is.
@@ -183,7 +197,7 @@ def scan(
                 for k, document in enumerate(documents):
                     runs, ids, longest = machine.read(document)
                     found[k] = (found[k][0] + runs, found[k][1] | ids, max(found[k][2], longest))
-            for document, (runs, ids, longest) in zip(documents, found):
+            for body, document, (runs, ids, longest) in zip(texts, documents, found):
                 spans: list[list[int]] = []
                 for a, b in sorted(runs):
                     if spans and a <= spans[-1][1]:
@@ -192,7 +206,8 @@ def scan(
                         spans.append([a, b])
                 n, hit = len(document), sum(b - a for a, b in spans)
                 flat = [x for span in spans for x in span]
-                yield n, hit, sorted(map(str, ids)), longest, flat, hit > 0 and share * hit >= n
+                row = n, hit, sorted(map(str, ids)), longest, flat, hit > 0 and share * hit >= n
+                yield (*row, without_runs(body, flat)) if cut else row
 
         return work
 
@@ -200,28 +215,14 @@ def scan(
         "n_words": "bigint", "n_hit": "bigint", "items": "array<string>", "longest": "bigint",
         "spans": "array<bigint>", "contaminated": "boolean",
     }
-    return frames.extend(df, [frames.col(text)], start, {prefix + name: kind for name, kind in fields.items()})
+    fields = {prefix + name: kind for name, kind in fields.items()} | ({text: "string"} if cut else {})
+    return frames.extend(df, [frames.col(text)], start, fields)
 
 
 def remove_spans(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """``df`` with the hit runs of words cut out of the text, along with what lies between their words."""
+    """``df`` with the hit runs of words cut out of the text; null or no spans leave it as it is."""
 
     def start():
-        def work(texts, all_spans):
-            for body, flat in zip(texts, all_spans):
-                if not flat or body is None:
-                    yield (body,)
-                    continue
-                data = body.encode()
-                at = [(m.start(), m.end()) for m in WORD.finditer(data.lower())]
-                parts, done = [], 0
-                for a, b in zip(flat[::2], flat[1::2]):
-                    parts.append(data[done : at[a][0]])
-                    done = at[b - 1][1]
-                yield (b"".join([*parts, data[done:]]).decode(),)
-
-        return work
+        return lambda texts, all_spans: [(without_runs(body, flat),) for body, flat in zip(texts, all_spans)]
 
     return frames.extend(df, [frames.col(text), frames.col(spans)], start, {text: "string"})
-
-

@@ -35,8 +35,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; in others, the runs of words that benchmark items share are cut."""
-    found = decontam.scan(docs, table(spark, sf_dir, "benchmark"), prefix="_").where("not _contaminated")
-    return _with_text(decontam.remove_spans(found, "text", "_spans"), docs.columns)
+    found = decontam.scan(docs, table(spark, sf_dir, "benchmark"), prefix="_", cut=True)
+    return _with_text(found.where("not _contaminated"), docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +46,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and the text as decoded from these."""
-    encoded = bpe.encode(docs.drop("n_tokens", "ids", "decoded"), vocabulary())
-    decoded = bpe.decode(encoded, vocabulary()).drop("text")
-    return decoded.withColumn("text", F.decode("decoded", "UTF-8")).drop("decoded")
+    return bpe.roundtrip(docs, vocabulary())
 
 
 STAGES = [
