@@ -134,17 +134,23 @@ def label_model(held: np.ndarray, gold: np.ndarray, rounds: int = 50) -> tuple[n
         return np.stack([no / no.sum(0), yes / yes.sum(0)])
 
     fit()
-    values = every.astype(float)
-    rest = np.zeros((n, k))
-    for y in (posterior, 1 - posterior):
+    # Classes are those given, if there are enough of them: a group of like voters can
+    # win the first fit over to itself, and then no correlation would be left to see.
+    known = gold != 0
+    seen, sure = (known, gold[known] > 0) if known.sum() >= 100 else (np.ones(n, bool), posterior)
+    values = every[seen].astype(float)
+    rest = np.zeros(values.shape)
+    for y in (np.asarray(sure, float), 1 - np.asarray(sure, float)):
         mean = (values * y[:, None]).sum(0) / max(y.sum(), 1e-9)
         rest += (values - mean) * y[:, None]
     spread = np.sqrt((rest**2).mean(0)) + 1e-9
-    correlation = np.abs(rest.T @ rest / n / np.outer(spread, spread))
+    correlation = np.abs(rest.T @ rest / len(rest) / np.outer(spread, spread))
     np.fill_diagonal(correlation, 0)
     correlation[:, -1] = correlation[-1] = 0  # the given labels stand for themselves
     weight = 1 / (1 + np.where(correlation > 0.1, correlation, 0).sum(1))
-    return posterior, fit(), weight
+    posterior = np.clip(0.5 + 0.45 * gold, 0.05, 0.95).astype(float) if known.any() else posterior
+    chance = fit()
+    return posterior, chance, weight
 
 
 def inputs(counts: np.ndarray, n: int) -> np.ndarray:
