@@ -176,6 +176,6 @@ def run_log(spark, sf_dir):
 @query("stream_daily_bars", f"with {EVENT_BARS} select * from bars")
 def stream_daily_bars(spark, sf_dir):
     store = new_path(spark, "ticks")
-    ticks = tick_bars.event_stream(spark, sf_dir, "events.parquet")
-    tick_bars.store_bars(tick_bars.stream_daily_bars(ticks), store)
-    return tick_bars.read_bars(spark, store)
+    ticks = tick_bars.event_stream(spark, f"{sf_dir}/events.parque[t]")  # a file, or a directory of part files
+    tick_bars.store_partial_bars(ticks, store)
+    return tick_bars.combine_bars(spark, store)

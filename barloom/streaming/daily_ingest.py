@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.operators.history import latest
 from barloom.operators.quality import classify, run_log, to_bars
-from barloom.schemas import BAR_COLUMNS, BARS, CSV_HEADER
+from barloom.schemas import BAR_COLUMNS, BAR_VALUES, BARS, CSV_HEADER, KEY
 from barloom.sources.landing import append_runs
 from barloom.sources.price_csv import FILE_SCHEMA, check_headers, stream_scan
 
@@ -54,6 +53,16 @@ def read_history(spark: SparkSession, store: str) -> DataFrame:
     return _read_if_there(spark, _CURRENT, f"{store}/current").select(*BAR_COLUMNS)
 
 
+def check_period(spark: SparkSession, store: str, period: str) -> None:
+    """Note the store's period on first use, and refuse another: its directories would overwrite each other."""
+    schema, path = "period string", f"{store}/period"
+    noted = _read_if_there(spark, T.StructType([T.StructField("period", T.StringType())]), path).first()
+    if noted is None:
+        spark.createDataFrame([(period,)], schema).coalesce(1).write.mode("append").parquet(path)
+    elif noted.period != period:
+        raise ValueError(f"the store is kept by {noted.period}, not by {period}")
+
+
 def refresh_history(spark: SparkSession, store: str, period: str) -> None:
     """Remake the periods of the history in which batches since the last refresh have bars.
 
@@ -75,7 +84,9 @@ def refresh_history(spark: SparkSession, store: str, period: str) -> None:
         F.col("trade_date") < F.add_months(F.lit(periods[-1]), 12 if period == "year" else 1)
     )
     touched = sound.where(in_span & F.col("period").isin(periods))
-    bars = latest(to_bars(touched, "fetch_date", "batch_id"), "fetch_date", "batch_id")
+    # Newest fetch first, then the first file by name, however the files came in batches.
+    first = F.min_by(F.struct(*BAR_VALUES), F.struct(-F.unix_date("fetch_date"), "source_file"))
+    bars = to_bars(touched, "fetch_date", "source_file").groupBy(*KEY).agg(first.alias("first")).select(*KEY, "first.*")
     (
         bars.withColumn("period", label)
         .hint("rebalance", "period")
@@ -95,6 +106,7 @@ def ingest_new_files(
     max_files: int | None = None,
     period: str = "year",
     header: str = CSV_HEADER,
+    written: list[int] | None = None,
 ) -> list[int]:
     """Check and store the files not seen before; returns the ids of the batches written.
 
@@ -102,10 +114,12 @@ def ingest_new_files(
     directory of its own that a replay overwrites. Together with the checkpoint
     every file counts exactly once. A file rewritten under its old name is not
     seen again, so landed names must be new for each fetch. After the batches,
-    the history is refreshed by ``period`` ("year" or "month", the same for all
-    runs of a store).
+    the history is refreshed by ``period`` ("year" or "month"; a store refuses another
+    than its first). ``written``, if given, is filled as batches are stored, so a
+    caller knows them even when the refresh breaks.
     """
-    written: list[int] = []
+    written = [] if written is None else written
+    check_period(spark, store, period)
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
         checked = classify(check_headers(batch), order=["source_file"], fetch=["fetch_date"])
@@ -143,27 +157,29 @@ def run_daily(
 
     Call it from any scheduler. A run that breaks is logged as failed, then raised.
     """
-    for name, value in {"landing": landing, "store": store, "run_date": run_date}.items():
-        if not value:
-            raise ValueError(f"required setting {name} is missing")
+    missing = [n for n, v in {"landing": landing, "store": store, "run_date": run_date}.items() if not v]
+    if "store" in missing:  # nowhere to log it
+        raise ValueError("required setting store is missing")
     run_id = uuid.uuid4().hex
     this_run = spark.createDataFrame([(run_id, run_date)], "run_id string, run_date date")
     runs = f"{store}/runs"
+    batches: list[int] = []
+
+    def account() -> DataFrame:
+        rows = read_rows(spark, store).where(F.col("batch_id").isin(batches))
+        return run_log(this_run, rows.withColumn("run_id", F.lit(run_id)))
+
     try:
-        batches = ingest_new_files(spark, landing, store, max_files, period, header)
+        if missing:
+            raise ValueError(f"required setting {missing[0]} is missing")
+        ingest_new_files(spark, landing, store, max_files, period, header, batches)
     except Exception as error:
-        zero = F.lit(0).cast("bigint")
+        # What was stored before it broke counts for this run: the next one won't see it again.
         append_runs(
-            this_run.select(
-                "run_id", "run_date", F.lit("failed").alias("status"),
-                F.lit(str(error)).alias("reason"),
-                zero.alias("rows_in"), zero.alias("rows_ok"), zero.alias("rows_rejected"),
-            ),
-            runs,
+            account().withColumn("status", F.lit("failed")).withColumn("reason", F.lit(str(error))), runs
         )
         raise
-    rows = read_rows(spark, store).where(F.col("batch_id").isin(batches))
-    append_runs(run_log(this_run, rows.withColumn("run_id", F.lit(run_id))), runs)
+    append_runs(account(), runs)
     return run_id
 
 

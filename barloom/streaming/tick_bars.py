@@ -39,7 +39,10 @@ def utc_day(instant: Column) -> Column:
 def event_stream(
     spark: SparkSession, folder: str, pattern: str = "*.parquet", max_files: int | None = None
 ) -> DataFrame:
-    """Ticks ``(symbol, ts, price_c, seq)`` from the event files arriving in a folder."""
+    """Ticks ``(symbol, ts, price_c, seq)`` from the event files arriving in a folder.
+
+    ``folder`` may be a glob, and what it matches a file or a directory of part files.
+    """
     reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -92,6 +95,55 @@ def store_bars(bars: DataFrame, store: str) -> None:
     )
 
 
+def _partial() -> list[Column]:
+    return [
+        F.min_by("price_c", "seq").alias("open_c"),
+        F.max("price_c").alias("high_c"),
+        F.min("price_c").alias("low_c"),
+        F.max_by("price_c", "seq").alias("close_c"),
+        F.count(F.lit(1)).alias("volume"),
+        F.min("seq").alias("open_seq"),
+        F.max("seq").alias("close_seq"),
+    ]
+
+
+def store_partial_bars(ticks: DataFrame, store: str) -> None:
+    """Reduce each batch of a tick stream to partial bars in a directory of its own.
+
+    No watermark and no state: however the ticks are split into batches, and however
+    late they come, ``combine_bars`` gives the same bars. A replayed batch overwrites
+    its directory. Partial bars carry the order of their first and last tick.
+    """
+
+    def store_batch(batch: DataFrame, batch_id: int) -> None:
+        bars = batch.groupBy("symbol", utc_day(F.col("ts")).alias("trade_date")).agg(*_partial())
+        bars.write.mode("overwrite").parquet(f"{store}/partial/batch_id={batch_id}")
+
+    (
+        ticks.writeStream.foreachBatch(store_batch)
+        .option("checkpointLocation", f"{store}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def combine_bars(spark: SparkSession, store: str) -> DataFrame:
+    """The bars of all ticks stored so far, from the batches' partial bars."""
+    return (
+        spark.read.parquet(f"{store}/partial")
+        .groupBy(*KEY)
+        .agg(
+            F.min_by("open_c", "open_seq").alias("open_c"),
+            F.max("high_c").alias("high_c"),
+            F.min("low_c").alias("low_c"),
+            F.max_by("close_c", "close_seq").alias("close_c"),
+            F.sum("volume").alias("volume"),
+        )
+        .select(*BAR_COLUMNS)
+    )
+
+
 def read_bars(spark: SparkSession, store: str) -> DataFrame:
     """Each bar as the newest batch that changed it left it."""
     newest = F.max(F.struct("batch_id", *BAR_VALUES)).alias("_newest")
