@@ -18,9 +18,11 @@ def _outside(price: Column) -> Column:
 
 
 def _row_reasons(columns: list[str]) -> Column:
-    price_missing = F.lit(False)
+    price_missing = not_positive = finer = F.lit(False)
     for name in _PRICES:
         price_missing = price_missing | F.col(name).isNull()
+        not_positive = not_positive | (F.col(name) <= 0)
+        finer = finer | (F.round(F.col(name), 2) != F.col(name))  # bars are kept in whole cents
     found = [
         F.when(F.col("symbol").isNull() | F.col("trade_date").isNull(), "null_key"),
         F.when(price_missing, "null_price"),
@@ -28,6 +30,9 @@ def _row_reasons(columns: list[str]) -> Column:
         F.when(_outside(F.col("open")), "open_out_of_range"),
         F.when(_outside(F.col("close")), "close_out_of_range"),
         F.when(F.col("volume") < 0, "negative_volume"),
+        F.when(F.col("volume").isNull(), "null_volume"),
+        F.when(not_positive, "non_positive_price"),
+        F.when(finer, "sub_cent"),
     ]
     reasons = F.when(F.col("_bad").isNotNull(), F.array(F.lit("unparsable"))).otherwise(
         F.array_compact(F.array(*found))

@@ -21,6 +21,10 @@ READ_OPTIONS = {"header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRec
 
 
 def _is_header(line: Column, header: str) -> Column:
+    prices = [name.strip() for name in header.lower().split(",")][1:]
+    known = ["open", "high", "low", "close", "volume"]
+    if sorted(prices) == sorted(known) and prices != known:
+        raise ValueError(f"columns are read by position, as date, {', '.join(known)}; the header has {header}")
     return F.coalesce(F.lower(F.trim(line)) == header, F.lit(False))
 
 
