@@ -108,6 +108,13 @@ def _block_correlator(min_days: int):
             var_x = (x**2 @ in_y.T) / n - mean_x**2
             var_y = (in_x @ (y**2).T) / n - mean_y**2
             corr = cov / np.sqrt(var_x * var_y)
+            # A variance that rounding could have made: look at the shared days themselves.
+            noise = (var_x <= 1e-9 * (var_x + mean_x**2)) | (var_y <= 1e-9 * (var_y + mean_y**2))
+        for a, b in zip(*np.nonzero(noise & (n > 0))):
+            shared = (in_x[a] > 0) & (in_y[b] > 0)
+            own_x, own_y = x[a, shared], y[b, shared]
+            flat = np.ptp(own_x) == 0 or np.ptp(own_y) == 0
+            corr[a, b] = np.nan if flat else np.corrcoef(own_x, own_y)[0, 1]
         wanted = n >= min_days
         if left_block == right_block:
             wanted &= np.triu(np.ones_like(wanted), k=1)
