@@ -8,11 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.regression import LabeledPoint, LinearRegressionWithSGD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,19 +119,30 @@ def fit_sgd(
     """Least squares by gradient descent, on standardised label and features.
 
     Unscaled prices make the descent diverge. With everything centred there is
-    no intercept to fit; it follows from the means. The training rows are held in
-    executor memory and disk for the iterations, each of which sends a gradient
-    through a tree aggregate. ``train`` is read twice, so pass a written table.
+    no intercept to fit; it follows from the means. The gradient over all rows needs
+    only the moments of label and features, so one aggregate replaces a pass per
+    iteration; the steps are those of ``LinearRegressionWithSGD`` on full batches:
+    ``step`` over the root of the iteration, times the mean gradient.
     """
-    assembled = VectorAssembler(inputCols=["label", *columns], outputCol="raw").transform(train)
-    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True).fit(assembled)
-    scaled = scaler.transform(assembled).select(vector_to_array("scaled").alias("v"))
-    points = scaled.rdd.map(lambda row: LabeledPoint(row.v[0], Vectors.dense(row.v[1:])))
-    model = LinearRegressionWithSGD.train(
-        points, iterations=iterations, step=step, intercept=False, convergenceTol=0.0
-    )
-    weights = [float(weight) for weight in model.weights]
-    (label_mean, *means), (label_sd, *sds) = scaler.mean.tolist(), scaler.std.tolist()
+    names = ["label", *columns]
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    row = train.agg(
+        *[F.avg(name).alias(f"mean_{i}") for i, name in enumerate(names)],
+        *[F.stddev_samp(name).alias(f"sd_{i}") for i, name in enumerate(names)],
+        *[F.covar_pop(a, b).alias(f"cov_{i}") for i, (a, b) in enumerate(pairs)],
+    ).first()
+    label_mean, *means = [row[f"mean_{i}"] for i in range(len(names))]
+    label_sd, *sds = [row[f"sd_{i}"] for i in range(len(names))]
+    scale = dict(zip(names, [label_sd, *sds]))
+    moment = {}
+    for i, (a, b) in enumerate(pairs):
+        moment[a, b] = moment[b, a] = row[f"cov_{i}"] / (scale[a] * scale[b])
+    weights = [0.0] * len(columns)
+    for t in range(1, iterations + 1):
+        gradient = [
+            sum(moment[a, b] * w for b, w in zip(columns, weights)) - moment[a, "label"] for a in columns
+        ]
+        weights = [w - step / t**0.5 * g for w, g in zip(weights, gradient)]
     slopes = [weight * label_sd / sd for weight, sd in zip(weights, sds)]
     return LinearFit(
         intercept=label_mean - sum(slope * mean for slope, mean in zip(slopes, means)),
@@ -149,11 +157,17 @@ def predict(model: PipelineModel, rows: DataFrame, columns: list[str] = FEATURES
 
 
 def predict_close(model: PipelineModel, split_rows: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
-    """Predictions for the test period, and one forecast per symbol from its newest bar."""
+    """Predictions for the test period, and one forecast per symbol from its newest bar.
+
+    The newest bar of a symbol too young to have all features gets a null prediction.
+    """
+    shown = ["symbol", "trade_date", "split", "label", "prediction"]
     wanted = split_rows.where(F.col("split").isin("test", "forecast"))
-    return predict(model, wanted, columns).select(
-        "symbol", "trade_date", "split", "label", "prediction"
+    young = wanted.where(F.col("split") == "forecast").where(
+        F.exists(F.array(*[F.col(name).isNull() for name in columns]), lambda missing: missing)
     )
+    young = young.withColumn("prediction", F.lit(None).cast("double"))
+    return predict(model, wanted, columns).select(shown).unionByName(young.select(shown))
 
 
 def evaluate(predictions: DataFrame) -> DataFrame:

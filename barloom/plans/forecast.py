@@ -123,18 +123,19 @@ def evaluate(spark, sf_dir):
       union all select 'var', explained_variance from m where pooled""",
 )
 def evaluate_pooled(spark, sf_dir):
-    """The pooled metrics from Spark ML's evaluator, over predictions written once."""
+    """The pooled metrics, a row each, in one pass over the predictions."""
     rows = _model_input(spark, sf_dir)
     model = fc.fit_ols(fc.train_rows(rows))
-    predictions = materialize(fc.predict_close(model, rows).select("label", "prediction"), "predictions")
-    scores = [(name, fc.score(predictions, name)) for name in ["rmse", "mse", "mae", "r2", "var"]]
+    pooled = fc.evaluate(fc.predict_close(model, rows)).where("pooled")
+    pooled = pooled.withColumnRenamed("explained_variance", "var")
+    scores = pooled.unpivot(["pooled"], ["rmse", "mse", "mae", "r2", "var"], "metric", "value").drop("pooled")
     name, value = F.col("metric"), F.col("value")
     rounded = (
         F.when(name.isin("mse", "var"), F.round(value, 0))
         .when(name == "r2", F.round(value, 8))
         .otherwise(F.round(value, 4))
     )
-    return spark.createDataFrame(scores, "metric string, value double").withColumn("value", rounded)
+    return scores.withColumn("value", rounded)
 
 
 @query(
