@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from barloom import plans
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -18,7 +19,7 @@ def medium():
     return oracle.connect(MEDIUM)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", plans.queries())
 def test_matches_sql(spark, medium, name):
     df = entry.queries()[name](spark, MEDIUM)
     assert oracle.differences(df, medium, entry.oracle_sql()[name]) == []

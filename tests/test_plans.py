@@ -7,6 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from barloom import plans
 from barloom.operators import quality
 from barloom.sources import price_csv
 from barloom.sources.tables import order_bars, supplier_bars
@@ -21,7 +22,7 @@ def plan_of(df):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", plans.queries())
 def test_no_global_step(spark, name):
     """No window or join over everything at once, and Python only where it is meant."""
     plan = plan_of(entry.queries()[name](spark, SF))

@@ -8,7 +8,7 @@ from conftest import by_key
 from pyspark.sql import functions as F
 
 from barloom.operators import bars as bar_ops
-from barloom.operators import charts, forecast, history, indicators
+from barloom.operators import charts, forecast, history, indicators, quality
 from barloom.sources import landing, price_csv
 from barloom.sources.tables import order_bars, order_ticks
 from barloom.streaming import daily_ingest, tick_bars
@@ -327,7 +327,7 @@ def test_refresh_that_broke_off_is_done_by_the_next_run(spark, random_bars, tmp_
 
     write_days(second, files, START + datetime.timedelta(1))
     with monkeypatch.context() as patch:
-        patch.setattr(daily_ingest, "latest", lambda *args: 1 / 0)
+        patch.setattr(daily_ingest, "to_bars", lambda *args: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             daily_ingest.run_daily(spark, files, store, START)
     assert rows_of(daily_ingest.read_history(spark, store)) == rows_of(first)
@@ -419,3 +419,84 @@ def test_streamed_bars_in_append_mode_wait_for_the_watermark(spark, tmp_path):
     assert arrive((5, "2024-01-09 12:00:00", 5.0)) == [
         ("2024-01-01", 400, 2), ("2024-01-02", 200, 1), ("2024-01-03", 300, 1),
     ]
+
+
+@pytest.mark.parametrize("max_files", [None, 1, 2])
+def test_partial_bars_do_not_depend_on_batches(spark, tmp_path, max_files):
+    """Days far apart, newest first, and one day spread over all files: no tick is lost."""
+    folder, store = tmp_path / "events.parquet", str(tmp_path / "store")
+    for k, day in enumerate([28, 1, 14]):
+        rows = [
+            (10 * i + k, datetime.datetime(2024, 1, day if i % 2 else 3, 12, i), 1, "A", float(i + k), "")
+            for i in range(20)
+        ]
+        spark.createDataFrame(rows, EVENTS).coalesce(1).write.mode("append").parquet(str(folder))
+    stream = tick_bars.event_stream(spark, f"{tmp_path}/events.parque[t]", max_files=max_files)
+    tick_bars.store_partial_bars(stream, store)
+    got = {r.trade_date.day: tuple(r)[2:] for r in tick_bars.combine_bars(spark, store).collect()}
+    assert got[3] == (0, 2000, 0, 2000, 30)
+    assert sum(bar[-1] for bar in got.values()) == 60 and sorted(got) == [1, 3, 14, 28]
+
+
+@pytest.mark.parametrize("max_files", [None, 1, 2])
+def test_repeats_within_a_fetch_follow_the_file_name(spark, tmp_path, max_files):
+    folder, store = tmp_path / "landing", str(tmp_path / "store")
+    for name, close in [("c", 12), ("a", 10), ("b", 11)]:
+        path = folder / "fetch_date=2024-01-03" / "symbol=A" / f"{name}.csv"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(f"trade_date,open,high,low,close,volume\n2024-01-02,10,20,5,{close},1\n")
+    daily_ingest.run_daily(spark, str(folder), store, START, max_files)
+    assert [r.close_c for r in daily_ingest.read_history(spark, store).collect()] == [1000]
+    with pytest.raises(ValueError, match="kept by year"):
+        daily_ingest.run_daily(spark, str(folder), store, START, period="month")
+    assert [r.status for r in daily_ingest.read_runs(spark, store).collect()].count("failed") == 1
+
+
+def test_a_refresh_that_breaks_keeps_the_counts(spark, random_bars, tmp_path, monkeypatch):
+    files, store = str(tmp_path / "landing"), str(tmp_path / "store")
+    bars = random_bars(15, symbols=1)
+    n = bars.count()
+    price_csv.write_prices(bars.withColumn("fetch_date", F.lit(START)), files)
+
+    def broken(*_):
+        raise RuntimeError("no space")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(daily_ingest, "refresh_history", broken)
+        with pytest.raises(RuntimeError):
+            daily_ingest.run_daily(spark, files, store, START)
+    daily_ingest.run_daily(spark, files, store, START)
+    runs = {r.status: r.rows_ok for r in daily_ingest.read_runs(spark, store).collect()}
+    assert runs == {"failed": n, "empty": 0}
+    assert daily_ingest.read_history(spark, store).count() == n
+
+
+def test_unsound_prices_and_volumes_are_rejected(spark, tmp_path):
+    path = tmp_path / "fetch_date=2024-01-03" / "symbol=A" / "f.csv"
+    path.parent.mkdir(parents=True)
+    lines = ["trade_date,open,high,low,close,volume", "2024-01-02,10,20,5,11,", "2024-01-03,-2,-2,-2,-2,1", "2024-01-04,0.1234,0.1299,0.1201,0.1249,1"]
+    path.write_text("\n".join(lines) + "\n")
+    checked = quality.classify(price_csv.read_checked(spark, str(tmp_path)), ["source_file"], ["fetch_date"])
+    got = {r.trade_date.day: r.reasons for r in checked.collect()}
+    assert got == {2: ["null_volume"], 3: ["non_positive_price"], 4: ["sub_cent"]}
+    with pytest.raises(ValueError, match="by position"):
+        price_csv.read_checked(spark, str(tmp_path), "timestamp,close,high,low,open,volume")
+
+
+def test_a_halted_symbol_has_no_correlation(spark, make_bars):
+    """Its return is the same on all shared days, though not on its others."""
+    days = [f"2024-01-{d:02d}" for d in range(1, 21)]
+    halted = [10_000, 10_100, 10_203] + [10_203] * 17
+    moving = [(d, 10_000 + (i * i * 37) % 311) for i, d in enumerate(days)]
+    rows = [("H", d, c, c, c, c, 1) for d, c in zip(days, halted)] + [("M", d, c, c, c, c, 1) for d, c in moving[4:]]
+    got = charts.chart_correlation(make_bars(rows)).collect()
+    assert [(r.symbol_a, r.symbol_b, r.correlation) for r in got] == [("H", "M", None)]
+
+
+def test_a_young_symbol_gets_a_row_without_a_prediction(spark, make_bars):
+    rows = [("A", f"2024-01-{d:02d}", 100 + d * d % 7, 200, 50, 100 + d * d % 7, 1) for d in range(1, 21)]
+    rows.append(("B", "2024-01-20", 100, 200, 50, 100, 1))
+    split = forecast.chrono_split(forecast.features(make_bars(rows)), datetime.date(2024, 1, 15))
+    model = forecast.fit_ols(forecast.train_rows(split))
+    got = {r.symbol: r.prediction for r in forecast.predict_close(model, split).where("split = 'forecast'").collect()}
+    assert set(got) == {"A", "B"} and got["B"] is None and got["A"] is not None
