@@ -39,6 +39,8 @@ def _row_reasons(columns: list[str]) -> Column:
     )
     if "header_ok" in columns:
         reasons = F.when(~F.col("header_ok"), F.array(F.lit("bad_header"))).otherwise(reasons)
+    if "status" in columns:
+        reasons = F.when(F.col("status") >= 400, F.array(F.lit("http_status"))).otherwise(reasons)
     return reasons
 
 
@@ -47,7 +49,8 @@ def classify(
 ) -> DataFrame:
     """Raw price rows with ``reasons``, why each is rejected; empty if it is accepted.
 
-    ``raw`` has ``symbol``, the price CSV columns and optionally ``header_ok``.
+    ``raw`` has ``symbol``, the price CSV columns and optionally ``header_ok`` and ``status``,
+    that of the response (400 and above is an error; null is none known).
     Of the sound rows sharing a (symbol, trade_date) the first by ``order``, then
     by the other columns, is accepted; the others get ``duplicate_key``. ``fetch`` names the columns that
     tell fetches apart: the same key in two fetches is a restatement, no duplicate.

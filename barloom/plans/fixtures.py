@@ -9,6 +9,7 @@ from barloom.functions.columns import day_of_week
 
 OLD_FETCH = datetime.date(2001, 1, 1)
 NEW_FETCH = datetime.date(2002, 1, 1)
+BROKEN_FETCH = datetime.date(2003, 1, 1)
 
 
 def old_snapshot(bars: DataFrame) -> DataFrame:
@@ -17,8 +18,13 @@ def old_snapshot(bars: DataFrame) -> DataFrame:
 
 def new_snapshot(bars: DataFrame) -> DataFrame:
     """From mid-2000 on, with every Friday's prices restated by a cent."""
+    return restated(bars.where(F.col("trade_date") >= F.lit("2000-06-01").cast("date")))
+
+
+def restated(bars: DataFrame) -> DataFrame:
+    """Every Friday's prices a cent higher."""
     cent = F.when(day_of_week(F.col("trade_date")) == 4, 1).otherwise(0)
-    return bars.where(F.col("trade_date") >= F.lit("2000-06-01").cast("date")).withColumns(
+    return bars.withColumns(
         {name: F.col(name) + cent for name in ["open_c", "high_c", "low_c", "close_c"]}
     )
 
@@ -71,6 +77,17 @@ def faulty_lines(bars: DataFrame) -> DataFrame:
     return _numbered(bars, lines)
 
 
+def snapshot_lines(bars: DataFrame, fetch_date: datetime.date) -> DataFrame:
+    """Every bar as a sound CSV line of one fetch."""
+    high, close = _text(F.col("high_c")), _text(F.col("close_c"))
+    return bars.select(
+        "symbol",
+        F.lit(fetch_date).alias("fetch_date"),
+        F.unix_date("trade_date").alias("line_no"),
+        _line(F.col("trade_date").cast("string"), high, close, F.col("volume")).alias("line"),
+    )
+
+
 def error_bodies(bars: DataFrame) -> DataFrame:
     """A fetch that came back with an error message in place of prices, for every symbol."""
     return bars.select(

@@ -78,16 +78,16 @@ def quarantine_accepted(spark, sf_dir):
 @query(
     "land_snapshot",
     f"""with {BARS}, {SNAPSHOTS}
-      select * from old_snapshot where symbol not in ('1-URGENT', '2-HIGH')
+      select * from bars where symbol not in ('1-URGENT', '2-HIGH')
       union all
-      select * from new_snapshot where symbol in ('1-URGENT', '2-HIGH')""",
+      select * from restated where symbol in ('1-URGENT', '2-HIGH')""",
 )
 def land_snapshot(spark, sf_dir):
-    """A first landing of all symbols, then a refetch of two of them, landed twice."""
+    """A landing of all bars, then a refetch of two symbols with restated prices, landed twice."""
     path = new_path(spark, "landed")
     bars = materialize(order_bars(spark, sf_dir), "bars")
-    refetched = fixtures.new_snapshot(bars).where(F.col("symbol").isin("1-URGENT", "2-HIGH"))
-    landing.land(fixtures.old_snapshot(bars), path)
+    refetched = fixtures.restated(bars).where(F.col("symbol").isin("1-URGENT", "2-HIGH"))
+    landing.land(bars, path)
     landing.land(refetched, path)
     landing.land(refetched, path)
     return landing.read_landed(spark, path)
@@ -101,7 +101,8 @@ def bucketed_returns(spark, sf_dir):
     """Returns over bars kept bucketed by symbol: no shuffle when they are read."""
     path = new_path(spark, "bucketed")
     table = "barloom_" + path.rsplit("-", 1)[1]
-    landing.save_bucketed(supplier_bars(spark, sf_dir), table, path, buckets=16)
+    bars = materialize(supplier_bars(spark, sf_dir), "bars")
+    landing.save_bucketed(bars, table, path, landing.buckets_for(bars))
     returns = indicators.daily_return(spark.table(table))
     spark.sql(f"drop table {table}")  # leaves the files, which the result reads
     return returns.select("symbol", "trade_date", "close_c", "ret")
@@ -143,6 +144,39 @@ def daily_ingest(spark, sf_dir):
     return daily.read_history(spark, store)
 
 
+def _store_of_bodies(spark, sf_dir) -> str:
+    """Two fetches, the second with restated prices, and one whose responses are errors though they hold prices."""
+    store = new_path(spark, "store")
+    bars = materialize(order_bars(spark, sf_dir), "bars")
+    for fetch_date, snapshot, status in [
+        (fixtures.OLD_FETCH, fixtures.old_snapshot(bars), 200),
+        (fixtures.NEW_FETCH, fixtures.new_snapshot(bars), 200),
+        (fixtures.BROKEN_FETCH, bars, 503),
+    ]:
+        bodies = price_csv.to_payloads(fixtures.snapshot_lines(snapshot, fetch_date), "symbol", "fetch_date")
+        daily.run_payloads(spark, bodies.withColumn("status", F.lit(status)), store, fetch_date)
+    return store
+
+
+@query("payload_ingest", _MERGED)
+def payload_ingest(spark, sf_dir):
+    return daily.read_history(spark, _store_of_bodies(spark, sf_dir))
+
+
+@query(
+    "payload_runs",
+    f"""with {BARS}, {SNAPSHOTS}
+      select date '2001-01-01' as run_date, 'ok' as status, '' as reason,
+             count(*) as rows_in, count(*) as rows_ok, cast(0 as bigint) as rows_rejected from old_snapshot
+      union all
+      select date '2002-01-01', 'ok', '', count(*), count(*), 0 from new_snapshot
+      union all
+      select date '2003-01-01', 'failed', 'no acceptable row', count(*), 0, count(*) from bars""",
+)
+def payload_runs(spark, sf_dir):
+    return daily.read_runs(spark, _store_of_bodies(spark, sf_dir)).drop("run_id")
+
+
 @query(
     "run_log",
     f"""with {BARS},

@@ -45,11 +45,11 @@ returns as (
 # Two snapshots: the later one restates the prices of Fridays by a cent.
 SNAPSHOTS = """
 old_snapshot as (select * from bars where trade_date <= date '2000-12-31'),
-new_snapshot as (
+restated as (
   select symbol, trade_date, open_c + cent as open_c, high_c + cent as high_c,
          low_c + cent as low_c, close_c + cent as close_c, volume
-  from (select *, case when isodow(trade_date) = 5 then 1 else 0 end as cent from bars)
-  where trade_date >= date '2000-06-01')
+  from (select *, case when isodow(trade_date) = 5 then 1 else 0 end as cent from bars)),
+new_snapshot as (select * from restated where trade_date >= date '2000-06-01')
 """
 
 FEATURES = """

@@ -25,6 +25,14 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BARS).parquet(path).select(*BAR_COLUMNS)
 
 
+def buckets_for(bars: DataFrame, rows: int = 4_000_000) -> int:
+    """Buckets of about ``rows`` bars (some 100 MB), at least one per core.
+
+    Counts ``bars``, so give it a stored table, whose count is read from file footers.
+    """
+    return max(bars.sparkSession.sparkContext.defaultParallelism, -(-bars.count() // rows))
+
+
 def save_bucketed(bars: DataFrame, table: str, path: str, buckets: int) -> None:
     """Replace a table of bars bucketed by symbol and sorted by day inside a bucket.
 

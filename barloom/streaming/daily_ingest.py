@@ -1,12 +1,14 @@
-"""The daily job: take in the files that are new, then stop.
+"""The daily job: take in the files or fetched bodies that are new, then stop.
 
 A store holds ``rows``, every row ever read with the verdict on it, a directory
-per batch; ``current``, the history made from them, a directory per period;
-``refreshed``, up to which batch it is made; and ``runs``, a row per run.
+per batch; ``current``, the history made from them, a directory per version and
+period; ``refreshed``, the version of each period; ``runs``, a row per run; and,
+if it is fed from bodies, ``bodies``, each as it was fetched.
 """
 
 import datetime
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,7 @@ from pyspark.sql import types as T
 from barloom.operators.quality import classify, run_log, to_bars
 from barloom.schemas import BAR_COLUMNS, BAR_VALUES, BARS, CSV_HEADER, KEY
 from barloom.sources.landing import append_runs
-from barloom.sources.price_csv import FILE_SCHEMA, check_headers, stream_scan
+from barloom.sources.price_csv import FILE_SCHEMA, check_headers, parse_payloads, stream_scan
 
 # A batch stores the raw row, the verdict on it, and two partition columns.
 _ROWS = T.StructType(
@@ -29,8 +31,21 @@ _ROWS = T.StructType(
         T.StructField("is_ok", T.BooleanType()),
     ]
 )
-_CURRENT = T.StructType([*BARS.fields, T.StructField("period", T.DateType())])
-_REFRESHED = T.StructType([T.StructField("batch_id", T.LongType())])
+# A bar of the history, with the fetch and file (or body) it comes from.
+_SOURCE = ["fetch_date", "source_file"]
+_CURRENT = T.StructType(
+    [*BARS.fields, T.StructField("fetch_date", T.DateType()), T.StructField("source_file", T.StringType())]
+)
+_REFRESHED = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("period", T.DateType())])
+_KEPT = T.StructType([T.StructField("period", T.StringType()), T.StructField("source", T.StringType())])
+_BODY = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("fetch_date", T.DateType()),
+        T.StructField("status", T.IntegerType()),
+        T.StructField("body", T.StringType()),
+    ]
+)
 
 
 def _read_if_there(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
@@ -48,55 +63,102 @@ def read_rows(spark: SparkSession, store: str) -> DataFrame:
     return _read_if_there(spark, _ROWS, f"{store}/rows")
 
 
+def read_bodies(spark: SparkSession, store: str) -> DataFrame:
+    """Every body ever taken in, as it was fetched."""
+    return _read_if_there(spark, _BODY, f"{store}/bodies")
+
+
+def _versions(spark: SparkSession, store: str) -> dict[datetime.date, int]:
+    """The version that holds each period; at most as many as the calendar has months."""
+    noted = _read_if_there(spark, _REFRESHED, f"{store}/refreshed")
+    newest = noted.groupBy("period").agg(F.max("batch_id").alias("batch_id"))
+    return {row["period"]: row["batch_id"] for row in newest.collect()}
+
+
+def _read_current(spark: SparkSession, store: str, versions: dict[datetime.date, int]) -> DataFrame:
+    if not versions:
+        return spark.createDataFrame([], _CURRENT)
+    paths = [f"{store}/current/version={version}/period={first}" for first, version in sorted(versions.items())]
+    return spark.read.schema(_CURRENT).parquet(*paths)
+
+
 def read_history(spark: SparkSession, store: str) -> DataFrame:
     """The history: of each (symbol, trade_date) the bar of the newest fetch."""
-    return _read_if_there(spark, _CURRENT, f"{store}/current").select(*BAR_COLUMNS)
+    return _read_current(spark, store, _versions(spark, store)).select(*BAR_COLUMNS)
+
 
+def check_kept(spark: SparkSession, store: str, period: str, source: str) -> None:
+    """Note a store's period and source on first use, and refuse others.
 
-def check_period(spark: SparkSession, store: str, period: str) -> None:
-    """Note the store's period on first use, and refuse another: its directories would overwrite each other."""
-    schema, path = "period string", f"{store}/period"
-    noted = _read_if_there(spark, T.StructType([T.StructField("period", T.StringType())]), path).first()
+    Directories of another period would hide each other, and batches of another
+    source would be numbered anew.
+    """
+    noted = _read_if_there(spark, _KEPT, f"{store}/kept").first()
     if noted is None:
-        spark.createDataFrame([(period,)], schema).coalesce(1).write.mode("append").parquet(path)
-    elif noted.period != period:
-        raise ValueError(f"the store is kept by {noted.period}, not by {period}")
+        spark.createDataFrame([(period, source)], _KEPT).coalesce(1).write.mode("append").parquet(f"{store}/kept")
+    elif tuple(noted) != (period, source):
+        raise ValueError(f"the store is kept by {noted.period} from {noted.source}, not by {period} from {source}")
 
 
 def refresh_history(spark: SparkSession, store: str, period: str) -> None:
-    """Remake the periods of the history in which batches since the last refresh have bars.
+    """Make a new version of the periods in which batches since the last refresh have bars.
 
-    They are made from the stored rows, never from themselves, and the newest
-    batch is noted last, so a refresh that broke off is done again by the next
-    run. Only the first days of the periods come to the driver, at most as many as
-    the calendar has months; the earliest and latest go to the Parquet scan as a
-    range of days.
+    It is made from those periods' versions so far and the new batches, so a run
+    reads no older batch. Versions are never changed once noted: a reader sees
+    the old ones until one small write notes the new, and a refresh that broke off is
+    done again by the next run. Versions no longer noted may be deleted by an
+    expiry rule. Only the first days of the periods come to the driver.
     """
-    noted = _read_if_there(spark, _REFRESHED, f"{store}/refreshed").agg(F.max("batch_id")).first()[0]
+    versions = _versions(spark, store)
     label = F.trunc("trade_date", period)
-    sound = read_rows(spark, store).where("is_ok").withColumn("period", label)
-    new = sound.where(F.col("batch_id") > F.lit(-1 if noted is None else noted))
-    news = new.groupBy("period").agg(F.max("batch_id").alias("batch_id")).collect()
+    new = read_rows(spark, store).where("is_ok").where(F.col("batch_id") > F.lit(max(versions.values(), default=-1)))
+    news = new.groupBy(label.alias("period")).agg(F.max("batch_id").alias("batch_id")).collect()
     if not news:
         return
-    periods = sorted(row["period"] for row in news)
-    in_span = (F.col("trade_date") >= F.lit(periods[0])) & (
-        F.col("trade_date") < F.add_months(F.lit(periods[-1]), 12 if period == "year" else 1)
-    )
-    touched = sound.where(in_span & F.col("period").isin(periods))
-    # Newest fetch first, then the first file by name, however the files came in batches.
-    first = F.min_by(F.struct(*BAR_VALUES), F.struct(-F.unix_date("fetch_date"), "source_file"))
-    bars = to_bars(touched, "fetch_date", "source_file").groupBy(*KEY).agg(first.alias("first")).select(*KEY, "first.*")
+    newest = max(row["batch_id"] for row in news)
+    touched = {row["period"]: versions[row["period"]] for row in news if row["period"] in versions}
+    # Newest fetch first, one without a date last; then the first file by name, however the files came in batches.
+    age = F.coalesce(-F.unix_date("fetch_date"), F.lit(2**31 - 1))
+    first = F.min_by(F.struct(*BAR_VALUES, *_SOURCE), F.struct(age, "source_file"))
+    bars = to_bars(new, *_SOURCE).unionByName(_read_current(spark, store, touched))
     (
-        bars.withColumn("period", label)
+        bars.groupBy(*KEY)
+        .agg(first.alias("first"))
+        .select(*KEY, "first.*", label.alias("period"))
         .hint("rebalance", "period")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("period")
-        .parquet(f"{store}/current")
+        .parquet(f"{store}/current/version={newest}")
     )
-    newest = max(row["batch_id"] for row in news)
-    spark.createDataFrame([(newest,)], _REFRESHED).write.mode("append").parquet(f"{store}/refreshed")
+    noted = spark.createDataFrame([(newest, row["period"]) for row in news], _REFRESHED)
+    noted.coalesce(1).write.mode("append").parquet(f"{store}/refreshed")
+
+
+def _ingest(
+    stream: DataFrame, check: Callable[[DataFrame], DataFrame], store: str, period: str, written: list[int]
+) -> list[int]:
+    """Store what is new in a stream, checked, then refresh the history."""
+
+    def store_batch(batch: DataFrame, batch_id: int) -> None:
+        (
+            check(batch)
+            .withColumn("is_ok", F.size("reasons") == 0)
+            .sortWithinPartitions("is_ok", "trade_date")
+            .write.mode("overwrite")
+            .partitionBy("is_ok")
+            .parquet(f"{store}/rows/batch_id={batch_id}")
+        )
+        written.append(batch_id)
+
+    query = (
+        stream.writeStream.foreachBatch(store_batch)
+        .option("checkpointLocation", f"{store}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    refresh_history(stream.sparkSession, store, period)
+    return written
 
 
 def ingest_new_files(
@@ -118,50 +180,59 @@ def ingest_new_files(
     than its first). ``written``, if given, is filled as batches are stored, so a
     caller knows them even when the refresh breaks.
     """
-    written = [] if written is None else written
-    check_period(spark, store, period)
+    check_kept(spark, store, period, "files")
 
-    def store_batch(batch: DataFrame, batch_id: int) -> None:
-        checked = classify(check_headers(batch), order=["source_file"], fetch=["fetch_date"])
-        (
-            checked.withColumn("is_ok", F.size("reasons") == 0)
-            .sortWithinPartitions("is_ok", "trade_date")
-            .write.mode("overwrite")
-            .partitionBy("is_ok")
-            .parquet(f"{store}/rows/batch_id={batch_id}")
-        )
-        written.append(batch_id)
+    def check(batch: DataFrame) -> DataFrame:
+        return classify(check_headers(batch), order=["source_file"], fetch=["fetch_date"])
 
-    query = (
-        stream_scan(spark, landing, max_files, header)
-        .writeStream.foreachBatch(store_batch)
-        .option("checkpointLocation", f"{store}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    refresh_history(spark, store, period)
-    return written
+    stream = stream_scan(spark, landing, max_files, header)
+    return _ingest(stream, check, store, period, [] if written is None else written)
 
 
-def run_daily(
+def ingest_payloads(
     spark: SparkSession,
-    landing: str,
+    payloads: DataFrame,
     store: str,
-    run_date: datetime.date,
-    max_files: int | None = None,
     period: str = "year",
     header: str = CSV_HEADER,
-) -> str:
-    """One scheduled run; leaves one row in the run table and returns its run_id.
+    written: list[int] | None = None,
+) -> list[int]:
+    """Keep fetched bodies as they are, then check and store their rows as ``ingest_new_files`` does.
 
-    Call it from any scheduler. A run that breaks is logged as failed, then raised.
+    ``payloads`` has (symbol, fetch_date, body) and optionally ``status``, the
+    response's. Bodies are appended to the store first and read from there by a
+    stream, so one that was kept is taken in exactly once even if the run breaks. The rows of
+    a body whose status is an error are rejected. Of rows that share a fetch and day, the
+    first by the body's hash, then by line, is accepted. The same bodies
+    given twice are kept and counted twice, and the history is the same.
     """
-    missing = [n for n, v in {"landing": landing, "store": store, "run_date": run_date}.items() if not v]
+    check_kept(spark, store, period, "bodies")
+    status = F.col("status").cast("int") if "status" in payloads.columns else F.lit(None).cast("int")
+    kept = payloads.select("symbol", "fetch_date", status.alias("status"), "body")
+    kept.write.mode("append").parquet(f"{store}/bodies")
+
+    def check(batch: DataFrame) -> DataFrame:
+        named = F.concat(F.lit("body:"), F.sha2(F.coalesce("body", F.lit("")), 256))
+        rows = parse_payloads(batch.withColumn("source_file", named), header)
+        return classify(rows, order=["source_file", "line_no"], fetch=["fetch_date"])
+
+    stream = spark.readStream.schema(_BODY).parquet(f"{store}/bodies")
+    return _ingest(stream, check, store, period, [] if written is None else written)
+
+
+def _logged(
+    spark: SparkSession,
+    store: str,
+    run_date: datetime.date,
+    settings: dict[str, object],
+    ingest: Callable[[list[int]], list[int]],
+) -> str:
+    """Run ``ingest`` and leave one row in the run table; a run that breaks is logged as failed, then raised."""
+    missing = [name for name, value in ({"store": store, "run_date": run_date} | settings).items() if not value]
     if "store" in missing:  # nowhere to log it
         raise ValueError("required setting store is missing")
     run_id = uuid.uuid4().hex
-    this_run = spark.createDataFrame([(run_id, run_date)], "run_id string, run_date date")
+    this_run = spark.createDataFrame([(run_id, run_date or None)], "run_id string, run_date date")
     runs = f"{store}/runs"
     batches: list[int] = []
 
@@ -172,7 +243,7 @@ def run_daily(
     try:
         if missing:
             raise ValueError(f"required setting {missing[0]} is missing")
-        ingest_new_files(spark, landing, store, max_files, period, header, batches)
+        ingest(batches)
     except Exception as error:
         # What was stored before it broke counts for this run: the next one won't see it again.
         append_runs(
@@ -183,5 +254,39 @@ def run_daily(
     return run_id
 
 
+def run_daily(
+    spark: SparkSession,
+    landing: str,
+    store: str,
+    run_date: datetime.date,
+    max_files: int | None = None,
+    period: str = "year",
+    header: str = CSV_HEADER,
+) -> str:
+    """One scheduled run over landed files; leaves one row in the run table and returns its run_id.
+
+    Call it from any scheduler. A run that breaks is logged as failed, then raised.
+    """
+    return _logged(
+        spark, store, run_date, {"landing": landing},
+        lambda written: ingest_new_files(spark, landing, store, max_files, period, header, written),
+    )
+
+
+def run_payloads(
+    spark: SparkSession,
+    payloads: DataFrame,
+    store: str,
+    run_date: datetime.date,
+    period: str = "year",
+    header: str = CSV_HEADER,
+) -> str:
+    """``run_daily`` over fetched bodies."""
+    return _logged(
+        spark, store, run_date, {},
+        lambda written: ingest_payloads(spark, payloads, store, period, header, written),
+    )
+
+
 def read_runs(spark: SparkSession, store: str) -> DataFrame:
     return spark.read.parquet(f"{store}/runs")

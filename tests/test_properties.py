@@ -253,15 +253,19 @@ def test_a_batch_remakes_only_its_own_periods(spark, make_bars, tmp_path):
     first = make_bars([("A", day, 10, 12, 9, 11, 1) for day in days])
     write_days(first, files, START)
     daily_ingest.run_daily(spark, files, str(store), START)
-    before = {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (store / "current").glob("period=*")}
-    assert sorted(before) == ["period=2022-01-01", "period=2023-01-01", "period=2024-01-01"]
+    def held():
+        return {str(p.relative_to(store / "current")): p.stat().st_mtime_ns for p in (store / "current").rglob("*.parquet")}
+
+    before = held()
+    assert {name.split("/")[1] for name in before} == {f"period={year}-01-01" for year in (2022, 2023, 2024)}
 
     second = make_bars([("A", day, 20, 22, 19, 21, 1) for day in [days[0], days[3]]])
     write_days(second, files, START + datetime.timedelta(1))
     daily_ingest.run_daily(spark, files, str(store), START)
-    after = {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (store / "current").glob("period=*")}
-    assert after["period=2023-01-01"] == before["period=2023-01-01"]
-    assert after["period=2022-01-01"] != before["period=2022-01-01"]
+    after = held()
+    assert {name: after[name] for name in before} == before  # readers of the old version are not disturbed
+    made = {"/".join(name.split("/")[:2]) for name in after.keys() - before.keys()}
+    assert made == {"version=1/period=2022-01-01", "version=1/period=2024-01-01"}
     assert rows_of(daily_ingest.read_history(spark, str(store))) == rows_of(history.merge(first, second))
 
 
@@ -500,3 +504,58 @@ def test_a_young_symbol_gets_a_row_without_a_prediction(spark, make_bars):
     model = forecast.fit_ols(forecast.train_rows(split))
     got = {r.symbol: r.prediction for r in forecast.predict_close(model, split).where("split = 'forecast'").collect()}
     assert set(got) == {"A", "B"} and got["B"] is None and got["A"] is not None
+
+
+def body_of(*lines):
+    return "\n".join(["trade_date,open,high,low,close,volume", *lines])
+
+
+def test_bodies_reach_the_history_and_are_kept(spark, tmp_path):
+    store = str(tmp_path / "store")
+
+    def run(rows, columns="symbol string, fetch_date date, status int, body string"):
+        return daily_ingest.run_payloads(spark, spark.createDataFrame(rows, columns), store, START)
+
+    later = START + datetime.timedelta(1)
+    given = [
+        ("A", START, 200, body_of("2024-01-02,10,20,5,11,1", "2023-01-02,10,20,5,12,1")),
+        ("B", START, None, body_of("2024-01-02,10,20,5,13,1")),
+        ("C", START, 503, body_of("2024-01-02,10,20,5,14,1")),
+        ("D", START, 200, '{"message": "limit reached"}'),
+        ("E", START, 404, None),
+    ]
+    run(given)
+    assert sorted(map(tuple, daily_ingest.read_bodies(spark, store).collect())) == sorted(given)
+    rejected = daily_ingest.read_rows(spark, store).where("not is_ok").collect()
+    assert {r.symbol: r.reasons for r in rejected} == {"C": ["http_status"], "D": ["bad_header"], "E": ["http_status"]}
+    run([("A", later, body_of("2024-01-02,10,20,5,15,1"))], "symbol string, fetch_date date, body string")
+    run([("A", None, 200, body_of("2024-01-02,10,20,5,16,1"))])  # an unknown fetch counts as the oldest
+    run([])
+    got = {(r.symbol, r.trade_date.year): r.close_c for r in daily_ingest.read_history(spark, store).collect()}
+    assert got == {("A", 2024): 1500, ("A", 2023): 1200, ("B", 2024): 1300}
+    statuses = sorted((r.status, r.rows_in) for r in daily_ingest.read_runs(spark, store).collect())
+    assert statuses == [("empty", 0), ("ok", 1), ("ok", 1), ("ok", 6)]
+    with pytest.raises(ValueError, match="from bodies"):
+        daily_ingest.run_daily(spark, str(tmp_path), store, START)
+
+
+def test_a_refresh_reads_no_older_batch(spark, make_bars, tmp_path):
+    """The rows of older batches may even be gone."""
+    files, store = str(tmp_path / "files"), tmp_path / "store"
+    first = make_bars([("A", "2024-01-02", 10, 12, 9, 11, 1), ("A", "2024-01-03", 10, 12, 9, 11, 1)])
+    second = make_bars([("A", "2024-01-03", 20, 22, 19, 21, 1)])
+    write_days(first, files, START)
+    daily_ingest.run_daily(spark, files, str(store), START)
+    for part in (store / "rows" / "batch_id=0").rglob("*.parquet"):
+        part.write_bytes(b"")
+        part.with_name(f".{part.name}.crc").unlink()
+    write_days(second, files, START + datetime.timedelta(1))
+    daily_ingest.run_daily(spark, files, str(store), START)
+    assert rows_of(daily_ingest.read_history(spark, str(store))) == rows_of(history.merge(first, second))
+
+
+def test_a_missing_run_date_is_logged(spark, tmp_path):
+    with pytest.raises(ValueError, match="run_date"):
+        daily_ingest.run_daily(spark, str(tmp_path), str(tmp_path / "store"), None)
+    row = daily_ingest.read_runs(spark, str(tmp_path / "store")).first()
+    assert (row.run_date, row.status, row.reason) == (None, "failed", "required setting run_date is missing")
