@@ -285,6 +285,18 @@ def test_doubtful_candidates_are_judged_and_all_are_redacted(spark):
     assert {s.kind for s in out[100].all_spans} == {"secret", "phone"} and not out[0].all_spans
 
 
+@pytest.mark.parametrize("copies", [1, 40])
+def test_look_alikes_do_not_tip_the_model(spark, copies):
+    """Numbers that fail their check stay, however many there are beside few or many secrets."""
+    rows = [(i, f"It is 29942562563317{i % 10}{(i + 1 + (i % 10 == 8)) % 10} there") for i in range(100)]
+    rows = [(i, t) for i, t in rows if not base_spans(t)]
+    rows += [(200 + i, f'Here token = "{"0a1b2c3d4e5f" * 3}{i:02d}" stands.') for i in range(copies)]
+    rows += [(300, "Card 3782822463100 5 and +123 and +1234567890123456 and 10.10.10.999 here")]
+    found = pii.detect(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(rows) > 90 + copies
+    assert {r.doc_id for r in found if r.all_spans} == set(range(200, 200 + copies))
+
+
 def test_reliabilities_are_recovered():
     random.seed(6)
     counted = collections.Counter()
