@@ -134,10 +134,16 @@ def _block_correlator(min_days: int):
 
 
 def chart_correlation(
-    bars: DataFrame, min_days: int = 3, symbols_per_block: int = SYMBOLS_PER_BLOCK
+    bars: DataFrame,
+    min_days: int = 3,
+    symbols_per_block: int = SYMBOLS_PER_BLOCK,
+    chosen: DataFrame | None = None,
 ) -> DataFrame:
     """Correlation of daily returns for every pair of symbols sharing at least ``min_days``.
 
+    The result, and with it the copying, grows with the square of the symbols: of very
+    many, pass the ``chosen`` ones (column ``symbol``), and the others drop out first.
+
     A blocked matrix product. A self-join on the date would emit every pair of
     symbols once per day; here a symbol's series is one row, copied once per
     block of symbols, and a task sees the series of two blocks only. Both bounds
@@ -145,6 +151,8 @@ def chart_correlation(
     most one value per calendar day. The series are written to the shared folder
     first, so that counting symbols does not repeat the work above.
     """
+    if chosen is not None:
+        bars = bars.join(chosen.select("symbol"), "symbol", "left_semi")
     returns = daily_return(bars).where(F.col("ret").isNotNull())
     series = materialize(
         returns.groupBy("symbol")

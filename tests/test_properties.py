@@ -107,6 +107,11 @@ def test_correlation_is_the_same_for_any_blocking(random_bars):
     assert len(want) == 36
     for size in [1, 2, 4]:
         assert rows_of(charts.chart_correlation(bars, symbols_per_block=size)) == want
+    chosen = bars.select("symbol").distinct().orderBy("symbol").limit(3)
+    some = rows_of(charts.chart_correlation(bars, chosen=chosen.union(chosen)))
+    names = [r.symbol for r in chosen.collect()]
+    among = charts.chart_correlation(bars).where(F.col("symbol_a").isin(names) & F.col("symbol_b").isin(names))
+    assert len(some) == 3 and some == rows_of(among)
 
 
 def test_correlation_of_a_flat_series_is_null(make_bars):
