@@ -8,10 +8,10 @@ CSV_HEADER = "trade_date,open,high,low,close,volume"
 CSV_SCHEMA = (
     T.StructType()
     .add("trade_date", "date")
-    .add("open", "decimal(18,4)")
-    .add("high", "decimal(18,4)")
-    .add("low", "decimal(18,4)")
-    .add("close", "decimal(18,4)")
+    .add("open", "decimal(22,8)")
+    .add("high", "decimal(22,8)")
+    .add("low", "decimal(22,8)")
+    .add("close", "decimal(22,8)")
     .add("volume", "long")
     .add("_bad", "string")
 )

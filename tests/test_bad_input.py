@@ -66,8 +66,13 @@ def test_line_ends(check_body, end):
 
 
 def test_cents_are_exact(check_body):
-    row = quality.to_bars(quality.accepted(check_body(body("2024-01-02,0.2900,0.5800,0.29,0.5750,3")))).first()
-    assert tuple(row)[2:] == (29, 58, 29, 58, 3)
+    row = quality.to_bars(quality.accepted(check_body(body("2024-01-02,0.2900,0.5800,0.29,0.5700,3")))).first()
+    assert tuple(row)[2:] == (29, 58, 29, 57, 3)
+
+
+def test_a_price_finer_than_a_cent_is_rejected_not_rounded(check_body):
+    assert reasons(check_body(body("2024-01-02,0.2900,0.5800,0.29,0.5750,3"))) == {"sub_cent": 1}
+    assert reasons(check_body(body("2024-01-02,10.00001,11,9,10.5,3"))) == {"sub_cent": 1}
 
 
 def test_error_message_in_place_of_prices(check_body):
