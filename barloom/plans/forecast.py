@@ -73,15 +73,15 @@ def fit_ols(spark, sf_dir):
     "fit_sgd",
     f"""with {BARS}, {FEATURES}, {SPLIT}, {OLS},
       sd as (select stddev_samp(x1) as s1, stddev_samp(x2) as s2, stddev_samp(label) as sy from train)
-      select 'x1' as term, round(b1 * s1 / sy, 4) + 0.0 as std_weight, round(b1, 4) + 0.0 as value from ols, sd
-      union all select 'x2', round(b2 * s2 / sy, 4) + 0.0, round(b2, 4) + 0.0 from ols, sd""",
+      select 'x1' as term, round(b1 * s1 / sy, 6) + 0.0 as std_weight, round(b1, 6) + 0.0 as value from ols, sd
+      union all select 'x2', round(b2 * s2 / sy, 6) + 0.0, round(b2, 6) + 0.0 from ols, sd""",
 )
 def fit_sgd(spark, sf_dir):
-    """The descent, compared to 4 places, to which it has converged."""
-    fit = fc.fit_sgd(fc.train_rows(_model_input(spark, sf_dir)))
+    """The descent, with steps enough to converge to the 6 places compared."""
+    fit = fc.fit_sgd(fc.train_rows(_model_input(spark, sf_dir)), iterations=1_000)
     rows = [(name, fit.std_weights[name], fit.coefficients[name]) for name in fc.FEATURES]
     return round_columns(
-        spark.createDataFrame(rows, "term string, std_weight double, value double"), 4, "std_weight", "value"
+        spark.createDataFrame(rows, "term string, std_weight double, value double"), 6, "std_weight", "value"
     )
 
 

@@ -20,15 +20,21 @@ FILE_SCHEMA = T.StructType([*CSV_SCHEMA.fields, *_PARTITIONS])
 READ_OPTIONS = {"header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
 
 
-def _is_header(line: Column, header: str) -> Column:
-    prices = [name.strip() for name in header.lower().split(",")][1:]
+#: The header line of the files, or several that are all taken (other names of the date column, say).
+Header = str | tuple[str, ...]
+
+
+def _is_header(line: Column, header: Header) -> Column:
+    lines = [one.strip().lower() for one in ([header] if isinstance(header, str) else header)]
     known = ["open", "high", "low", "close", "volume"]
-    if sorted(prices) == sorted(known) and prices != known:
-        raise ValueError(f"columns are read by position, as date, {', '.join(known)}; the header has {header}")
-    return F.coalesce(F.lower(F.trim(line)) == header, F.lit(False))
+    for one in lines:
+        prices = [name.strip() for name in one.split(",")][1:]
+        if sorted(prices) == sorted(known) and prices != known:
+            raise ValueError(f"columns are read by position, as date, {', '.join(known)}; the header has {one}")
+    return F.coalesce(F.lower(F.trim(line)).isin(*lines), F.lit(False))
 
 
-def scan(files: DataFrame, header: str = CSV_HEADER) -> DataFrame:
+def scan(files: DataFrame, header: Header = CSV_HEADER) -> DataFrame:
     """A CSV read (batch or streaming) with the file of each row and ``is_header``."""
     return files.withColumn("source_file", F.col("_metadata.file_path")).withColumn(
         "is_header", F.col("trade_date").isNull() & _is_header(F.col("_bad"), header)
@@ -82,22 +88,22 @@ def check_headers(scanned: DataFrame) -> DataFrame:
     )
 
 
-def _scan_path(spark: SparkSession, path: str, header: str) -> DataFrame:
+def _scan_path(spark: SparkSession, path: str, header: Header) -> DataFrame:
     return scan(spark.read.schema(FILE_SCHEMA).options(**READ_OPTIONS).csv(path), header)
 
 
-def read_prices(spark: SparkSession, path: str, header: str = CSV_HEADER) -> DataFrame:
+def read_prices(spark: SparkSession, path: str, header: Header = CSV_HEADER) -> DataFrame:
     """Raw price rows of all files below ``path``; unparsable lines are kept in ``_bad``."""
     return without_headers(_scan_path(spark, path, header))
 
 
-def read_checked(spark: SparkSession, path: str, header: str = CSV_HEADER) -> DataFrame:
+def read_checked(spark: SparkSession, path: str, header: Header = CSV_HEADER) -> DataFrame:
     """``read_prices`` with ``header_ok`` for each row; reads the files once to find it."""
     return check_headers(_scan_path(spark, path, header))
 
 
 def read_flat(
-    spark: SparkSession, path: str, symbol: str, fetch_date: datetime.date, header: str = CSV_HEADER
+    spark: SparkSession, path: str, symbol: str, fetch_date: datetime.date, header: Header = CSV_HEADER
 ) -> DataFrame:
     """``read_checked`` for files of one symbol and fetch whose path names neither."""
     files = spark.read.schema(CSV_SCHEMA).options(**READ_OPTIONS).csv(path)
@@ -107,7 +113,7 @@ def read_flat(
 
 
 def stream_scan(
-    spark: SparkSession, path: str, max_files: int | None = None, header: str = CSV_HEADER
+    spark: SparkSession, path: str, max_files: int | None = None, header: Header = CSV_HEADER
 ) -> DataFrame:
     """Files as they arrive, scanned; each batch then goes through ``check_headers``."""
     reader = spark.readStream.schema(FILE_SCHEMA).options(**READ_OPTIONS)
@@ -135,7 +141,7 @@ def write_prices(bars: DataFrame, path: str) -> None:
     ).write.partitionBy("fetch_date", "symbol").option("header", "true").mode("append").csv(path)
 
 
-def parse_payloads(payloads: DataFrame, header: str = CSV_HEADER) -> DataFrame:
+def parse_payloads(payloads: DataFrame, header: Header = CSV_HEADER) -> DataFrame:
     """Fetched bodies, one per row in ``body``, to raw price rows; other columns are kept.
 
     Line ends may be LF or CRLF. A body whose first line is not the header (a

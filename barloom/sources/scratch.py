@@ -21,9 +21,26 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+#: Paths given out in this process and not yet cleared.
+_given: list[str] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/barloom/{label}-{uuid.uuid4().hex}"
+    _given.append(f"{shared_folder(spark)}/barloom/{label}-{uuid.uuid4().hex}")
+    return _given[-1]
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process has written; how many there were.
+
+    For the end of a job or of one query: frames that read them can't be used after.
+    """
+    sc, cleared = spark.sparkContext, 0
+    while _given:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_given.pop())
+        cleared += path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    return cleared
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from barloom.operators.quality import classify, run_log, to_bars
 from barloom.schemas import BAR_COLUMNS, BAR_VALUES, BARS, CSV_HEADER, KEY
 from barloom.sources.landing import append_runs
-from barloom.sources.price_csv import FILE_SCHEMA, check_headers, parse_payloads, stream_scan
+from barloom.sources.price_csv import FILE_SCHEMA, Header, check_headers, parse_payloads, stream_scan
 
 # A batch stores the raw row, the verdict on it, and two partition columns.
 _ROWS = T.StructType(
@@ -167,7 +167,7 @@ def ingest_new_files(
     store: str,
     max_files: int | None = None,
     period: str = "year",
-    header: str = CSV_HEADER,
+    header: Header = CSV_HEADER,
     written: list[int] | None = None,
 ) -> list[int]:
     """Check and store the files not seen before; returns the ids of the batches written.
@@ -194,7 +194,7 @@ def ingest_payloads(
     payloads: DataFrame,
     store: str,
     period: str = "year",
-    header: str = CSV_HEADER,
+    header: Header = CSV_HEADER,
     written: list[int] | None = None,
 ) -> list[int]:
     """Keep fetched bodies as they are, then check and store their rows as ``ingest_new_files`` does.
@@ -261,7 +261,7 @@ def run_daily(
     run_date: datetime.date,
     max_files: int | None = None,
     period: str = "year",
-    header: str = CSV_HEADER,
+    header: Header = CSV_HEADER,
 ) -> str:
     """One scheduled run over landed files; leaves one row in the run table and returns its run_id.
 
@@ -279,7 +279,7 @@ def run_payloads(
     store: str,
     run_date: datetime.date,
     period: str = "year",
-    header: str = CSV_HEADER,
+    header: Header = CSV_HEADER,
 ) -> str:
     """``run_daily`` over fetched bodies."""
     return _logged(

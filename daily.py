@@ -18,12 +18,13 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--run-date", required=True, type=datetime.date.fromisoformat)
     parser.add_argument("--max-files", type=int, help="files per batch (default: all in one)")
     parser.add_argument("--period", choices=["year", "month"], default="year")
-    parser.add_argument("--header", default=CSV_HEADER, help="header line of the files, in lower case")
+    parser.add_argument("--header", action="append", help="header line of the files; may be given several times")
     given = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("daily prices").getOrCreate()
     run_id = run_daily(
-        spark, given.landing, given.store, given.run_date, given.max_files, given.period, given.header
+        spark, given.landing, given.store, given.run_date, given.max_files, given.period,
+        tuple(given.header or [CSV_HEADER]),
     )
     run = read_runs(spark, given.store).where(f"run_id = '{run_id}'").first()
     print(json.dumps(run.asDict(), default=str))

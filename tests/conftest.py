@@ -1,4 +1,5 @@
 import datetime
+import json
 import pathlib
 import sys
 
@@ -18,6 +19,10 @@ def spark(tmp_path_factory):
         **{
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": tmp_path_factory.mktemp("events").as_uri(),
+            "spark.eventLog.compress": "false",
+            "spark.eventLog.rolling.enabled": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -25,6 +30,25 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def executed(spark):
+    """A function that gives the plans of all that ran since the test began, as Spark's event log has them."""
+    folder = pathlib.Path(spark.conf.get("spark.eventLog.dir").removeprefix("file://").removeprefix("file:"))
+    (log,) = folder.iterdir()
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty()
+    begin = log.stat().st_size
+
+    def plans():
+        bus.waitUntilEmpty()
+        with log.open("rb") as lines:
+            lines.seek(begin)
+            events = map(json.loads, lines)
+            return [event["physicalPlanDescription"] for event in events if "physicalPlanDescription" in event]
+
+    return plans
+
+
 @pytest.fixture
 def make_bars(spark):
     """Bars from (symbol, "yyyy-mm-dd", open_c, high_c, low_c, close_c, volume) rows."""

@@ -87,6 +87,12 @@ def test_reordered_header_rejects_the_whole_body(check_body):
     assert reasons(check_body(body(GOOD, header="trade_date,close,high,low,open,volume"))) == {"bad_header": 2}
 
 
+def test_several_headers_are_taken(spark):
+    rows = [(body(GOOD, header="day,o,h,l,c,v"),), (body(GOOD),), (body(GOOD, header="a,b,c,d,e,f"),)]
+    parsed = price_csv.parse_payloads(spark.createDataFrame(rows, "body string"), (CSV_HEADER, "Day,o,h,l,c,v"))
+    assert sorted(row.header_ok for row in parsed.collect()) == [False, False, True, True]
+
+
 def test_empty_and_header_only(check_body):
     assert reasons(check_body("", None)) == {"bad_header": 2}
     assert reasons(check_body(CSV_HEADER)) == {}

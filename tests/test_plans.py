@@ -22,6 +22,41 @@ def plan_of(df):
     return out.getvalue()
 
 
+#: Row-at-a-time or batch-wise Python, and joins that compare all with all.
+NOWHERE = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas"]
+
+
+def fed_to_one_task(plan):
+    """The steps whose whole output goes to a single task, of a plan as the event log has it."""
+    tree, _, details = plan.partition("\n\n")
+    alone = set(re.findall(r"\((\d+)\) (?:Exchange|ShuffleQueryStage)\n(?:.+\n)*?Arguments: SinglePartition", details))
+    steps = re.findall(r"([A-Z]\w*)(?: [\w`.]+)*? \((\d+)\)", tree)
+    return [steps[i + 1][0] for i, (_, number) in enumerate(steps[:-1]) if number in alone]
+
+
+@pytest.mark.parametrize("name", plans.queries())
+def test_executed_plans(spark, executed, name):
+    """All that runs, fits and written steps included, holds to what the returned plan must."""
+    entry.queries()[name](spark, SF).write.format("noop").mode("overwrite").save()
+    ran = executed()
+    assert ran
+    for plan in ran:
+        for bad in NOWHERE:
+            assert bad not in plan
+        # One task may take partial aggregates and first rows, but no rows as they are.
+        for step in fed_to_one_task(plan):
+            assert step.endswith("Aggregate") or "Limit" in step, step
+    assert any("FlatMapGroupsIn" in plan for plan in ran) == (name == "chart_correlation")
+
+
+def test_a_step_fed_to_one_task_is_seen(spark, executed):
+    spark.range(9).createOrReplaceTempView("nine")
+    spark.sql("select row_number() over (order by id) from nine").collect()
+    spark.sql("select sum(id) from nine").collect()
+    found = [step for plan in executed() for step in fed_to_one_task(plan)]
+    assert "Range" in found and "HashAggregate" in found
+
+
 @pytest.mark.parametrize("name", plans.queries())
 def test_no_global_step(spark, name):
     """No window or join over everything at once, and Python only where it is meant."""

@@ -1,5 +1,7 @@
 """Where intermediate tables go."""
 
+import pathlib
+
 import pytest
 
 from barloom.sources import scratch
@@ -52,3 +54,13 @@ def test_materialize_reads_back_the_same(spark):
     assert kept.schema.names == ["n"]
     assert sorted(r.n for r in kept.collect()) == [0, 1, 2, 3, 4]
     assert "Range" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_clear_deletes_what_was_written_and_nothing_else(spark, tmp_path):
+    scratch.clear(spark)
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    (path,) = scratch.materialize(spark.range(5), "five").inputFiles()[:1]
+    scratch.new_path(spark, "never-written")
+    assert scratch.clear(spark) == 1 and scratch.clear(spark) == 0
+    assert not pathlib.Path(path.removeprefix("file://")).exists()
+    assert spark.read.parquet(str(tmp_path / "other")).count() == 3
