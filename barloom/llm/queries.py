@@ -85,7 +85,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
-    return warc.captures(spark, path)
+    # As in OP9_SQL, a page without an id is no payload's first; its archived record is a response all the same.
+    kind = F.when(F.col("page_id").isNull(), F.lit("revisit")).otherwise(F.col("record_type"))
+    return warc.captures(spark, path).withColumn("record_type", kind)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

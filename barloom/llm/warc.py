@@ -39,9 +39,13 @@ def base32_sha1(data: Column) -> Column:
     return F.concat(*letters)
 
 
+def _code(kind: str, *parts: Column) -> Column:
+    return F.md5(F.concat_ws("\n", F.lit(kind), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
+
+
 def _urn(kind: str, *parts: Column) -> Column:
     """A record id that is the same each time the record is written."""
-    code = F.md5(F.concat_ws("\n", F.lit(kind), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
+    code = _code(kind, *parts)
     dashed = F.concat_ws("-", *[F.substring(code, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     return F.concat(F.lit("<urn:uuid:"), dashed, F.lit(">"))
 
@@ -61,31 +65,44 @@ def records(
     """(record) of three records a row, dealt over ``files`` partitions; equal payloads are written once, by the largest page id.
 
     The others are revisits of that one. Null html is an empty payload, a null url has
-    no target line. Rows that repeat a page id and payload are captures of their own,
-    responses if they hold the largest id. Rows with a null id are responses that no
-    one revisits. Other columns are not looked at; no rows give no records.
-
-    Payloads never move by their digest: the shuffle by digest carries ids only, with
-    map-side maxima, and the payload is joined by page id.
+    no target line. Rows that repeat page id, url and payload are captures of their own,
+    told apart by a number in their ids; they are responses if they hold the largest
+    page id, and revisits name number 0. Rows with a null id are responses that no one
+    revisits. Other columns are not looked at; no rows give no records.
+
+    Payloads never move by their digest: ids and digests are counted first, with
+    map-side sums, and written; the payload is joined by page. Repeated rows are met
+    with map-side counts, one payload each, then dealt by their number.
     """
     body = F.coalesce(frames.col(html), F.lit(""))
     source = pages.select(
         frames.col(page_id).cast("bigint").alias("page_id"), frames.col(url).alias("url"), body.alias("body")
     ).withColumn("digest", base32_sha1(F.col("body").cast("binary")))
+    # The url last, as it alone may hold line ends; a null one differs from an empty one.
+    source = source.withColumn("key", _code("page", F.col("page_id"), F.col("digest"), F.concat(F.lit("="), F.col("url"))))
+    keys = materialize(source.groupBy("key", "page_id", "digest").agg(F.count("*").alias("n")), "keys")
     light = materialize(  # so that the join by digest can split a payload with very many pages
-        source.where("page_id is not null").groupBy("digest")
-        .agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1"),
+        keys.where("page_id is not null").groupBy("digest")
+        .agg(F.max(F.struct("page_id", "key")).alias("top"), F.min("page_id").alias("least"))
+        .where("least < top.page_id").select("digest", F.col("top.page_id").alias("top"), F.col("top.key").alias("first")),
         "firsts",
     )
-    copies = (
-        source.where("page_id is not null").select("page_id", "digest").distinct()
-        .join(light, "digest").where("page_id < first").select("page_id", "digest", "first")
-    )
+    copies = keys.join(light, "digest").where("page_id < top").select("key", "first")
+    repeats = keys.where("n > 1").select("key")
+    repeated = not repeats.isEmpty()
+    once = source.join(repeats, "key", "left_anti") if repeated else source
     if files:
-        source = source.repartition(files, "page_id", "digest")
-    whole = source.join(copies, ["page_id", "digest"], "left")
-    own = _urn("response", F.col("page_id"), F.col("digest"))
-    refers = F.when(F.col("first").isNotNull(), _urn("response", F.col("first"), F.col("digest")))
+        once = once.repartition(files, "key")
+    whole = once.join(copies, "key", "left").withColumn("number", F.lit(0).cast("bigint"))
+    if repeated:
+        columns = ["page_id", "url", "body", "digest"]
+        many = source.groupBy("key").agg(*[F.first(c).alias(c) for c in columns], F.count("*").alias("n")).where("n > 1")
+        many = many.join(copies, "key", "left").select(
+            "key", *columns, "first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("number")
+        )
+        whole = whole.unionByName(many.repartition(*[files] * bool(files), "key", "number"))
+    own = _urn("response", F.col("key"), F.col("number"))
+    refers = F.when(F.col("first").isNotNull(), _urn("response", F.col("first"), F.lit(0)))
     at = [("WARC-Target-URI", F.regexp_replace("url", "[\r\n]", "")), ("WARC-Date", F.lit("2024-01-01T00:00:00Z"))]
     payload = F.when(F.col("first").isNull(), F.col("body")).otherwise(F.lit(""))
     status = F.lit("HTTP/1.1 200 OK" + END + "Content-Type: text/html; charset=utf-8" + END + END)
@@ -104,7 +121,7 @@ def records(
     request = _record(
         [
             ("WARC-Type", F.lit("request")),
-            ("WARC-Record-ID", _urn("request", F.col("page_id"), F.col("digest"))),
+            ("WARC-Record-ID", _urn("request", F.col("key"), F.col("number"))),
             *at,
             ("WARC-Concurrent-To", own),
             ("Content-Type", F.lit("application/http; msgtype=request")),
@@ -114,7 +131,7 @@ def records(
     metadata = _record(
         [
             ("WARC-Type", F.lit("metadata")),
-            ("WARC-Record-ID", _urn("metadata", F.col("page_id"), F.col("digest"))),
+            ("WARC-Record-ID", _urn("metadata", F.col("key"), F.col("number"))),
             *at,
             ("WARC-Concurrent-To", own),
             ("Content-Type", F.lit("application/warc-fields")),

@@ -390,6 +390,27 @@ def test_archives_give_back_what_was_written(spark, tmp_path):
     assert warc.captures(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_repeated_pages_and_null_ids_keep_their_rows(spark, tmp_path):
+    rows = [(1, "http://a/", "x")] * 3 + [(1, "http://b/", "x"), (1, None, "x"), (1, "", "x")]
+    rows += [(2, "http://a/", "x")] * 2 + [(None, "http://n/", "x")] * 40 + [(None, f"http://n/{i}", None) for i in range(5)]
+    rows += [(3, None, None), (4, "http://d/", ""), (5, "http://e/", "z")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    pages.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = oracle.duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    assert oracle.differences(q.op9_warc(spark, str(tmp_path)), con, q.OP9_SQL) == []
+    for size in (10**9, 20_000):  # one file, and several
+        path = f"{tmp_path}/warc{size}"
+        warc.write(pages, path, file_bytes=size)
+        whole = warc.assemble(warc.read(spark, path)).collect()
+        page = [re.search(r"pageId: (.*)\r", bytes(r.metadata.payload).decode()).group(1) for r in whole]
+        got = [(int(i) if i else None, r.request.url) for i, r in zip(page, whole)]
+        assert collections.Counter(got) == collections.Counter((i, u) for i, u, _ in rows)
+        assert all(r.request and r.response and r.metadata for r in whole)
+        held = {r.response.id for r in whole if r.response.type == "response"}
+        assert {r.response.refers_to for r in whole if r.response.type == "revisit"} <= held
+
+
 # toxicity
 
 
