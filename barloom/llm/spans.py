@@ -1,7 +1,8 @@
-"""Substring dedup by sliding spans of sentences.
+"""Substring dedup by sliding spans of sentences and their parts.
 
-Every run of a few consecutive sentences is hashed; a run found at several places
-stays at the first and its sentences are removed at the others.
+Every run of a few consecutive sentences, or of parts of them with enough words, is
+hashed; a run found at several places stays at the first and its spans are removed at
+the others.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ from barloom.sources.scratch import materialize
 
 #: A sentence ends at a line's end, or after . ! ? (and closing quotes or brackets) before white space.
 END = re.compile(r"\n+|(?<=[.!?])[\"')\]]*[^\S\n]+")
+#: A part of a long sentence ends after , ; : (and closing quotes or brackets) before white space.
+PART = re.compile(r"(?<=[,;:])[\"')\]]*[^\S\n]+")
+WORD = re.compile(r"\s*\S+\s*")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -36,40 +40,127 @@ def sentences(text: str) -> list[tuple[int, int]]:
 @dataclass(frozen=True)
 class Rule:
     """Runs of ``size`` sentences with at least ``least_words`` words, so that chance repeats of
-    short sentences don't count; shorter runs too if they have at least ``long_words`` words."""
+    short sentences don't count; shorter runs too if they have at least ``long_words`` words.
+
+    Besides, from each span on, the shortest run of spans that has ``run_words`` words, ``distinct``
+    of them different, however many spans that takes; runs of over ``most_words`` words, which
+    hardly differ within, don't count. Spans are sentences; those of over ``whole`` words end at
+    , ; : too, and parts that are still longer after words chosen by hash, one in any ``window``
+    words. Such ends depend on the words around them alone, so a passage has the same ones
+    wherever it stands, but for the first and last few words.
+    """
 
     size: int = 3
     least_words: int = 10
     long_words: int = 25
+    run_words: int = 16
+    distinct: int = 8
+    most_words: int = 64
+    whole: int = 12
+    window: int = 8
+
+
+def _chosen(part: str, window: int) -> list[int]:
+    """Ends of the words of a part whose hash is the least of ``window`` words in a row, the last of equal ones."""
+    words = list(WORD.finditer(part))
+    codes = [xxhash.xxh32_intdigest(word[0].strip().lower()) for word in words]
+    at, found = -1, []
+    for start in range(len(codes) - window + 1):
+        last = start + window - 1
+        if at < start:
+            at = min(range(last, start - 1, -1), key=codes.__getitem__)
+        elif codes[last] <= codes[at]:
+            at = last
+        else:
+            continue
+        found.append(words[at].end())
+    return found
+
+
+def spans(text: str, rule: Rule) -> tuple[list[tuple[int, int]], list[list[str]], list[int]]:
+    """(start, end) and words, in lower case, of each span; the first span of each sentence, and their number."""
+    found, held, firsts = [], [], []
+
+    def add(start: int, end: int, words: list[str]) -> None:
+        found.append((start, end))
+        held.append(words)
+
+    for start, end in sentences(text):
+        firsts.append(len(found))
+        words = text[start:end].lower().split()
+        if len(words) <= rule.whole:
+            add(start, end, words)
+            continue
+        for until in [mark.end() for mark in PART.finditer(text, start, end)] + [end]:
+            part = text[start:until]
+            words = part.lower().split()
+            if len(words) > rule.whole:
+                at = 0
+                for cut in _chosen(part, rule.window):
+                    add(start + at, start + cut, part[at:cut].lower().split())
+                    at = cut
+                start, words = start + at, part[at:].lower().split()
+            if words:
+                add(start, until, words)
+            elif found:  # white space alone belongs to the span before
+                found[-1] = (found[-1][0], until)
+            start = until
+    return found, held, [*firsts, len(found)]
 
 
 def runs(text: str, rule: Rule) -> Iterator[tuple[int, int, int]]:
-    """(hash, first sentence, number of sentences) of every run of a text; words in lower case, white space alike."""
-    parts = [text[a:b].lower().split() for a, b in sentences(text)]
-    joined = [" ".join(words) for words in parts]
-    counts = list(map(len, parts))
-    for i in range(len(parts)):
-        total = 0
-        for n in range(1, min(rule.size, len(parts) - i) + 1):
-            total += counts[i + n - 1]
-            if total >= (rule.least_words if n == rule.size else rule.long_words):
-                yield xxhash.xxh3_64_intdigest("\n".join(joined[i : i + n])) - 2**63, i, n
+    """(hash, first span, number of spans) of every run of a text; words in lower case, white space alike."""
+    _, held, firsts = spans(text, rule)
+    joined = list(map(" ".join, held))
+    counts = list(map(len, held))
+
+    def run(i: int, n: int) -> tuple[int, int, int]:
+        return xxhash.xxh3_64_intdigest(" ".join(joined[i : i + n])) - 2**63, i, n
+
+    taken = set()
+    for i in range(len(firsts) - 1):
+        for n in range(1, min(rule.size, len(firsts) - 1 - i) + 1):
+            first, end = firsts[i], firsts[i + n]
+            if sum(counts[first:end]) >= (rule.least_words if n == rule.size else rule.long_words):
+                taken.add((first, end - first))
+                yield run(first, end - first)
+    within: dict[str, int] = {}
+    total = end = 0
+    for i in range(len(held)):
+        while end < len(held) and (total < rule.run_words or len(within) < rule.distinct):
+            for word in held[end]:
+                within[word] = within.get(word, 0) + 1
+            total += counts[end]
+            end += 1
+        if total < rule.run_words or len(within) < rule.distinct:
+            break
+        if total <= rule.most_words and (i, end - i) not in taken:
+            yield run(i, end - i)
+        for word in held[i]:
+            within[word] -= 1
+            if not within[word]:
+                del within[word]
+        total -= counts[i]
+
+
+#: Bits of a place that hold the number of spans; the first span stands above them.
+BITS = 29
 
 
 def repeated(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, covered): sentence numbers of each document that lie in a non-first repeated run.
+    """(id, covered): span numbers of each document that lie in a non-first repeated run.
 
     Runs are met by hash with map-side minima and counts, so a passage of very many
     documents sends a row per task; places are joined to the repeated hashes alone,
     in a join that can split a hash with very many places. First is the smallest id,
-    then the earliest sentence. Places never gather by hash, only by document.
+    then the earliest span. Places never gather by hash, only by document.
     """
 
     def start():
         def work(ids, texts):
             for one, body in zip(ids, texts):
                 for code, first, n in runs(body, rule):
-                    yield code, one, (first << 8) | n
+                    yield code, one, (first << BITS) | n
 
         return work
 
@@ -78,24 +169,27 @@ def repeated(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: s
     places = frames.explode_rows(
         source, [F.col("id"), F.col("body")], start, {"code": "bigint", "id": "bigint", "place": "bigint"}
     )
-    # One number that sorts by id, then place: minima of it run by hash, those of a struct by sorting.
-    order = ((F.col("id").cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("decimal(20,0)")
-             * F.lit(str(10**15)).cast("decimal(16,0)")).cast("decimal(37,0)") + F.col("place").cast("decimal(15,0)")
-    firsts = places.groupBy("code").agg(F.min(order).alias("first"), F.max(order).alias("last"))
-    firsts = materialize(firsts.where("first < last").select("code", "first"), "firsts")
-    again = places.join(firsts.hint("merge"), "code").where(order != F.col("first")).select("id", "place").distinct()
-    first, n = F.shiftright("place", 8), F.col("place").bitwiseAND(255)
-    each = again.select("id", F.explode(F.sequence(first, first + n - 1)).alias("sentence"))
-    return each.groupBy("id").agg(F.sort_array(F.collect_set("sentence")).alias("covered"))
+    found = places.groupBy("code").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    found = materialize(found.where("n > 1").select("code", "least"), "repeats")
+    met = materialize(places.join(found.hint("merge"), "code").select("code", "id", "place", "least"), "places")
+    # Within the smallest id, the earliest place is the first; it is one document's, so few rows a hash.
+    inside = met.where("id = least").select("code", "id", "place").distinct()
+    firsts = inside.groupBy("code").agg(F.min("place").alias("first"))
+    later = inside.join(firsts.hint("merge"), "code").where("place > first").select("id", "place")
+    again = met.where("id > least").select("id", "place").unionByName(later).distinct()
+    first, n = F.shiftright("place", BITS), F.col("place").bitwiseAND(2**BITS - 1)
+    each = again.select("id", F.explode(F.sequence(first, first + n - 1)).alias("span"))
+    return each.groupBy("id").agg(F.sort_array(F.collect_set("span")).alias("covered"))
 
 
 def dedup(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with repeated sentences cut from the text, ``n_sentences`` and ``n_removed``.
+    """``df`` with repeated spans cut from the text, ``n_sentences`` and ``n_removed``.
 
-    A null text stays null, an empty one empty; both have no sentences. Rows with a null
+    Both count spans: sentences, and the parts of long ones. A null text stays null, an
+    empty one empty; both have no spans. Rows with a null
     id are neither compared nor changed. Rows that repeat id and text hold the same
     places, so one does not make the other a repeat; rows that share an id with other
-    texts are one document for finding, and lose the sentences of the same numbers.
+    texts are one document for finding, and lose the spans of the same numbers.
     Columns of the new names are replaced, others kept. An empty table stays empty.
     Repeats are found by 64-bit hashes. Joins sort and merge at every size: what they
     look up grows with the documents.
@@ -107,7 +201,7 @@ def dedup(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str
     def start():
         def work(texts, all_covered):
             for body, covered in zip(texts, all_covered):
-                parts = sentences(body or "")
+                parts, _, _ = spans(body or "", rule)
                 if not covered:
                     yield body, len(parts), 0
                     continue

@@ -123,6 +123,55 @@ def test_spans_of_awkward_rows(awkward, empty):
     assert spans.dedup(empty).count() == 0
 
 
+def test_passages_found_by_plain_word_windows_are_cut(spark):
+    """Planted passages of 51 words that begin and end in mid-sentence, or have very short lines."""
+    random.seed(9)
+
+    def some(n):
+        return ["".join(random.choices("abcdefghij", k=7)) for _ in range(n)]
+
+    def passage(kind):
+        words = some(51)
+        if kind == "list":
+            return "".join(" ".join(words[i : i + 3]) + "\n" for i in range(0, 51, 3))
+        if kind == "dialogue":
+            return " ".join(" ".join(words[i : i + 2]) + "." for i in range(0, 51, 2))
+        if kind == "commas":
+            return " ".join(w + "," * (i % 7 == 6) for i, w in enumerate(words))
+        if kind == "one whole sentence":
+            return " ".join(w + "." * (i in (15, 35)) for i, w in enumerate(words))
+        return " ".join(words)
+
+    kinds = ["list", "dialogue", "commas", "one whole sentence", "no end at all"] * 20
+    planted = [passage(kind) for kind in kinds]
+    rows = []
+    for i, one in enumerate(planted * 2):
+        before, after = (" ".join(some(random.randrange(3, 40))) for _ in range(2))
+        rows.append((i, f"{before}. Own {before[::-1]} {one} {after[::-1]} end. {after}."))
+    seen, hit = {}, collections.defaultdict(set)
+    for i, text in rows:
+        words = text.lower().split()
+        for at in range(len(words) - 49):
+            if seen.setdefault(tuple(words[at : at + 50]), i) != i:  # 50, as the last may have a mark
+                hit[i].update(words[at : at + 50])
+    assert set(hit) == set(range(100, 200))
+    got = {r.doc_id: r.text for r in spans.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, text in rows:
+        words, left = text.lower().split(), got[i].lower().split()
+        gone = set(words) - set(left)
+        assert gone <= hit[i] and 2 * len(gone) >= len(hit[i]), kinds[i % 100]
+
+
+def test_ends_of_spans_hold_every_word_once(documents):
+    rule = spans.Rule()
+    odd = ["", " \n ", ", , ;", " \n\t a, b" * 30, "x " * 500, "a\u00a0b\x1cc " * 50, ", " * 60, LONG[:3_000], *list(documents.values())[:300]]
+    for text in odd:
+        found, words, _ = spans.spans(text or "", rule)
+        assert [w for part in words for w in part] == (text or "").lower().split()
+        if found:
+            assert "".join(text[a:b] for a, b in found) == text
+
+
 # BPE
 
 
