@@ -3,14 +3,17 @@
 zstandard ratios (bytes over compressed bytes) of the whole text and of fixed chunks
 lie in a band for prose; above it a text repeats itself, below it is incompressible.
 Longer texts compress better, so the band of the whole depends on the length. The
-bands come from the ratios of all documents: median and quartiles per length class.
+bands come from the ratios of all documents: median and quartiles by length, as
+distances from a fixed curve, so that few documents give bands like those of many.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from statistics import NormalDist
 
+import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +28,16 @@ SYMBOLS = "#*$%&|<>"
 class Rule:
     """How bands are drawn.
 
-    Length classes are quarter octaves of bytes. A band is the median, more or less
-    ``width`` deviations; a deviation is the quartile distance over 1.349, or
-    ``least`` of the median if that is more. Classes of fewer than ``enough`` different
-    (length, ratio) values take the band of the nearest class that has them, at
-    ``width * 2``; if none has, 0.8 to 8. Texts under ``short`` bytes are not judged by
-    their whole. A text fails too if over half of its full chunks lie outside the band
-    of all documents' middle chunk ratios.
+    Length classes are quarter octaves of bytes. A class is judged by the ``enough`` or more
+    different (length, ratio) values nearest to it: its own and those of as many classes on
+    either side as that takes, each as its distance (in logarithms) from ``CURVE``, which
+    takes out the effect of length. If the whole table has fewer, the missing ones are
+    drawn from the curve itself, with deviation ``spread``. A band is the median, more or
+    less ``width`` deviations, at every class and table size; a deviation is the quartile
+    distance over 1.349, or ``least`` if that is more. No band goes below ``floor`` or above
+    ``ceiling`` times the curve. Texts under ``short`` bytes are not judged by their whole. A
+    text fails too if over half of its full chunks lie outside the band of all documents'
+    middle chunk ratios, drawn in the same way.
     """
 
     chunk: int = 1_024
@@ -39,9 +45,18 @@ class Rule:
     width: float = 4.5
     least: float = 0.02
     enough: int = 40
+    spread: float = 0.02
+    floor: float = 0.65
+    ceiling: float = 1.8
     level: int = 3
 
 
+#: The usual ratio of prose (level 3) by log2 of its bytes, straight between and level beyond.
+CURVE = ((5, 0.80), (6, 1.00), (7, 1.28), (8, 1.50), (9, 1.66), (10, 1.88), (11, 2.04), (12, 2.17), (13, 2.26), (14, 2.37), (16, 2.50), (17, 2.57))
+#: Cells of log ratios in which values are counted: a quarter of a percent.
+CELLS = 400
+
+
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text."""
     data = text.encode()
@@ -116,35 +131,60 @@ class Bands:
     chunk: tuple[float, float]
 
 
+def usual(n_bytes: float) -> float:
+    """The ratio of ``CURVE`` at a length."""
+    return float(np.interp(np.log2(n_bytes), *zip(*CURVE)))
+
+
+def _quartiles(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    order = np.argsort(values)
+    upto = np.cumsum(counts[order])
+    return values[order][np.searchsorted(upto, np.array([0.25, 0.5, 0.75]) * upto[-1])]
+
+
+def _band(centre: float, away: np.ndarray, counts: np.ndarray, rule: Rule) -> tuple[float, float]:
+    """The band at a class, from the log distances of its values from their curve; what lacks of ``enough`` is drawn."""
+    lacking = int(rule.enough - counts.sum())
+    if lacking > 0:
+        drawn = [rule.spread * NormalDist().inv_cdf((i + 0.5) / lacking) for i in range(lacking)]
+        away, counts = np.append(away, drawn), np.append(counts, np.ones(lacking))
+    low, middle, high = _quartiles(away, counts)
+    deviation = max((high - low) / 1.349, rule.least)
+    middle = np.exp(middle)
+    return (
+        float(centre * max(middle * (1 - rule.width * deviation), rule.floor)),
+        float(centre * min(middle * (1 + rule.width * deviation), rule.ceiling)),
+    )
+
+
 def bands(measured: DataFrame, rule: Rule = Rule()) -> Bands:
     """Bands from all measured rows that pass the base rules; equal (length, ratio) values count once.
 
-    One aggregate by length class; a class for every quarter octave, so at most some
-    hundred rows reach the driver.
+    One aggregate by length class and cell of ratios, so some thousands of rows reach the driver, however many documents.
     """
     values = measured.where("not base_failed").select("n_bytes", "ratio", "chunk_ratio").distinct()
-    quartiles = [0.25, 0.5, 0.75]
-    rows = values.groupBy(length_class().alias("class")).agg(
-        F.count("*").alias("n"), F.percentile_approx("ratio", quartiles, 2_000).alias("q")
-    ).collect()
-    chunks = values.where("chunk_ratio is not null").agg(
-        F.percentile_approx("chunk_ratio", quartiles, 2_000).alias("q"), F.count("*").alias("n")
-    ).first()
-
-    def band(q, width):
-        spread = width * max((q[2] - q[0]) / 1.349, rule.least * q[1])
-        return q[1] - spread, q[1] + spread
-
-    good = {row["class"]: row.q for row in rows if row.n >= rule.enough}
+
+    def cell(ratio: str) -> Column:
+        return F.floor(CELLS * F.log(ratio)).cast("int").alias("cell")
+
+    def counted(held: DataFrame) -> np.ndarray:
+        return np.array([tuple(row) for row in held.collect()], dtype=float).reshape(-1, 3)
+
+    classes = range(0, 4 * 48)
+    centres = [usual(2 ** ((one + 0.5) / 4)) for one in classes]
+    rows = counted(values.groupBy(length_class().alias("class"), cell("ratio")).agg(F.count("*").alias("n")))
+    own = rows[:, 0].astype(int)
+    away = (rows[:, 1] + 0.5) / CELLS - np.log(np.array(centres))[own]
     whole = {}
-    for one in range(0, 4 * 48):
-        if one in good:
-            whole[one] = band(good[one], rule.width)
-        elif good:
-            whole[one] = band(good[min(good, key=lambda other: (abs(other - one), other))], 2 * rule.width)
-        else:
-            whole[one] = (0.8, 8.0)
-    return Bands(whole, band(chunks.q, rule.width) if chunks.n >= rule.enough else (0.8, 8.0))
+    for one in classes:
+        far = np.abs(own - one)
+        least = next((d for d in np.unique(far) if rows[far <= d, 2].sum() >= rule.enough), len(classes))
+        near = far <= least
+        whole[one] = _band(centres[one], away[near], rows[near, 2], rule)
+    held = values.where("chunk_ratio is not null")
+    chunks = counted(held.groupBy(F.lit(0).alias("class"), cell("chunk_ratio")).agg(F.count("*").alias("n")))
+    centre = usual(rule.chunk)
+    return Bands(whole, _band(centre, (chunks[:, 1] + 0.5) / CELLS - np.log(centre), chunks[:, 2], rule))
 
 
 def judge(measured: DataFrame, limits: Bands, rule: Rule = Rule()) -> DataFrame:

@@ -243,6 +243,28 @@ def test_repetitive_and_random_texts_are_rejected_and_prose_is_kept(spark):
     assert [r.kept for r in compression.judge(compression.measure(odd), limits).collect()] == [False]
 
 
+def test_small_tables_judge_like_large_ones(spark):
+    """Bands of 200 and of no documents against those of 10,000, on the same texts."""
+    large = q.op4_quality_rules(spark, "/root/testdata/sf0.1").cache()
+    wide = compression.bands(large)
+    small = q.op4_quality_rules(spark, SMALL)
+    narrow, none = compression.bands(small), compression.bands(small.limit(0))
+    assert small.where("not base_failed and not kept").count() >= 5
+    judged = small.where("not base_failed")
+    want = {r.doc_id: r.kept for r in compression.judge(judged, wide).collect()}
+    got = {r.doc_id: r.kept for r in compression.judge(judged, narrow).collect()}
+    assert sum(got[i] != want[i] for i in want) <= 2
+    passing = large.where("not base_failed").drop("kept")
+    low = large.where("not base_failed").join(q.table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").where("quality = 0").drop("kept")
+    for limits in (narrow, none):
+        other = {r.doc_id: r.kept for r in compression.judge(passing, limits).collect()}
+        mine = {r.doc_id: r.kept for r in compression.judge(passing, wide).collect()}
+        assert sum(other[i] != mine[i] for i in mine) <= 0.03 * len(mine)
+        rejected = [compression.judge(low, b).where("not kept").count() for b in (limits, wide)]
+        assert rejected[0] >= 0.8 * rejected[1] > 0
+    large.unpersist()
+
+
 def test_compression_of_awkward_rows(awkward, empty):
     rows = compression.quality(awkward).collect()
     assert len(rows) == len(AWKWARD) and not any(r.kept for r in rows)
