@@ -213,6 +213,58 @@ def blocks(node: Node, out: list[str]) -> None:
     close()
 
 
+ENDS = re.compile(r"[.!?。！？][\"'”’)\]]*$")
+
+
+def beside(best: Node, articles: list[Node]) -> list[Node]:
+    """The best container and those siblings that score or read like it, in page order.
+
+    Around an article or main, siblings are tried on each level up to the outermost one that
+    holds it; short paragraphs without links, headers with a title, and elements that hold a
+    like article count there too, headings after which nothing is kept do not.
+    """
+    article = best.tag in ("article", "main")
+    least = max(10.0, 0.2 * best.points) if best.points or not article else 0.0
+    top, above = best, best.parent
+    while article and above is not None:
+        top, above = above if above.tag in ("article", "main") else top, above.parent
+    others = set()  # what holds an article like the best
+    for one in articles if article else []:
+        if one.points >= least and one.names == best.names and one.tag == best.tag:
+            while one is not None and id(one) not in others:
+                others.add(id(one))
+                one = one.parent
+
+    def title(one: Node) -> bool:
+        heads = one.children if article and one.tag in ("header", "hgroup") else [one]
+        named = any(not isinstance(c, str) and c.tag in ("h1", "h2") and c.length for c in heads)
+        return named and density(one) < 0.25
+
+    def belongs(one: Node | str) -> bool:
+        if isinstance(one, str) or unwanted(one):
+            return False
+        like = one.points >= least and one.names == best.names and one.tag == best.tag
+        reads = one.tag == "p" and one.length > 80 and density(one) < 0.25
+        if article and one.tag == "p" and not one.links and not reads and one.length >= 25:
+            lines: list[str] = []
+            blocks(one, lines)
+            reads = ENDS.search(" ".join(lines)) is not None
+        return like or reads or title(one) or id(one) in others or (one.points >= least and one.tag in ("article", "section"))
+
+    kept, here = [best], best
+    while here.parent is not None:
+        around = here.parent.children
+        at = next(i for i, one in enumerate(around) if one is here)
+        before, after = [one for one in around[:at] if belongs(one)], [one for one in around[at + 1 :] if belongs(one)]
+        while article and after and title(after[-1]) and after[-1].tag in ("h1", "h2"):
+            after.pop()
+        kept = before + kept + after
+        if here is top:
+            break
+        here = here.parent
+    return kept
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page; empty if it has none."""
     if not page or not page.strip():
@@ -224,7 +276,6 @@ def main_text(page: str | None) -> str:
     articles = [n for n in nodes if n.tag in ("article", "main") and n.length]
     if not held:
         best = max(articles, key=lambda n: n.length) if articles else root
-        kept = [best]
     else:
         best = max(held, key=lambda n: n.points)
         # An article that holds the best container, or is held by it, is the container itself.
@@ -235,16 +286,7 @@ def main_text(page: str | None) -> str:
             best = around
         elif inside := [n for n in articles if n.points > 0 and 2 * n.length >= best.length]:
             best = max(inside, key=lambda n: n.points)
-        least = max(10.0, 0.2 * best.points)
-        kept = []
-        for one in best.parent.children if best.parent is not None and best.tag not in ("article", "main") else [best]:
-            if isinstance(one, str) or (one is not best and unwanted(one)):
-                continue
-            like = one.points >= least and one.names == best.names and one.tag == best.tag
-            reads = one.tag == "p" and one.length > 80 and density(one) < 0.25
-            title = one.tag in ("h1", "h2") and one.length and density(one) < 0.25
-            if one is best or like or reads or title or (one.points >= least and one.tag in ("article", "section")):
-                kept.append(one)
+    kept = beside(best, articles)
     out: list[str] = []
     for node in kept:
         blocks(node, out)

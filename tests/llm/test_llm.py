@@ -405,6 +405,26 @@ def test_main_text_without_the_rest():
     assert extract.main_text("<div>" * 20_000 + "<p>deep text</p>") == "deep text"
 
 
+def test_text_beside_the_article_is_kept():
+    p = "<p>" + "This is a sentence, with commas, and enough words to count for some. " * 3 + "</p>"
+    text = " ".join(["This is a sentence, with commas, and enough words to count for some."] * 3)
+    lead = "What the story is all about."
+    nav, side = "<nav><a href=x>One</a></nav>", f'<aside>{p}</aside><div class="related">{p}{p}</div><footer>{p}</footer>'
+    part = f"<article><h2>A</h2>{p}{p}</article>"
+    whole = f"A {text} {text}"
+    for page, want in (
+        (f"<body>{nav}{part}{part}{side}</body>", f"{whole} {whole}"),
+        (f"<body>{part}<h2>Two</h2><article>{p}</article><h2>Related</h2>{side}</body>", f"{whole} Two {text}"),
+        (f"<main><h1>Title</h1><p>{lead}</p>{part}</main>{side}", f"Title {lead} {whole}"),
+        (f"<main><h1>Title</h1>{p}<div class=row>{part}</div></main>{side}", f"Title {text} {whole}"),
+        (f"<main><header><h1>Title</h1></header><div>{part}</div><div>{part}</div></main>{side}", f"Title {whole} {whole}"),
+        (f"<header><h1>Site</h1></header>{nav}<h1>Title</h1><main>{p}{p}</main>{side}", f"Title {text} {text}"),
+        ("<article>one</article><article>two and more</article>", "one two and more"),
+        (f"<main>{nav}{part}<p><a href=x>{lead}</a></p><div id=comments>{p}{p}</div></main>", whole),
+    ):
+        assert extract.main_text(page) == want, page
+
+
 def test_pages_give_their_articles(spark):
     html = {r.page_id: r.html for r in q.table(spark, MEDIUM, "pages").collect()}
     import html as entities
