@@ -115,7 +115,8 @@ def _block_correlator(min_days: int):
             own_x, own_y = x[a, shared], y[b, shared]
             flat = np.ptp(own_x) == 0 or np.ptp(own_y) == 0
             corr[a, b] = np.nan if flat else np.corrcoef(own_x, own_y)[0, 1]
-        wanted = n >= min_days
+        corr[n < min_days] = np.nan
+        wanted = n > 0
         if left_block == right_block:
             wanted &= np.triu(np.ones_like(wanted), k=1)
         i, j = np.nonzero(wanted)
@@ -139,7 +140,9 @@ def chart_correlation(
     symbols_per_block: int = SYMBOLS_PER_BLOCK,
     chosen: DataFrame | None = None,
 ) -> DataFrame:
-    """Correlation of daily returns for every pair of symbols sharing at least ``min_days``.
+    """Correlation of daily returns for every pair of symbols sharing a day, with their number ``n``.
+
+    It is null for pairs that share fewer than ``min_days``.
 
     The result, and with it the copying, grows with the square of the symbols: of very
     many, pass the ``chosen`` ones (column ``symbol``), and the others drop out first.

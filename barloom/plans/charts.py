@@ -70,4 +70,4 @@ def chart_box(spark, sf_dir):
       group by 1, 2 having count(*) >= 3""",
 )
 def chart_correlation(spark, sf_dir):
-    return charts.chart_correlation(supplier_bars(spark, sf_dir))
+    return charts.chart_correlation(supplier_bars(spark, sf_dir)).where("n >= 3")  # the SQL lists no others

@@ -114,6 +114,15 @@ def test_correlation_is_the_same_for_any_blocking(random_bars):
     assert len(some) == 3 and some == rows_of(among)
 
 
+def test_pairs_of_few_shared_days_have_n_and_no_correlation(make_bars):
+    days = {"A": range(2, 8), "B": range(2, 8), "C": range(6, 12), "D": range(20, 24)}
+    rows = [(s, f"2024-01-{d:02d}", c, c, c, c, 1) for s in days for d in days[s] for c in [100 + d * d % 7 + ord(s)]]
+    got = charts.chart_correlation(make_bars(rows)).collect()
+    assert sorted((r.symbol_a, r.symbol_b, r.n, r.correlation is None) for r in got) == [
+        ("A", "B", 5, False), ("A", "C", 1, True), ("B", "C", 1, True)
+    ]
+
+
 def test_correlation_of_a_flat_series_is_null(make_bars):
     rows = [("A", f"2024-01-{d:02d}", 1, 1, 1, 100, 1) for d in range(1, 8)]
     rows += [("B", f"2024-01-{d:02d}", 1, 1, 1, 100 + d * d, 1) for d in range(1, 8)]
