@@ -74,14 +74,14 @@ def explode_rows(
 
 
 def extend(
-    df: DataFrame, inputs: list[Column], start: Callable[[], Callable], fields: dict[str, str]
+    df: DataFrame, inputs: list[Column], start: Callable[[], Callable], fields: dict[str, str], drop: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``df`` with ``fields`` added; they replace columns of the same names, others stay as they are.
+    """``df`` with ``fields`` added; they replace columns of the same names, others but ``drop`` stay as they are.
 
     ``start()`` runs once per task and gives a function of one list per input, each
     with a slice's values, that returns one tuple per row in the order of ``fields``.
     """
-    kept = without(df, list(fields))
+    kept = without(df, [*fields, *drop])
     schema = T.StructType(
         [T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name in kept]
         + [_field(name, kind) for name, kind in fields.items()]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, compression, decontam, extract, pii, setsketch, shards, spans, toxicity, warc
+from barloom.llm import bpe, compression, decontam, extract, lines, pii, setsketch, shards, spans, toxicity, warc
 from barloom.llm.frames import table
 from barloom.sources.scratch import materialize, new_path
 
@@ -98,6 +98,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.keep_bitmaps(docs, kept_sha256="kept_sha256").drop("keep")
+
+
 #: Near-duplicate links by brute force over all pairs that share a shingle, then the least id reachable.
 OP1_SQL = """
 with recursive w as (
@@ -168,6 +173,27 @@ select page_id, cast(n as bigint) as payload_bytes, b as payload_digest,
 from f
 """
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+#: Lines by their stripped, lower-cased text; those of shared keys stay in the largest id.
+OP11_SQL = f"""
+with d as (
+  select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as a from documents
+), l as (
+  select r, doc_id, unnest(range(1, len(a) + 1)) as i, unnest(a) as line from d
+), k as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_LOWER}) as key from l
+), shared as (
+  select key, max(doc_id) as stays from k
+  where length(key) >= 40 group by key having count(distinct doc_id) >= 5
+), marked as (
+  select r, i, line, coalesce(doc_id < stays, false) as gone from k left join shared using (key)
+)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+from marked join d using (r) group by r, doc_id
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -179,6 +205,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
+    "op11_line_dedup": op11_line_dedup,
 }
 
-ORACLES = {"op1_minhash_near_dedup": OP1_SQL, "op5_decontamination": OP5_SQL, "op9_warc": OP9_SQL}
+ORACLES = {"op1_minhash_near_dedup": OP1_SQL, "op5_decontamination": OP5_SQL, "op9_warc": OP9_SQL, "op11_line_dedup": OP11_SQL}
