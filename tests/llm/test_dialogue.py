@@ -1,0 +1,198 @@
+"""Conversation repair against brute force."""
+
+import collections
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import oracle
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.llm import dialogue
+from barloom.llm import queries as q
+
+ROWS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def repairs_by_hand(codes, costs, inserts=0):
+    """The cheapest (cost, length, audit) over all edits of all turns, with up to ``inserts`` turns put in."""
+    best = None
+    for n in range(inserts + 1):
+        for spots in itertools.combinations_with_replacement(range(len(codes) + 1), n):
+            slots = []
+            for i in range(len(codes) + 1):
+                slots += ["I"] * spots.count(i) + ([codes[i]] if i < len(codes) else [])
+            options = []
+            for slot in slots:
+                if slot == "I":
+                    options.append([("I", "u", costs.insert), ("I", "a", costs.insert)])
+                    continue
+                more = costs.truncated * (slot in dialogue.TRUNCATED)
+                own = [("D", "", costs.delete)]
+                if slot in dialogue.SOUND + dialogue.TRUNCATED:
+                    own += [("K", dialogue.INITIAL[slot], more)] + [("R", role, costs.rerole + more) for role in "ua"]
+                options.append(own)
+            for edits in itertools.product(*options):
+                if re.fullmatch("(s?(ua)+)?", "".join(role for _, role, _ in edits)):
+                    found = (sum(c for *_, c in edits), len(edits), "".join(e for e, *_ in edits))
+                    best = found if best is None else min(best, found)
+    return best
+
+
+def test_repairs_equal_brute_force():
+    random.seed(31)
+    codes = dialogue.SOUND + dialogue.TRUNCATED + "04"
+    for costs, inserts in ((dialogue.Costs(), 0), (dialogue.Costs(), 2), (dialogue.Costs(1, 9, 2, 1), 2), (dialogue.Costs(3, 4, 1, 5), 2)):
+        repairs = dialogue.Repairs(costs)
+        for _ in range(40 if inserts else 150):
+            one = "".join(random.choices(codes, weights=[3, 9, 9, 1, 1, 3, 3, 1, 1, 1], k=random.randrange(5 if inserts else 7)))
+            cost, _, audit = repairs_by_hand(one, costs, inserts + 2 * (costs.delete > 4 and len(one) < 3))
+            assert repairs.cheapest(one)[0] <= cost
+            if costs == dialogue.Costs():
+                assert repairs.cheapest(one) == (cost, audit), one
+
+
+def forward(codes, costs):
+    """Turn by turn, without insertions: (cost, audit) of the cheapest."""
+    states = {dialogue.START: (0, "")}
+    for code in codes:
+        after = {}
+        for p, (cost, audit) in states.items():
+            for (a, b), (more, _, edit) in dialogue.edits(code, costs).items():
+                if a == p:
+                    found = (cost + more, audit + edit)
+                    after[b] = min(after.get(b, found), found)
+        states = after
+    return min(states[p] for p in (dialogue.START, dialogue.ASSISTANT) if p in states)
+
+
+def test_long_conversations_are_solved_in_blocks():
+    random.seed(32)
+    costs = dialogue.Costs()
+    repairs = dialogue.Repairs(costs)
+    for n in [31, 32, 33, 63, 64, 65, 100, 399, 5_000]:
+        one = "".join(random.choices("suaxSUA04", weights=[1, 9, 9, 1, 1, 2, 2, 1, 1], k=n))
+        assert repairs.cheapest(one) == forward(one, costs), n
+
+
+def test_joining_runs_is_superior():
+    """What Knuth's agenda asks of its functions: never less than a part, and in the parts' order."""
+    random.seed(33)
+    some = [(random.randrange(4), n, "".join(random.choices("DIKR", k=n))) for n in (0, 1, 2, 3) for _ in range(12)]
+    some = [w for w in some if w[0] or set(w[2]) <= {"K"}]
+
+    def join(a, b):
+        return a[0] + b[0], a[1] + b[1], a[2] + b[2]
+
+    for a, b in itertools.product(some, repeat=2):
+        assert join(a, b) >= max(a, b)
+        for c in some:
+            if a <= c:
+                assert join(a, b) <= join(c, b) and join(b, a) <= join(b, c)
+
+
+def by_hand(rows):
+    """The contract over damaged conversations, in plain Python."""
+    space = " \t\n\x0b\x0c\r"
+    held = collections.defaultdict(list)
+    for conv, turn, role, text in rows:
+        held[conv]
+        role, text = (" " if value is None else value for value in (role, text))
+        names = [" " if value is None else value for value in (conv, turn)]
+        fault = zlib.crc32("{}:{}".format(*names).encode()) % 20
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        held[conv] += [(turn, "user" if fault == 4 else role, text)] * (fault != 0) * (1 + (fault == 3))
+    found = {}
+    for conv, turns in held.items():
+        turns.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], hashlib.md5(t[2].encode()).digest()))
+        codes, seen = "", set()
+        for _, role, text in turns:
+            kind = "suax".index(role[:1]) if role[:1] in ("s", "u", "a") else 3
+            end = text.rstrip(space)[-1:]
+            fault = dialogue.BLANK if not end else dialogue.DUPLICATE if (role, text) in seen else dialogue.SOUND
+            fault = dialogue.TRUNCATED if fault == dialogue.SOUND and end not in ".!?" else fault
+            codes += fault[kind]
+            seen.add((role, text))
+        cost, audit = forward(codes, dialogue.Costs())
+        kept = [(e, t) for e, t in zip(audit, turns) if e != "D"]
+        lines = []
+        for i, (e, (_, role, text)) in enumerate(kept):
+            lines.append((role if e == "K" else ["user", "assistant"][(i - len(kept) % 2) % 2]) + ":" + text)
+        initials = [role[:1] for _, role, _ in turns]
+        numbers = [t for t, _, _ in turns if t is not None]
+        found[conv] = (
+            max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0,
+            *(sum(c in kind for c in codes) for kind in (dialogue.BLANK, dialogue.DUPLICATE, dialogue.TRUNCATED)),
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])),
+            cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+        )
+    return found
+
+
+def awkward():
+    """Nulls in each column, ties, repeats, empty and very long texts, a conversation of most turns."""
+    random.seed(34)
+    texts = ["Yes.", "No", "", " \n", None, "One?", "Two!", "Same text.", "Same text. ", "é…", "end. ", "long " * 20_000 + "."]
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", None, "User"]
+    rows = [
+        (random.choice([None, *range(60)]), random.choice([None, *range(9)]), random.choice(roles), random.choice(texts))
+        for _ in range(500)
+    ]
+    rows += [(100, i, ["user", "assistant"][i % 2], f"Turn {i}.") for i in range(400)]
+    rows += [(101, None, "user", "All the same.")] * 40
+    rows += [(102 + i, 3 * i, "user", "One turn.") for i in range(40)]
+    return rows
+
+
+def test_conversations_equal_brute_force(spark):
+    rows = awkward()
+    df = spark.createDataFrame(rows, ROWS).repartition(5)
+    got = dialogue.digests(dialogue.damage(df), dropped="dropped").collect()
+    want = by_hand(rows)
+    assert {r.conv: tuple(r)[1:] for r in got} == want and len(got) == len(want)
+    assert any(not w[-2] for w in want.values())  # all turns dropped
+
+
+def test_conversations_equal_sql(spark, tmp_path):
+    rows = [r for r in awkward() if r[0] != 100]
+    spark.createDataFrame(rows, ROWS).coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = oracle.duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    assert oracle.differences(q.op13_conversation_repair(spark, str(tmp_path)), con, q.OP13_SQL) == []
+
+
+def test_repaired_turns_alternate(spark):
+    df = spark.createDataFrame(awkward(), ROWS).withColumns({name: F.lit(1) for name in ("conv", "place", "print", "audit", "copy")})
+    rows = dialogue.repaired(df).collect()
+    held = collections.defaultdict(list)
+    for r in rows:
+        held[r.conv].append((r.place, r.role, r.text))
+    digest = {r.conv: r.repaired_sha256 for r in dialogue.digests(df).collect()}
+    for conv, turns in held.items():
+        assert [p for p, *_ in turns] == list(range(len(turns)))
+        assert re.fullmatch("(s?(ua)+)?", "".join(role[0] for _, role, _ in turns))
+        whole = "\n".join(f"{role}:{text}" for _, role, text in turns)
+        assert digest[conv] == hashlib.sha256(whole.encode()).hexdigest()
+    assert len(held[100]) == 400 and 101 not in held and 101 in digest
+
+
+@pytest.mark.parametrize("costs", [dialogue.Costs(insert=1, delete=9, rerole=9)])
+def test_turns_are_inserted_where_that_is_cheaper(spark, costs):
+    rows = [(1, 0, "assistant", "Hello."), (1, 1, "user", "Yes?"), (2, 0, "user", "One."), (2, 1, "user", "Two."), (3, 0, "system", "Be kind.")]
+    df = spark.createDataFrame(rows, ROWS)
+    audit = {r.conv: (r.cost, r.audit) for r in dialogue.audits(df, costs).collect()}
+    assert audit == {1: (2, "IKKI"), 2: (2, "KIKI"), 3: (2, "KII")}
+    got = [(r.conv, r.role, r.text) for r in dialogue.repaired(df, costs).orderBy("conv", "place").collect()]
+    assert got[:4] == [(1, "user", ""), (1, "assistant", "Hello."), (1, "user", "Yes?"), (1, "assistant", "")]
+    assert got[4:] == [
+        (2, "user", "One."), (2, "assistant", ""), (2, "user", "Two."), (2, "assistant", ""),
+        (3, "system", "Be kind."), (3, "user", ""), (3, "assistant", ""),
+    ]
+
+
+def test_no_conversations(spark):
+    empty = spark.createDataFrame([], ROWS)
+    assert dialogue.digests(dialogue.damage(empty), dropped="dropped").count() == 0 and dialogue.repaired(empty).count() == 0
