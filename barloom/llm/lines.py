@@ -193,7 +193,8 @@ def repeated(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: s
     ends = streamed.where("documents is not null").withColumn("documents", F.col("documents") - again)
     met = ends.groupBy("high", "low").agg(F.sum("documents").alias("documents"), F.max("top").alias("top"))
     met = met.where(F.col("documents") >= rule.least_documents).select("high", "low", F.col("top").alias("stays"))
-    unsure = streamed.where("not sure").join(met, ["high", "low"]).where("doc <> stays")
+    # Two rows a partition at most, of 24 bytes, so fit to broadcast whatever the input; a hot hash stays spread.
+    unsure = streamed.where("not sure").join(F.broadcast(met), ["high", "low"]).where("doc <> stays")
     columns = ["doc", "version", "line"]
     return streamed.where("sure").select(columns).unionByName(unsure.select(columns))
 
