@@ -14,6 +14,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,17 +134,30 @@ def disjoint(weighed: list[tuple[str, int, int]], count: int = 2) -> list[tuple[
     return found[count][-1][1]
 
 
-def signature(word: str, weights: dict[int, int]) -> tuple[str, list[tuple[str, int]], list[tuple[str, int]]]:
-    """(end of the prefix in the order of rarity, prefix, pivots); grams come with their position."""
+def signature(word: str, weights: dict[int, int]) -> tuple[int, list[int], list[int]]:
+    """(end of the prefix in the order of rarity, positions of the prefix' bigrams, positions of the pivots)."""
     grams = []
     for at in range(len(word) - 1):
-        gram = word[at : at + 2]
-        weight = weights.get(bucket(gram), 0)
-        grams.append((f"{weight:019d}{gram}", gram, at, weight))
-    grams.sort()
-    last = grams[PREFIX - 1][0]
+        number = bucket(word[at : at + 2])
+        weight = weights.get(number, 0)
+        grams.append((weight * BUCKETS + number, at, weight))
+    last = sorted(grams)[PREFIX - 1][0]
     prefix = [g for g in grams if g[0] <= last]
-    return last, [(gram, at) for _, gram, at, _ in prefix], disjoint([g[1:] for g in prefix])
+    pivots = disjoint([(word[at : at + 2], at, weight) for _, at, weight in prefix])
+    return last, [at for _, at, _ in prefix], [at for _, at in pivots]
+
+
+def places(word: str, positions: list[int], lengths: tuple[int, ...]) -> Iterator[int]:
+    """Where bigrams are met by words of the given lengths: one number per bigram, side and length.
+
+    If the edit is behind a bigram, all up to it is alike; if before it, all from it on. So the position
+    limit is met by the letters themselves: a bigram's place is the word's beginning up to its end, or the
+    word's end from its start, and a length.
+    """
+    for at in positions:
+        for side in ("<" + word[: at + 2], ">" + word[at:]):
+            for length in lengths:
+                yield xxhash.xxh3_64_intdigest(f"{length}{side}") - 2**63
 
 
 def _gram_weights(words: DataFrame) -> dict[int, int]:
@@ -158,8 +172,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """(a, na, b, nb) of all words (word, n) that differ by one inserted, deleted or replaced code point, a < b.
 
     ``words`` holds each word once, of ``SHORTEST`` code points or more. The lookup meets on
-    bigram, position and length, each pivot at the five places one edit can leave it; a bigram
-    that very many words share at one place and length is split by the skewed join. No list
+    the places of bigrams, each pivot at the places one edit can leave it; a place
+    that very many words share is split by the skewed join. No list
     of a bigram's words is gathered. Each meeting is checked by edit distance.
     """
     weights = _gram_weights(words)
@@ -169,27 +183,22 @@ def near_pairs(words: DataFrame) -> DataFrame:
             for word, n in zip(all_words, counts):
                 last, prefix, pivots = signature(word, weights)
                 size = len(word)
-                for gram, at in prefix:
-                    yield word, n, last, gram, at, size, False
-                for gram, at in pivots:
-                    for place, length in ((at, size), (at, size + 1), (at + 1, size + 1), (at, size - 1), (at - 1, size - 1)):
-                        if place >= 0:
-                            yield word, n, last, gram, place, length, True
+                for place in places(word, prefix, (size,)):
+                    yield place, word, n, last, False
+                for place in places(word, pivots, (size - 1, size, size + 1)):
+                    yield place, word, n, last, True
 
         return work
 
-    fields = {
-        "word": "string", "n": "bigint", "last": "string", "gram": "string", "place": "int", "length": "int", "asks": "boolean",
-    }
+    fields = {"place": "bigint", "word": "string", "n": "bigint", "last": "bigint", "asks": "boolean"}
     index = materialize(frames.explode_rows(words, [F.col("word"), F.col("n")], start, fields), "grams")
-    key = ["gram", "place", "length"]
     asking, held = (
         index.where("asks" if asks else "not asks").select(
-            *key, F.col("word").alias(f"{name}"), F.col("n").alias(f"n{name}"), F.col("last").alias(f"last{name}")
+            "place", F.col("word").alias(name), F.col("n").alias(f"n{name}"), F.col("last").alias(f"last{name}")
         )
         for asks, name in ((True, "x"), (False, "y"))
     )
-    met = asking.join(held, key).where("lastx <= lasty and x <> y and levenshtein(x, y, 1) = 1")
+    met = asking.join(held, "place").where("lastx <= lasty and x <> y and levenshtein(x, y, 1) = 1")
     first = F.col("x") < F.col("y")
     return met.select(
         F.least("x", "y").alias("a"), F.when(first, F.col("nx")).otherwise(F.col("ny")).alias("na"),

@@ -70,9 +70,9 @@ def test_every_near_pair_meets_by_a_pivot():
         for a, b in itertools.permutations(counts, 2):
             if not one_edit(a, b) or signs[a][0] > signs[b][0]:
                 continue
-            shift = len(b) - len(a)
-            held = set(signs[b][1])
-            assert any((gram, at + move) in held for gram, at in signs[a][2] for move in {0, shift}), (a, b)
+            size = len(a)
+            asked = set(spelling.places(a, signs[a][2], (size - 1, size, size + 1)))
+            assert asked & set(spelling.places(b, signs[b][1], (len(b),))), (a, b)
 
 
 def test_pivots_are_the_rarest_disjoint_bigrams():
