@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.schemas import BAR_COLUMNS, BAR_VALUES, KEY
-from barloom.functions.columns import to_cents
+from barloom.functions.columns import to_cents, utc_instant
 
 _DAY_MICROS = 86_400_000_000
 
@@ -20,17 +20,6 @@ EVENTS = (
 )
 
 
-def utc_instant(local: Column) -> Column:
-    """A zone-less timestamp read as UTC, whatever the session time zone.
-
-    Watermarks need an instant, and a day must not move with the session."""
-    return F.timestamp_add(
-        "MICROSECOND",
-        F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), local),
-        F.lit("1970-01-01 00:00:00Z").cast("timestamp"),
-    )
-
-
 def utc_day(instant: Column) -> Column:
     days = F.floor(F.unix_micros(instant) / F.lit(_DAY_MICROS)).cast("int")
     return F.date_from_unix_date(days)
