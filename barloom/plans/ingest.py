@@ -1,9 +1,12 @@
 """Reading, checking, landing and merging price data."""
 
+import datetime
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators import history, indicators, quality
+from barloom.operators import bitemporal, history, indicators, quality
 from barloom.plans import fixtures
 from barloom.plans.registry import query
 from barloom.plans.sql import BARS, EVENT_BARS, RETURNS, SNAPSHOTS, SUPPLIER_BARS
@@ -11,6 +14,7 @@ from barloom.sources import landing, price_csv
 from barloom.sources.scratch import materialize, new_path
 from barloom.sources.tables import order_bars, supplier_bars
 from barloom.streaming import daily_ingest as daily
+from barloom.streaming import known_history
 from barloom.streaming import tick_bars
 
 FETCH = ["fetch_date"]
@@ -213,3 +217,88 @@ def stream_daily_bars(spark, sf_dir):
     ticks = tick_bars.event_stream(spark, f"{sf_dir}/events.parque[t]")  # a file, or a directory of part files
     tick_bars.store_partial_bars(ticks, store)
     return tick_bars.combine_bars(spark, store)
+
+
+#: Orders of the columns, as header name and column; the second has a column more, under its own name.
+_ORDERS = [
+    {"Volume": "volume", "Close": "close", "Date": "trade_date", "Open": "open", "High": "high", "Low": "low"},
+    {"timestamp": "trade_date", "open": "open", "high": "high", "low": "low", "close": "close", "adjusted_close": "close", "vol": "volume"},
+    {"trade_date": "trade_date", "low": "low", "high": "high", "open": "open", "close": "close", "volume": "volume"},
+]
+
+
+@query("csv_by_name", f"with {BARS} select * from bars")
+def csv_by_name(spark, sf_dir):
+    """Files of three orders of columns below one path, read in one."""
+    path = new_path(spark, "csv")
+    bars = materialize(order_bars(spark, sf_dir).withColumn("fetch_date", F.lit(fixtures.OLD_FETCH)), "bars")
+    which = F.pmod(F.year("trade_date"), F.lit(len(_ORDERS)))
+    for i, columns in enumerate(_ORDERS):
+        price_csv.write_prices(bars.where(which == i), path, columns)
+    good, _ = quality.validate(price_csv.read_named(spark, path), order=["source_file"], fetch=FETCH)
+    return quality.to_bars(good)
+
+
+# A third fetch, dated between the two of SNAPSHOTS, brings the bars up to mid-2000 with prices two cents higher.
+_FETCHES = f"""{SNAPSHOTS},
+fetches as (
+  select *, date '2001-01-01' as fetch_date from old_snapshot
+  union all select *, date '2002-01-01' from new_snapshot
+  union all
+  select symbol, trade_date, open_c + 2, high_c + 2, low_c + 2, close_c + 2, volume, date '2001-06-01'
+  from bars where trade_date <= date '2000-06-30'),
+days as (select unnest([date '2000-12-31', date '2001-01-01', date '2001-07-01', date '2002-01-01', date '2003-01-01']) as as_of)
+"""
+
+
+def _late_snapshot(bars: DataFrame) -> DataFrame:
+    early = bars.where(F.col("trade_date") <= F.lit("2000-06-30").cast("date"))
+    return early.withColumns({name: F.col(name) + 2 for name in ["open_c", "high_c", "low_c", "close_c"]})
+
+
+def _fetches(bars: DataFrame) -> list:
+    """(fetch date, bars), the one dated second coming last."""
+    return [
+        (fixtures.OLD_FETCH, fixtures.old_snapshot(bars)),
+        (fixtures.NEW_FETCH, fixtures.new_snapshot(bars)),
+        (datetime.date(2001, 6, 1), _late_snapshot(bars)),
+    ]
+
+
+@query(
+    "bar_versions",
+    f"""with {BARS}, {_FETCHES}, d as (
+        select *, lag(row({_VALUES})) over (partition by symbol, trade_date order by fetch_date) as previous from fetches)
+      select symbol, trade_date, {_VALUES}, fetch_date as known_from,
+             lead(fetch_date) over (partition by symbol, trade_date order by fetch_date) as known_to
+      from d where previous is null or previous <> row({_VALUES})""",
+)
+def bar_versions(spark, sf_dir):
+    """Every state of every bar; made of two fetches, then extended by a third."""
+    bars = materialize(order_bars(spark, sf_dir), "bars")
+    dated = {day: snapshot.withColumn("fetch_date", F.lit(day)) for day, snapshot in _fetches(bars)}
+    first, late, last = (dated[day] for day in sorted(dated))
+    so_far = materialize(bitemporal.versions(first.unionByName(late)), "versions")
+    return bitemporal.extend(so_far, last)
+
+
+@query(
+    "bars_as_known",
+    f"""with {BARS}, {_FETCHES}
+      select as_of, symbol, trade_date, max_by(open_c, fetch_date) as open_c, max_by(high_c, fetch_date) as high_c,
+             max_by(low_c, fetch_date) as low_c, max_by(close_c, fetch_date) as close_c, max_by(volume, fetch_date) as volume
+      from fetches join days on fetch_date <= as_of group by as_of, symbol, trade_date""",
+)
+def bars_as_known(spark, sf_dir):
+    """The daily store on five days, fed by three runs of which the last brings a fetch dated before the second."""
+    files, store = new_path(spark, "files"), new_path(spark, "store")
+    bars = materialize(order_bars(spark, sf_dir), "bars")
+    for fetch_date, snapshot in _fetches(bars):
+        price_csv.write_prices(snapshot.withColumn("fetch_date", F.lit(fetch_date)), files)
+        daily.run_daily(spark, files, store, fetch_date)
+        known_history.refresh_known(spark, store)
+    versions = known_history.read_versions(spark, store)
+    days = [datetime.date(2000, 12, 31), *sorted(day for day, _ in _fetches(bars)), datetime.date(2003, 1, 1)]
+    days[2] = datetime.date(2001, 7, 1)
+    found = [bitemporal.as_known(versions, day).withColumn("as_of", F.lit(day)) for day in days]
+    return functools.reduce(DataFrame.unionByName, found)

@@ -24,6 +24,12 @@ READ_OPTIONS = {"header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRec
 Header = str | tuple[str, ...]
 
 
+#: The columns a price file names in its header, in the order they are kept in.
+NAMES = CSV_HEADER.split(",")
+#: Other names that a header may use, as they stand after trimming and in lower case.
+ALIASES = {"date": "trade_date", "day": "trade_date", "timestamp": "trade_date", "vol": "volume"}
+
+
 def _is_header(line: Column, header: Header) -> Column:
     lines = [one.strip().lower() for one in ([header] if isinstance(header, str) else header)]
     known = ["open", "high", "low", "close", "volume"]
@@ -122,14 +128,114 @@ def stream_scan(
     return scan(reader.csv(path), header)
 
 
-def write_prices(bars: DataFrame, path: str) -> None:
+#: A comma outside quotes: one with an even number of quotes after it.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _fields(line: Column) -> Column:
+    """The fields of a CSV line, quotes and all."""
+    return F.when(line.contains('"'), F.split(line, _COMMA, -1)).otherwise(F.split(line, ",", -1))
+
+
+def _places(line: Column, aliases: dict[str, str]) -> Column:
+    """Where a header line has each of ``NAMES``, from 1, and its number of columns; null for a line that is no header.
+
+    A line that names a column twice is no header.
+    """
+    plain = F.transform(_fields(line), lambda field: F.lower(F.btrim(field, F.lit(" \t\r\""))))
+    known = F.create_map(*[F.lit(word) for pair in aliases.items() for word in pair]) if aliases else None
+    named = plain if known is None else F.transform(plain, lambda field: F.coalesce(F.element_at(known, field), field))
+    once = F.size(F.array_distinct(named)) == F.size(named)
+    every = F.size(F.array_except(F.array(*map(F.lit, NAMES)), named)) == 0
+    places = F.array(*[F.array_position(named, name).cast("int") for name in NAMES], F.size(named))
+    return F.when(once & every, places)
+
+
+def _as_kept(line: Column, places: Column) -> Column:
+    """A line with the columns in the order of ``NAMES`` alone; null if it has another number of columns than its header."""
+    fields = _fields(line)
+    picked = F.transform(F.slice(places, 1, len(NAMES)), lambda place: F.element_at(fields, place))
+    return F.when(F.size(fields) == F.element_at(places, -1), F.array_join(picked, ","))
+
+
+def _plain() -> Column:
+    """Places for a file without a header: as kept, so that its rows can be shown beside the reason they are rejected."""
+    return F.array(*[F.lit(i) for i in [*range(1, len(NAMES) + 1), len(NAMES)]])
+
+
+def _parsed(lines: DataFrame, line: str, places: str) -> DataFrame:
+    """``lines`` with the price columns in place of ``line`` and ``places``, parsed as by position."""
+    others = [name for name in lines.columns if name not in (line, places)]
+    picked = lines.withColumn("_line", _as_kept(F.col(line), F.col(places)))
+    options = {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}
+    row = F.from_csv(F.coalesce(F.col("_line"), F.lit("")), CSV_DDL, options)
+    raw = F.when(F.col("_line").isNull() | F.col("_row._bad").isNotNull(), F.col(line))
+    return picked.withColumn("_row", row).select(
+        *others, *[F.col(f"_row.{name}").alias(name) for name in NAMES], raw.alias("_bad")
+    )
+
+
+_LINES = T.StructType([T.StructField("line", T.StringType()), *_PARTITIONS])
+
+
+def check_named(scanned: DataFrame, aliases: dict[str, str] = ALIASES) -> DataFrame:
+    """Lines of files as price rows, each file's columns found by the names in its header line.
+
+    ``scanned`` has ``line`` and ``source_file``. Columns may stand in any order, and files may have
+    others besides. ``header_ok`` is false for the rows of a file that has no header, or several
+    that differ. A line with another number of columns than its header is unparsable.
+
+    One pass finds the headers, a row per file; then all files are read in one more, whatever
+    the orders. If all have the same order, no row is joined to its file's.
+    """
+    found = scanned.withColumn("places", _places(F.col("line"), aliases)).select("source_file", "places")
+    headers = found.groupBy("source_file").agg(F.min("places").alias("places"), F.max("places").alias("other"))
+    one = F.col("places").isNotNull() & (F.col("places") == F.col("other"))
+    headers = materialize(headers.select("source_file", F.when(one, F.col("places")).alias("places")), "headers")
+    orders = headers.select("places").distinct().limit(2).collect()
+
+    rows = scanned.where((F.trim("line") != "") & _places(F.col("line"), aliases).isNull())
+    if len(orders) == 1 and orders[0]["places"] is not None:
+        rows = rows.withColumn("places", F.array(*map(F.lit, orders[0]["places"]))).withColumn("header_ok", F.lit(True))
+    else:
+        rows = rows.join(headers, "source_file", "left")
+        rows = rows.withColumn("header_ok", F.col("places").isNotNull()).withColumn("places", F.coalesce("places", _plain()))
+    return _parsed(rows, "line", "places")
+
+
+def read_named(spark: SparkSession, path: str, aliases: dict[str, str] = ALIASES) -> DataFrame:
+    """``read_checked`` for files that have their columns in any order, each its own; reads the files twice."""
+    lines = spark.read.schema(_LINES).text(path).withColumn("source_file", F.col("_metadata.file_path"))
+    return check_named(lines, aliases)
+
+
+def stream_named(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Lines of files as they arrive; each batch then goes through ``check_named``."""
+    reader = spark.readStream.schema(_LINES)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.text(path).withColumn("source_file", F.col("_metadata.file_path"))
+
+
+def parse_named_payloads(payloads: DataFrame, aliases: dict[str, str] = ALIASES) -> DataFrame:
+    """``parse_payloads`` for bodies that have their columns in any order, each by its first line."""
+    kept = [name for name in payloads.columns if name != "body"]
+    split = payloads.select(*kept, F.split(F.coalesce(F.col("body"), F.lit("")), "\r?\n").alias("lines"))
+    found = split.withColumn("places", _places(F.col("lines")[0], aliases))
+    flagged = found.withColumn("header_ok", F.col("places").isNotNull()).withColumn("places", F.coalesce("places", _plain()))
+    lines = flagged.select(*kept, "header_ok", "places", F.posexplode("lines").alias("line_no", "line"))
+    wanted = F.when(F.col("line_no") == 0, ~F.col("header_ok")).otherwise(F.trim("line") != "")
+    return _parsed(lines.where(wanted), "line", "places")
+
+
+def write_prices(bars: DataFrame, path: str, columns: dict[str, str] | None = None) -> None:
     """Bars with ``fetch_date`` as price CSV files, one directory per fetch date and symbol.
 
-    The rebalance hint gathers a symbol's rows into few files and splits a
-    partition that grows too large.
+    ``columns`` gives the header's names in their order, and the column under each; as kept unless given.
+    The rebalance hint gathers a symbol's rows into few files and splits a partition that grows too large.
     """
     cent = F.lit("0.01").cast("decimal(2,2)")
-    bars.hint("rebalance", "fetch_date", "symbol").select(
+    prices = bars.hint("rebalance", "fetch_date", "symbol").select(
         "fetch_date",
         "symbol",
         "trade_date",
@@ -138,7 +244,10 @@ def write_prices(bars: DataFrame, path: str) -> None:
             for name in ["open", "high", "low", "close"]
         ],
         "volume",
-    ).write.partitionBy("fetch_date", "symbol").option("header", "true").mode("append").csv(path)
+    )
+    shown = columns or {name: name for name in NAMES}
+    named = prices.select("fetch_date", "symbol", *[F.col(name).alias(title) for title, name in shown.items()])
+    named.write.partitionBy("fetch_date", "symbol").option("header", "true").mode("append").csv(path)
 
 
 def parse_payloads(payloads: DataFrame, header: Header = CSV_HEADER) -> DataFrame:

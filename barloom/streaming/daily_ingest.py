@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 from barloom.operators.quality import classify, run_log, to_bars
 from barloom.schemas import BAR_COLUMNS, BAR_VALUES, BARS, CSV_HEADER, KEY
 from barloom.sources.landing import append_runs
-from barloom.sources.price_csv import FILE_SCHEMA, Header, check_headers, parse_payloads, stream_scan
+from barloom.sources.price_csv import (
+    FILE_SCHEMA, Header, check_headers, check_named, parse_named_payloads, parse_payloads, stream_named, stream_scan,
+)
 
 # A batch stores the raw row, the verdict on it, and two partition columns.
 _ROWS = T.StructType(
@@ -48,7 +50,7 @@ _BODY = T.StructType(
 )
 
 
-def _read_if_there(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+def read_if_there(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
     """A Parquet table, empty if nothing was written to it yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -60,17 +62,17 @@ def _read_if_there(spark: SparkSession, schema: T.StructType, path: str) -> Data
 
 def read_rows(spark: SparkSession, store: str) -> DataFrame:
     """Every row ever taken in, accepted or not."""
-    return _read_if_there(spark, _ROWS, f"{store}/rows")
+    return read_if_there(spark, _ROWS, f"{store}/rows")
 
 
 def read_bodies(spark: SparkSession, store: str) -> DataFrame:
     """Every body ever taken in, as it was fetched."""
-    return _read_if_there(spark, _BODY, f"{store}/bodies")
+    return read_if_there(spark, _BODY, f"{store}/bodies")
 
 
 def _versions(spark: SparkSession, store: str) -> dict[datetime.date, int]:
     """The version that holds each period; at most as many as the calendar has months."""
-    noted = _read_if_there(spark, _REFRESHED, f"{store}/refreshed")
+    noted = read_if_there(spark, _REFRESHED, f"{store}/refreshed")
     newest = noted.groupBy("period").agg(F.max("batch_id").alias("batch_id"))
     return {row["period"]: row["batch_id"] for row in newest.collect()}
 
@@ -93,7 +95,7 @@ def check_kept(spark: SparkSession, store: str, period: str, source: str) -> Non
     Directories of another period would hide each other, and batches of another
     source would be numbered anew.
     """
-    noted = _read_if_there(spark, _KEPT, f"{store}/kept").first()
+    noted = read_if_there(spark, _KEPT, f"{store}/kept").first()
     if noted is None:
         spark.createDataFrame([(period, source)], _KEPT).coalesce(1).write.mode("append").parquet(f"{store}/kept")
     elif tuple(noted) != (period, source):
@@ -169,6 +171,7 @@ def ingest_new_files(
     period: str = "year",
     header: Header = CSV_HEADER,
     written: list[int] | None = None,
+    by_name: bool = False,
 ) -> list[int]:
     """Check and store the files not seen before; returns the ids of the batches written.
 
@@ -178,14 +181,16 @@ def ingest_new_files(
     seen again, so landed names must be new for each fetch. After the batches,
     the history is refreshed by ``period`` ("year" or "month"; a store refuses another
     than its first). ``written``, if given, is filled as batches are stored, so a
-    caller knows them even when the refresh breaks.
+    caller knows them even when the refresh breaks. ``by_name`` finds each file's columns by
+    the names in its own header, in any order, in place of ``header``.
     """
     check_kept(spark, store, period, "files")
 
     def check(batch: DataFrame) -> DataFrame:
-        return classify(check_headers(batch), order=["source_file"], fetch=["fetch_date"])
+        rows = check_named(batch) if by_name else check_headers(batch)
+        return classify(rows, order=["source_file"], fetch=["fetch_date"])
 
-    stream = stream_scan(spark, landing, max_files, header)
+    stream = stream_named(spark, landing, max_files) if by_name else stream_scan(spark, landing, max_files, header)
     return _ingest(stream, check, store, period, [] if written is None else written)
 
 
@@ -196,6 +201,7 @@ def ingest_payloads(
     period: str = "year",
     header: Header = CSV_HEADER,
     written: list[int] | None = None,
+    by_name: bool = False,
 ) -> list[int]:
     """Keep fetched bodies as they are, then check and store their rows as ``ingest_new_files`` does.
 
@@ -213,7 +219,8 @@ def ingest_payloads(
 
     def check(batch: DataFrame) -> DataFrame:
         named = F.concat(F.lit("body:"), F.sha2(F.coalesce("body", F.lit("")), 256))
-        rows = parse_payloads(batch.withColumn("source_file", named), header)
+        bodies = batch.withColumn("source_file", named)
+        rows = parse_named_payloads(bodies) if by_name else parse_payloads(bodies, header)
         return classify(rows, order=["source_file", "line_no"], fetch=["fetch_date"])
 
     stream = spark.readStream.schema(_BODY).parquet(f"{store}/bodies")
@@ -262,6 +269,7 @@ def run_daily(
     max_files: int | None = None,
     period: str = "year",
     header: Header = CSV_HEADER,
+    by_name: bool = False,
 ) -> str:
     """One scheduled run over landed files; leaves one row in the run table and returns its run_id.
 
@@ -269,7 +277,7 @@ def run_daily(
     """
     return _logged(
         spark, store, run_date, {"landing": landing},
-        lambda written: ingest_new_files(spark, landing, store, max_files, period, header, written),
+        lambda written: ingest_new_files(spark, landing, store, max_files, period, header, written, by_name),
     )
 
 
@@ -280,11 +288,12 @@ def run_payloads(
     run_date: datetime.date,
     period: str = "year",
     header: Header = CSV_HEADER,
+    by_name: bool = False,
 ) -> str:
     """``run_daily`` over fetched bodies."""
     return _logged(
         spark, store, run_date, {},
-        lambda written: ingest_payloads(spark, payloads, store, period, header, written),
+        lambda written: ingest_payloads(spark, payloads, store, period, header, written, by_name),
     )
 
 

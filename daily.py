@@ -19,12 +19,13 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--max-files", type=int, help="files per batch (default: all in one)")
     parser.add_argument("--period", choices=["year", "month"], default="year")
     parser.add_argument("--header", action="append", help="header line of the files; may be given several times")
+    parser.add_argument("--by-name", action="store_true", help="find each file's columns by its own header, in any order")
     given = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("daily prices").getOrCreate()
     run_id = run_daily(
         spark, given.landing, given.store, given.run_date, given.max_files, given.period,
-        tuple(given.header or [CSV_HEADER]),
+        tuple(given.header or [CSV_HEADER]), given.by_name,
     )
     run = read_runs(spark, given.store).where(f"run_id = '{run_id}'").first()
     print(json.dumps(run.asDict(), default=str))
