@@ -3,19 +3,27 @@
 All symbols are pooled in one model unless the name says otherwise.
 """
 
+from __future__ import annotations
+
+import dataclasses
 import datetime
+import hashlib
+import statistics
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import exact, mean_price, square, to_price
 from barloom.functions.windows import by_day, so_far, trailing
+from barloom.schemas import KEY
+from barloom.sources.scratch import new_path
 
 FEATURES = ["x1", "x2"]
 
@@ -114,44 +122,225 @@ class LinearFit:
         return complete(rows, columns).withColumn("prediction", value)
 
 
+def _linear_fit(columns: list[str], weights: list[float], scale: Scale) -> LinearFit:
+    """Weights in standard deviations as a model in price units."""
+    slopes = [weight * scale.label_sd / sd for weight, sd in zip(weights, scale.sds)]
+    return LinearFit(
+        intercept=scale.label_mean - sum(slope * mean for slope, mean in zip(slopes, scale.means)),
+        coefficients=dict(zip(columns, slopes)),
+        std_weights=dict(zip(columns, weights)),
+    )
+
+
+@dataclass(frozen=True)
+class Scale:
+    """Means and sample deviations of label and features, to 9 places, so that they don't hang on the partitioning."""
+
+    label_mean: float
+    label_sd: float
+    means: list[float]
+    sds: list[float]
+
+    @classmethod
+    def of(cls, train: DataFrame, columns: list[str]) -> Scale:
+        names = ["label", *columns]
+        measures = [F.round(f(name), 9) for name in names for f in (F.avg, F.stddev_samp)]
+        row = list(train.agg(*[m.alias(f"m{i}") for i, m in enumerate(measures)]).first())
+        return cls(row[0], row[1], row[2::2], row[3::2])
+
+    def apply(self, rows: DataFrame, columns: list[str]) -> DataFrame:
+        """``z_label`` and ``z_<name>``, centred and in standard deviations, beside the other columns."""
+        scaled = {"z_label": (F.col("label") - F.lit(self.label_mean)) / F.lit(self.label_sd)}
+        for name, mean, sd in zip(columns, self.means, self.sds):
+            scaled[f"z_{name}"] = (F.col(name) - F.lit(mean)) / F.lit(sd)
+        return rows.withColumns(scaled)
+
+
+def batch_of(batches: int, seed: int, key: list[str]) -> Column:
+    """The mini-batch of a row, by its key alone: the first 32 bits of an MD5, modulo ``batches``."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(name).cast("string") for name in key])
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(batches)).cast("int")
+
+
 def fit_sgd(
-    train: DataFrame, columns: list[str] = FEATURES, iterations: int = 100, step: float = 0.5
+    train: DataFrame,
+    columns: list[str] = FEATURES,
+    batches: int = 16,
+    epochs: int = 2,
+    step: float = 0.5,
+    seed: int = 0,
+    key: list[str] = KEY,
 ) -> LinearFit:
-    """Least squares by gradient descent, on standardised label and features.
+    """Least squares by stochastic gradient descent on mini-batches of standardised label and features.
 
-    Unscaled prices make the descent diverge. With everything centred there is
-    no intercept to fit; it follows from the means. The gradient over all rows needs
-    only the moments of label and features, so one aggregate replaces a pass per
-    iteration; the steps are those of ``LinearRegressionWithSGD`` on full batches:
-    ``step`` over the root of the iteration, times the mean gradient.
+    Rows are dealt to ``batches`` by a seeded hash of their key, and stored so; each epoch goes through
+    the batches in a seeded order. A step reads one batch and sums its gradient, partial sums on the map
+    side and one row to the driver, then moves against the mean by ``step`` over the root of the
+    step's number. Unscaled prices would make the descent diverge; with everything centred there is no intercept to fit.
+
+    Gradients are summed in whole 10^-9ths, so the path is the same whatever the partitioning. A
+    cluster reads each row once an epoch. What comes out is near the least squares of ``fit_ols``, not equal to it.
     """
+    scale = Scale.of(train, columns)
+    names = ["z_label", *[f"z_{name}" for name in columns]]
+    dealt = scale.apply(train, columns).select(*names, batch_of(batches, seed, key).alias("batch"))
+    path = new_path(train.sparkSession, "batches")
+    dealt.hint("rebalance", "batch").write.partitionBy("batch").parquet(path)
+    stored = train.sparkSession.read.schema(dealt.schema).parquet(path)
+    held = {row["batch"] for row in stored.select("batch").distinct().collect()}
+    weights, steps = [0.0] * len(columns), 0
+    for epoch in range(epochs):
+        for batch in sorted(held, key=lambda b: hashlib.md5(f"{seed}|{epoch}|{b}".encode()).hexdigest()):
+            steps += 1
+            error = -F.col("z_label")
+            for name, weight in zip(columns, weights):
+                error = error + F.lit(weight) * F.col(f"z_{name}")
+            sums = [F.sum(F.round(error * F.col(f"z_{name}") * 1e9).cast("decimal(38,0)")) for name in columns]
+            row = stored.where(F.col("batch") == batch).agg(F.count(F.lit(1)), *sums).first()
+            weights = [w - step / steps**0.5 * (float(total) / 1e9 / row[0]) for w, total in zip(weights, row[1:])]
+    return _linear_fit(columns, weights, scale)
+
+
+def _products(rows: DataFrame, columns: list[str], *by: str) -> DataFrame:
+    """Count, sums and sums of products of label and features, per group."""
     names = ["label", *columns]
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    row = train.agg(
-        *[F.avg(name).alias(f"mean_{i}") for i, name in enumerate(names)],
-        *[F.stddev_samp(name).alias(f"sd_{i}") for i, name in enumerate(names)],
-        *[F.covar_pop(a, b).alias(f"cov_{i}") for i, (a, b) in enumerate(pairs)],
-    ).first()
-    label_mean, *means = [row[f"mean_{i}"] for i in range(len(names))]
-    label_sd, *sds = [row[f"sd_{i}"] for i in range(len(names))]
-    scale = dict(zip(names, [label_sd, *sds]))
-    moment = {}
-    for i, (a, b) in enumerate(pairs):
-        moment[a, b] = moment[b, a] = row[f"cov_{i}"] / (scale[a] * scale[b])
-    weights = [0.0] * len(columns)
-    for t in range(1, iterations + 1):
-        gradient = [
-            sum(moment[a, b] * w for b, w in zip(columns, weights)) - moment[a, "label"] for a in columns
-        ]
-        weights = [w - step / t**0.5 * g for w, g in zip(weights, gradient)]
-    slopes = [weight * label_sd / sd for weight, sd in zip(weights, sds)]
-    return LinearFit(
-        intercept=label_mean - sum(slope * mean for slope, mean in zip(slopes, means)),
-        coefficients=dict(zip(columns, slopes)),
-        std_weights=dict(zip(columns, weights)),
+    return rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(name).alias(f"s_{name}") for name in names],
+        *[F.sum(F.col(a) * F.col(b)).alias(f"p_{a}_{b}") for a, b in pairs],
     )
 
 
+class _Moments:
+    """Centred and scaled moments of label and features from sums; sums of several folds add up."""
+
+    def __init__(self, rows: list, columns: list[str]):
+        names = ["label", *columns]
+        self.n = sum(row["n"] for row in rows)
+        total = {name: sum(row[f"s_{name}"] for row in rows) for name in names}
+        self.mean = {name: total[name] / self.n for name in names}
+        self.cov = {}
+        for i, a in enumerate(names):
+            for b in names[i:]:
+                product = sum(row[f"p_{a}_{b}"] for row in rows)
+                self.cov[a, b] = self.cov[b, a] = product / self.n - self.mean[a] * self.mean[b]
+        self.sd = {name: max(self.cov[name, name], 0.0) ** 0.5 for name in names}
+
+    def squared_error(self, intercept: float, slopes: dict[str, float]) -> float:
+        """The mean squared error of a linear model on these rows."""
+        bias = self.mean["label"] - intercept - sum(b * self.mean[name] for name, b in slopes.items())
+        spread = self.cov["label", "label"] - 2 * sum(b * self.cov[name, "label"] for name, b in slopes.items())
+        spread += sum(b * c * self.cov[x, y] for x, b in slopes.items() for y, c in slopes.items())
+        return spread + bias * bias
+
+
+def _descend(m: _Moments, columns: list[str], penalty: float, mix: float, sweeps: int, tolerance: float) -> LinearFit:
+    """Elastic net by coordinate descent on the correlations of label and features; a constant feature gets 0."""
+    used = [name for name in columns if m.sd[name] > 0 and m.sd["label"] > 0]
+    r = {(a, b): m.cov[a, b] / (m.sd[a] * m.sd[b]) for a in ["label", *used] for b in ["label", *used]}
+    weight = dict.fromkeys(columns, 0.0)
+    for _ in range(sweeps):
+        moved = 0.0
+        for a in used:
+            pull = r[a, "label"] - sum(r[a, b] * weight[b] for b in used if b != a)
+            shrunk = max(abs(pull) - penalty * mix, 0.0) * (1 if pull > 0 else -1)
+            new = shrunk / (1 + penalty * (1 - mix))
+            moved, weight[a] = max(moved, abs(new - weight[a])), new
+        if moved < tolerance:
+            break
+    slopes = {name: weight[name] * m.sd["label"] / m.sd[name] if name in used else 0.0 for name in columns}
+    intercept = m.mean["label"] - sum(slopes[name] * m.mean[name] for name in columns)
+    return LinearFit(intercept=intercept, coefficients=slopes, std_weights=weight)
+
+
+@dataclass(frozen=True)
+class NetFit:
+    """An elastic net: the fit at the chosen penalty, and per penalty tried its fit and mean squared error ahead."""
+
+    chosen: float
+    fit: LinearFit
+    path: list[tuple[float, LinearFit, float]]
+
+
+def fit_elastic_net(
+    train: DataFrame,
+    columns: list[str] = FEATURES,
+    penalties: tuple[float, ...] = (0.0, 0.01, 0.1, 0.3),
+    mix: float = 0.5,
+    fold: Column | None = None,
+    sweeps: int = 1_000,
+    tolerance: float = 1e-12,
+) -> NetFit:
+    """Squared error with a penalty on standardised weights, ``mix`` of it absolute and the rest squared.
+
+    The penalty is chosen by folds in order of time (``fold``, the year of the label's date unless given):
+    each fold but the first is predicted by the fit on those before it, never on later ones. The
+    least mean squared error over all these rows wins, of equal ones the largest penalty.
+
+    One pass and one shuffle of partial sums over the rows: a fold is a row of sums of products, and the fits
+    before each fold use sums of these. Coordinate descent runs on that small matrix, whose size
+    does not depend on the rows; with features in the thousands it would be the driver's limit.
+    """
+    fold = F.year("label_date") if fold is None else fold
+    rows = _products(train.withColumn("_fold", fold), columns, "_fold").collect()
+    folds = sorted((row for row in rows if row["_fold"] is not None), key=lambda row: row["_fold"])
+    if not folds:
+        raise ValueError("no training rows")
+    path = []
+    for penalty in penalties:
+        squares = seen = 0.0
+        for k in range(1, len(folds)):
+            fit = _descend(_Moments(folds[:k], columns), columns, penalty, mix, sweeps, tolerance)
+            ahead = _Moments([folds[k]], columns)
+            squares += ahead.n * ahead.squared_error(fit.intercept, fit.coefficients)
+            seen += ahead.n
+        whole = _descend(_Moments(folds, columns), columns, penalty, mix, sweeps, tolerance)
+        path.append((penalty, whole, squares / seen if seen else float("nan")))
+    chosen = min(path, key=lambda one: (round(one[2], 9) if one[2] == one[2] else 0.0, -one[0]))
+    return NetFit(chosen[0], chosen[1], path)
+
+
+def fit_huber(
+    train: DataFrame, columns: list[str] = FEATURES, bound: float = 1.35, most: int = 60, tolerance: float = 1e-9
+) -> LinearFit:
+    """A linear model by Huber's loss: errors of over ``bound`` deviations count by size, not by square.
+
+    Iteratively reweighted least squares. A round is one aggregate of weighted sums of products, solved on the driver,
+    until no weight moves by ``tolerance`` or ``most`` rounds are over. The deviation is fitted along
+    with the weights (Huber's second proposal): the one at which the squares of the errors, cut at the bound, have the
+    mean they have in a normal distribution. It starts from all errors and shrinks as outliers are cut.
+    """
+    normal = statistics.NormalDist()
+    beyond = 2 * (1 - normal.cdf(bound))
+    expected = 1 - beyond - 2 * bound * normal.pdf(bound) + bound**2 * beyond
+    scale = Scale.of(train, columns)
+    z = scale.apply(train, columns)
+    terms = [F.lit(1.0), *[F.col(f"z_{name}") for name in columns]]
+    p = len(terms)
+    fitted, deviation = [0.0] * p, float("inf")
+    for _ in range(most):
+        error = F.col("z_label")
+        for value, term in zip(fitted, terms):
+            error = error - F.lit(value) * term
+        far = F.abs(error) > F.lit(bound * deviation)
+        weight = F.when(far, F.lit(bound * deviation) / F.abs(error)).otherwise(1.0)
+        cut = F.when(far, F.lit((bound * deviation) ** 2)).otherwise(error * error)
+        sums = [F.sum(weight * terms[i] * terms[j]) for i in range(p) for j in range(i, p)]
+        sums += [F.sum(weight * term * F.col("z_label")) for term in terms]
+        n, squares, *row = z.agg(F.count(F.lit(1)), F.sum(cut), *sums).first()
+        gram = np.zeros((p, p))
+        gram[np.triu_indices(p)] = row[: len(row) - p]
+        gram = gram + np.triu(gram, 1).T
+        before, was = fitted, deviation
+        fitted = np.linalg.lstsq(gram, np.array(row[-p:], dtype=float), rcond=None)[0].tolist()
+        deviation = (squares / n / (1.0 if was == float("inf") else expected)) ** 0.5
+        if max(abs(x - y) for x, y in zip([*fitted, deviation], [*before, was])) < tolerance or deviation == 0:
+            break
+    fit = _linear_fit(columns, fitted[1:], scale)
+    return dataclasses.replace(fit, intercept=fit.intercept + fitted[0] * scale.label_sd)
+
+
 def predict(model: PipelineModel, rows: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
     """Adds ``prediction``, the forecast of the next close."""
     return model.transform(complete(rows, columns)).drop("features")

@@ -69,20 +69,142 @@ def fit_ols(spark, sf_dir):
     return fc.coefficients(spark, model).withColumn("value", places)
 
 
+# Label and features of the training rows, centred and in standard deviations.
+_SCALED = f"""{BARS}, {FEATURES}, {SPLIT},
+  train as (select * from split_rows where split = 'train' and x2 is not null),
+  scale as (
+    select round(avg(label), 9) as my, round(stddev_samp(label), 9) as sy, round(avg(x1), 9) as m1,
+           round(stddev_samp(x1), 9) as s1, round(avg(x2), 9) as m2, round(stddev_samp(x2), 9) as s2
+    from train),
+  z as (select symbol, trade_date, (label - my) / sy as y, (x1 - m1) / s1 as a, (x2 - m2) / s2 as b from train, scale)
+"""
+
+
+def _terms(spark, fit: fc.LinearFit) -> DataFrame:
+    rows = [(name, fit.std_weights[name], fit.coefficients[name]) for name in fc.FEATURES]
+    return round_columns(
+        spark.createDataFrame(rows, "term string, std_weight double, value double"), 6, "std_weight", "value"
+    )
+
+
 @query(
     "fit_sgd",
-    f"""with {BARS}, {FEATURES}, {SPLIT}, {OLS},
-      sd as (select stddev_samp(x1) as s1, stddev_samp(x2) as s2, stddev_samp(label) as sy from train)
-      select 'x1' as term, round(b1 * s1 / sy, 6) + 0.0 as std_weight, round(b1, 6) + 0.0 as value from ols, sd
-      union all select 'x2', round(b2 * s2 / sy, 6) + 0.0, round(b2, 6) + 0.0 from ols, sd""",
+    f"""with recursive {_SCALED},
+      dealt as (select *, cast('0x' || substr(md5('0|' || symbol || '|' || cast(trade_date as varchar)), 1, 8) as bigint) % 16 as batch
+                from z),
+      steps as (
+        select batch, row_number() over (order by epoch, md5('0|' || epoch || '|' || batch)) as t
+        from (select distinct batch from dealt), (select unnest([0, 1]) as epoch)),
+      sgd as (
+        select cast(0 as bigint) as t, cast(0 as double) as u, cast(0 as double) as v
+        union all
+        select t, u - 0.5 / sqrt(t) * du, v - 0.5 / sqrt(t) * dv
+        from (select steps.t, any_value(u) as u, any_value(v) as v,
+                     avg((u * a + v * b - y) * a) as du, avg((u * a + v * b - y) * b) as dv
+              from sgd join steps on steps.t = sgd.t + 1 join dealt on dealt.batch = steps.batch
+              group by steps.t)),
+      last as (select * from sgd order by t desc limit 1)
+      select 'x1' as term, round(u, 6) + 0.0 as std_weight, round(u * sy / s1, 6) + 0.0 as value from last, scale
+      union all select 'x2', round(v, 6) + 0.0, round(v * sy / s2, 6) + 0.0 from last, scale""",
 )
 def fit_sgd(spark, sf_dir):
-    """The descent, with steps enough to converge to the 6 places compared."""
-    fit = fc.fit_sgd(fc.train_rows(_model_input(spark, sf_dir)), iterations=1_000)
-    rows = [(name, fit.std_weights[name], fit.coefficients[name]) for name in fc.FEATURES]
-    return round_columns(
-        spark.createDataFrame(rows, "term string, std_weight double, value double"), 6, "std_weight", "value"
+    """Two epochs of 16 mini-batches: the path itself is compared, not what it tends to."""
+    return _terms(spark, fc.fit_sgd(fc.train_rows(_model_input(spark, sf_dir))))
+
+
+@query(
+    "fit_huber",
+    f"""with recursive {_SCALED},
+      huber as (
+        select 0 as t, cast(0 as double) as c, cast(0 as double) as u, cast(0 as double) as v, cast('inf' as double) as s
+        union all
+        select t + 1,
+          (hy * (haa * hbb - hab * hab) - ha * (hay * hbb - hab * hby) + hb * (hay * hab - haa * hby)) / d,
+          (h * (hay * hbb - hab * hby) - hy * (ha * hbb - hab * hb) + hb * (ha * hby - hay * hb)) / d,
+          (h * (haa * hby - hay * hab) - ha * (ha * hby - hay * hb) + hy * (ha * hab - haa * hb)) / d,
+          sqrt(squares / n / case when s = 'inf' then 1 else 0.7125606620913435 end)
+        from (
+          select *, h * (haa * hbb - hab * hab) - ha * (ha * hbb - hab * hb) + hb * (ha * hab - haa * hb) as d
+          from (
+            select t, any_value(s) as s, count(*) as n, sum(case when abs(e) > 1.35 * s then 1.35 * s * 1.35 * s else e * e end) as squares,
+              sum(w) as h, sum(w * a) as ha, sum(w * b) as hb, sum(w * a * a) as haa, sum(w * a * b) as hab, sum(w * b * b) as hbb,
+              sum(w * y) as hy, sum(w * a * y) as hay, sum(w * b * y) as hby
+            from (select *, case when abs(e) > 1.35 * s then 1.35 * s / abs(e) else 1 end as w
+                  from (select huber.*, a, b, y, y - (c + u * a + v * b) as e from huber, z where t < 60))
+            group by t))),
+      last as (select * from huber order by t desc limit 1)
+      select 'x1' as term, round(u, 6) + 0.0 as std_weight, round(u * sy / s1, 6) + 0.0 as value from last, scale
+      union all select 'x2', round(v, 6) + 0.0, round(v * sy / s2, 6) + 0.0 from last, scale""",
+)
+def fit_huber(spark, sf_dir):
+    return _terms(spark, fc.fit_huber(fc.train_rows(_model_input(spark, sf_dir))))
+
+
+def _correlations(prefix: str) -> str:
+    """Means, deviations and covariances from sums n, sy ... sbb."""
+    names = {"y": "sy", "a": "sa", "b": "sb"}
+    parts = [f"{total} / n as {prefix}m{x}" for x, total in names.items()]
+    for pair in ("yy", "ya", "yb", "aa", "ab", "bb"):
+        parts.append(f"s{pair} / n - ({names[pair[0]]} / n) * ({names[pair[1]]} / n) as {prefix}c{pair}")
+    return ", ".join(parts)
+
+
+_SUMS = ["n", "sy", "sa", "sb", "syy", "sya", "syb", "saa", "sab", "sbb"]
+
+
+@query(
+    "fit_elastic_net",
+    f"""with recursive {BARS}, {FEATURES}, {SPLIT},
+      folds as (
+        select year(label_date) as fold, cast(count(*) as double) as n, sum(label) as sy, sum(x1) as sa, sum(x2) as sb,
+          sum(label * label) as syy, sum(label * x1) as sya, sum(label * x2) as syb,
+          sum(x1 * x1) as saa, sum(x1 * x2) as sab, sum(x2 * x2) as sbb
+        from split_rows where split = 'train' and x2 is not null group by 1),
+      before as (
+        select fold, {", ".join(f"sum({x}) over w as {x}" for x in _SUMS)}
+        from folds window w as (order by fold rows between unbounded preceding and 1 preceding)
+        union all
+        select null, {", ".join(f"sum({x})" for x in _SUMS)} from folds),
+      tasks as (
+        select fold, penalty, {_correlations("")}
+        from before, (select unnest([0.0, 0.01, 0.1, 0.3]::double[]) as penalty) where n is not null),
+      scaled as (
+        select *, cya / sqrt(cyy * caa) as ra, cyb / sqrt(cyy * cbb) as rb, cab / sqrt(caa * cbb) as rab from tasks),
+      net as (
+        select fold, penalty, 0 as t, cast(0 as double) as u, cast(0 as double) as v from scaled
+        union all
+        select fold, penalty, t + 1, u, sign(pull) * greatest(abs(pull) - penalty / 2, 0) / (1 + penalty / 2)
+        from (
+          select fold, penalty, t, u, rb - rab * u as pull
+          from (
+            select net.fold, net.penalty, t, rb, rab,
+              sign(ra - rab * v) * greatest(abs(ra - rab * v) - net.penalty / 2, 0) / (1 + net.penalty / 2) as u
+            from net join scaled on net.fold is not distinct from scaled.fold and net.penalty = scaled.penalty
+            where t < 100))),
+      fits as (
+        select s.*, u, v, u * sqrt(cyy / caa) as ba, v * sqrt(cyy / cbb) as bb
+        from scaled s join net on net.fold is not distinct from s.fold and net.penalty = s.penalty where t = 100),
+      ahead as (
+        select penalty, sum(n * (fcyy - 2 * (ba * fcya + bb * fcyb) + ba * ba * fcaa + 2 * ba * bb * fcab + bb * bb * fcbb
+            + (fmy - (my - ba * ma - bb * mb) - ba * fma - bb * fmb) ** 2)) / sum(n) as mse
+        from fits join (select fold, n, {_correlations("f")} from folds) f using (fold) group by penalty)
+      select penalty, term, round(w, 6) + 0.0 as std_weight, round(slope, 6) + 0.0 as value, round(mse, 0) as mse_ahead,
+        penalty = (select max(penalty) from ahead where mse = (select min(mse) from ahead)) as chosen
+      from (select penalty, 'x1' as term, u as w, ba as slope from fits where fold is null
+            union all select penalty, 'x2', v, bb from fits where fold is null) join ahead using (penalty)""",
+)
+def fit_elastic_net(spark, sf_dir):
+    """The fits along the penalties, with their error on the years ahead."""
+    net = fc.fit_elastic_net(fc.train_rows(_model_input(spark, sf_dir)))
+    rows = [
+        (penalty, name, fit.std_weights[name], fit.coefficients[name], mse, penalty == net.chosen)
+        for penalty, fit, mse in net.path
+        for name in fc.FEATURES
+    ]
+    shown = spark.createDataFrame(
+        rows, "penalty double, term string, std_weight double, value double, mse_ahead double, chosen boolean"
     )
+    return round_columns(round_columns(shown, 6, "std_weight", "value"), 0, "mse_ahead")
 
 
 # Predictions are compared to the cent: solvers agree to about 1e-8 only.
