@@ -60,15 +60,53 @@ def rolling_volatility(bars: DataFrame, rows: int = 20) -> DataFrame:
     )
 
 
-def rolling_high_low(bars: DataFrame, rows: int = 20) -> DataFrame:
-    """Adds the high and low of the last n bars and the close's position between them."""
-    frame = trailing(rows)
-    return bars.withColumns(
+#: Longer windows than this are measured by blocks.
+FRAME = 64
+
+
+def _trailing_extremes(bars: DataFrame, rows: int) -> DataFrame:
+    """Adds ``range_high_c`` and ``range_low_c`` of the last ``rows`` bars, at a cost that doesn't grow with ``rows``.
+
+    Bars are numbered and cut in blocks of ``rows``. The last ``rows`` bars are the end of one
+    block and the beginning of the next: the extremes from a bar to its block's end, as they were
+    ``rows`` - 1 bars ago, and those from the block's beginning to the bar. Both run along once.
+    """
+    numbered = bars.withColumn("_block", F.floor((F.row_number().over(by_day()) - 1) / rows))
+    forth = Window.partitionBy("symbol", "_block").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("symbol", "_block").orderBy(F.desc("trade_date")).rowsBetween(Window.unboundedPreceding, 0)
+    measured = numbered.withColumns(
         {
-            "range_high_c": F.max("high_c").over(frame),
-            "range_low_c": F.min("low_c").over(frame),
+            "_high_on": F.max("high_c").over(back),
+            "_low_on": F.min("low_c").over(back),
+            "_high": F.max("high_c").over(forth),
+            "_low": F.min("low_c").over(forth),
         }
-    ).withColumn(
+    )
+
+    def ago(name: str):
+        return F.lag(name, rows - 1).over(by_day())
+
+    return measured.withColumns(
+        {"range_high_c": F.greatest("_high", ago("_high_on")), "range_low_c": F.least("_low", ago("_low_on"))}
+    ).drop("_block", "_high_on", "_low_on", "_high", "_low")
+
+
+def rolling_high_low(bars: DataFrame, rows: int = 20) -> DataFrame:
+    """Adds the high and low of the last n bars and the close's position between them.
+
+    A short window is a sliding frame, whose cost per bar grows with its length; a long one goes by blocks.
+    """
+    if rows > FRAME:
+        measured = _trailing_extremes(bars, rows)
+    else:
+        frame = trailing(rows)
+        measured = bars.withColumns(
+            {
+                "range_high_c": F.max("high_c").over(frame),
+                "range_low_c": F.min("low_c").over(frame),
+            }
+        )
+    return measured.withColumn(
         "range_position",
         ratio(F.col("close_c") - F.col("range_low_c"), F.col("range_high_c") - F.col("range_low_c")),
     )

@@ -100,6 +100,16 @@ _on_bars(
               from bars window f as {_rows(20)})""",
 )
 
+_on_bars(
+    "yearly_high_low", lambda bars: indicators.rolling_high_low(bars, 252),
+    ["range_high_c", "range_low_c", "range_position"],
+    f"""select symbol, trade_date, range_high_c, range_low_c,
+          cast(close_c - range_low_c as double)
+            / nullif(cast(range_high_c - range_low_c as double), 0) as range_position
+        from (select *, max(high_c) over f as range_high_c, min(low_c) over f as range_low_c
+              from bars window f as {_rows(252)})""",
+)
+
 _on_bars(
     "indexed_close", indicators.indexed_close, ["index_100"],
     f"""select symbol, trade_date,
