@@ -160,6 +160,14 @@ def places(word: str, positions: list[int], lengths: tuple[int, ...]) -> Iterato
                 yield xxhash.xxh3_64_intdigest(f"{length}{side}") - 2**63
 
 
+def parity(word: str) -> int:
+    """Of 64 kinds of letters, which occur an odd number of times, as bits: one edit turns two at most."""
+    bits = 0
+    for letter in word:
+        bits ^= 1 << (ord(letter) & 63)
+    return bits - ((bits >> 63) << 64)
+
+
 def _gram_weights(words: DataFrame) -> dict[int, int]:
     """Words per bucket of bigrams, counted over all words: ``BUCKETS`` numbers at most."""
     at = F.sequence(F.lit(1), F.length("word") - 1)
@@ -174,7 +182,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     ``words`` holds each word once, of ``SHORTEST`` code points or more. The lookup meets on
     the places of bigrams, each pivot at the places one edit can leave it; a place
     that very many words share is split by the skewed join. No list
-    of a bigram's words is gathered. Each meeting is checked by edit distance.
+    of a bigram's words is gathered. Each meeting is checked, by the letters' parities and then by edit distance.
     """
     weights = _gram_weights(words)
 
@@ -182,23 +190,24 @@ def near_pairs(words: DataFrame) -> DataFrame:
         def work(all_words, counts) -> Iterator[tuple]:
             for word, n in zip(all_words, counts):
                 last, prefix, pivots = signature(word, weights)
-                size = len(word)
+                size, bits = len(word), parity(word)
                 for place in places(word, prefix, (size,)):
-                    yield place, word, n, last, False
+                    yield place, word, n, last, bits, False
                 for place in places(word, pivots, (size - 1, size, size + 1)):
-                    yield place, word, n, last, True
+                    yield place, word, n, last, bits, True
 
         return work
 
-    fields = {"place": "bigint", "word": "string", "n": "bigint", "last": "bigint", "asks": "boolean"}
+    fields = {"place": "bigint", "word": "string", "n": "bigint", "last": "bigint", "bits": "bigint", "asks": "boolean"}
     index = materialize(frames.explode_rows(words, [F.col("word"), F.col("n")], start, fields), "grams")
     asking, held = (
         index.where("asks" if asks else "not asks").select(
-            "place", F.col("word").alias(name), F.col("n").alias(f"n{name}"), F.col("last").alias(f"last{name}")
+            "place", *[F.col(old).alias(new + name) for old, new in (("word", ""), ("n", "n"), ("last", "last"), ("bits", "bits"))]
         )
         for asks, name in ((True, "x"), (False, "y"))
     )
-    met = asking.join(held, "place").where("lastx <= lasty and x <> y and levenshtein(x, y, 1) = 1")
+    alike = "lastx <= lasty and bit_count(bitsx ^ bitsy) <= 2 and x <> y and levenshtein(x, y, 1) = 1"
+    met = asking.join(held, "place").where(alike)
     first = F.col("x") < F.col("y")
     return met.select(
         F.least("x", "y").alias("a"), F.when(first, F.col("nx")).otherwise(F.col("ny")).alias("na"),

@@ -73,6 +73,7 @@ def test_every_near_pair_meets_by_a_pivot():
             size = len(a)
             asked = set(spelling.places(a, signs[a][2], (size - 1, size, size + 1)))
             assert asked & set(spelling.places(b, signs[b][1], (len(b),))), (a, b)
+            assert (spelling.parity(a) ^ spelling.parity(b)).bit_count() <= 2 or min(spelling.parity(a), spelling.parity(b)) < 0
 
 
 def test_pivots_are_the_rarest_disjoint_bigrams():
