@@ -1,11 +1,13 @@
 """The tables under the usual price charts, small enough to draw. No drawing here."""
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.columns import to_price
+from barloom.functions.columns import exact, sd_price, square, to_price
 from barloom.functions.windows import by_day, whole_symbol
 from barloom.operators.indicators import daily_return
 from barloom.sources.scratch import materialize
@@ -46,6 +48,56 @@ def chart_histogram(bars: DataFrame, low_c: int, high_c: int, bins: int) -> Data
     )
 
 
+def _span(rows: DataFrame, *values: str) -> DataFrame:
+    """Least and greatest of whole-number columns per symbol."""
+    ends = [f(name).alias(f"{label}_{name}") for name in values for f, label in ((F.min, "least"), (F.max, "most"))]
+    return rows.groupBy("symbol").agg(*ends)
+
+
+def _bin(value: str, bins: int):
+    """0 to ``bins`` - 1 between a symbol's least and greatest value; whole numbers, so no value falls beside its bin."""
+    width = F.col(f"most_{value}") - F.col(f"least_{value}") + 1
+    return F.floor(((F.col(value) - F.col(f"least_{value}")) * bins) / width).cast("int")
+
+
+def chart_density(rows: DataFrame, value: str, points: int = 64, bins: int = 256) -> DataFrame:
+    """A smooth density of a whole-number column per symbol: (symbol, at, density) at ``points`` places from least to greatest.
+
+    Values are counted in ``bins``, and the counts smoothed by a normal kernel: what is
+    summed per symbol is bins by points, however many rows there are. The bandwidth is
+    1.06 deviations over the fifth root of the count, from exact moments. A symbol with a single value has none.
+    """
+    known = rows.where(F.col(value).isNotNull()).select("symbol", value)
+    measured = known.groupBy("symbol").agg(
+        F.min(value).alias(f"least_{value}"),
+        F.max(value).alias(f"most_{value}"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(exact(F.col(value))).alias("total"),
+        F.sum(square(F.col(value))).alias("squares"),
+    )
+    spread = sd_price(F.col("n"), F.col("total"), F.col("squares")) * 100
+    measured = measured.withColumn("width", F.lit(1.06) * spread * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+    measured = measured.where(F.col(f"least_{value}") < F.col(f"most_{value}")).select(
+        "symbol", f"least_{value}", f"most_{value}", "n", "width"
+    )
+    counted = known.join(measured, "symbol").groupBy("symbol", _bin(value, bins).alias("bin")).agg(F.count(F.lit(1)).alias("held"))
+    placed = counted.join(measured, "symbol").withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    least, reach = F.col(f"least_{value}").cast("double"), (F.col(f"most_{value}") - F.col(f"least_{value}")).cast("double")
+    at = least + F.col("point") * reach / (points - 1)
+    middle = least + (F.col("bin") + 0.5) * (reach + 1) / bins - 0.5
+    off = (at - middle) / F.col("width")
+    return placed.groupBy("symbol", "point", at.alias("at"), "n", "width").agg(
+        F.sum(F.col("held") * F.exp(-0.5 * off * off)).alias("sum")
+    ).select("symbol", "at", (F.col("sum") / (F.col("n") * F.col("width") * math.sqrt(2 * math.pi))).alias("density"))
+
+
+def chart_bins_2d(rows: DataFrame, x: str, y: str, bins: int = 16) -> DataFrame:
+    """How often two whole-number columns occur together, per symbol, in ``bins`` by ``bins`` between their ends."""
+    known = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select("symbol", x, y)
+    placed = known.join(_span(known, x, y), "symbol")
+    return placed.groupBy("symbol", _bin(x, bins).alias("x_bin"), _bin(y, bins).alias("y_bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def chart_box(rows: DataFrame, value: str, whisker: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at ``whisker`` x IQR and outlier count of a column, per symbol.
 

@@ -1,4 +1,4 @@
-"""Joins by time, recurrences and sessions."""
+"""Joins by time, recurrences, sessions, patterns and sketches."""
 
 import datetime
 
@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import ratio, round_columns
-from barloom.operators import joins, recurrences, sessions
+from barloom.operators import joins, patterns, recurrences, sessions, sketches
 from barloom.operators.bars import daily_bars
 from barloom.operators.indicators import date_gaps
 from barloom.plans.registry import query
 from barloom.plans.sql import BARS, EVENT_BARS, SUPPLIER_BARS
 from barloom.sources.scratch import materialize, new_path
-from barloom.sources.tables import event_ticks, order_bars, supplier_bars, table
+from barloom.sources.tables import event_ticks, order_bars, order_ticks, supplier_bars, table
 from barloom.streaming import tick_bars, tick_sessions
 
 KEY = ["symbol", "trade_date"]
@@ -210,3 +210,43 @@ def stream_sessions(spark, sf_dir):
     ticks = tick_bars.event_stream(spark, f"{sf_dir}/events.parque[t]")  # a file, or a directory of part files
     tick_sessions.store_sessions(ticks, store, GAP)
     return tick_sessions.read_sessions(spark, store, GAP)
+
+
+@query(
+    "price_patterns",
+    f"""with {SUPPLIER_BARS},
+      moved as (select *, sign(close_c - lag(close_c) over (partition by symbol order by trade_date)) as way from bars),
+      turned as (select *, case when way is distinct from lag(way) over (partition by symbol order by trade_date) then 1 else 0 end as turn
+                 from moved),
+      runs as (
+        select symbol, run, any_value(way) as way, count(*) as n, min(trade_date) as first_day, max(trade_date) as last_day,
+               min_by(close_c, trade_date) as first_c, min(close_c) as low_c, max(close_c) as high_c, max_by(close_c, trade_date) as last_c
+        from (select *, sum(turn) over (partition by symbol order by trade_date) as run from turned) group by symbol, run)
+      select d.symbol, repeat('D', d.n) || repeat('U', u.n) as letters, d.first_day as start_date, u.last_day as end_date,
+             d.n + u.n as n_days, d.first_c, least(d.low_c, u.low_c) as low_c, greatest(d.high_c, u.high_c) as high_c, u.last_c
+      from runs d join runs u on d.symbol = u.symbol and u.run = d.run + 1
+      where d.way = -1 and u.way = 1 and d.n >= 3 and u.n >= 2""",
+)
+def price_patterns(spark, sf_dir):
+    """Falls of three days or more that turn into rises of two or more, over many symbols."""
+    return patterns.find(supplier_bars(spark, sf_dir))
+
+
+_RANKS = (0.05, 0.5, 0.95)
+
+
+@query(
+    "quantile_sketches",
+    """select o_orderpriority as symbol, cast(date_trunc('year', o_orderdate) as date) as period_start, count(*) as n_ticks,
+              true as within
+       from orders where o_orderdate is not null group by 1, 2""",
+)
+def quantile_sketches(spark, sf_dir):
+    """Yearly quantiles merged from daily sketches by way of months; whether each rank is within the documented error."""
+    ticks = order_ticks(spark, sf_dir).where("trade_date is not null")
+    daily = materialize(sketches.daily_sketches(ticks), "sketches")
+    yearly = sketches.roll_up(sketches.roll_up(daily, "month"), "year")
+    found = materialize(sketches.quantiles(yearly, *_RANKS), "quantiles")
+    errors = sketches.rank_errors(ticks, found, "year", *_RANKS)
+    within = F.greatest(*[F.col(f"e{round(rank * 100)}") for rank in _RANKS]) <= 2 * sketches.RANK_ERROR
+    return errors.select("symbol", "period_start", "n_ticks", within.alias("within"))

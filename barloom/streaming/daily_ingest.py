@@ -6,12 +6,15 @@ period; ``refreshed``, the version of each period; ``runs``, a row per run; and,
 if it is fed from bodies, ``bodies``, each as it was fetched.
 """
 
+import contextlib
 import datetime
+import time
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,14 +105,64 @@ def check_kept(spark: SparkSession, store: str, period: str, source: str) -> Non
         raise ValueError(f"the store is kept by {noted.period} from {noted.source}, not by {period} from {source}")
 
 
+def _path(spark: SparkSession, name: str):
+    """A Hadoop path and its file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+@contextlib.contextmanager
+def only_writer(spark: SparkSession, store: str, stale: datetime.timedelta = datetime.timedelta(days=1)):
+    """Refuse a second writer while one is at work: two at once would write versions of the same number.
+
+    The writer holds a file ``writer.lock`` that only one can make. One left behind by a run that was
+    killed is taken over once it is older than ``stale``, so a run must not take longer. On object stores
+    without an exclusive create, two that start in the same instant are not told apart.
+    """
+    path, files = _path(spark, f"{store}/writer.lock")
+    if files.exists(path):
+        age = time.time() - files.getFileStatus(path).getModificationTime() / 1000
+        if age < stale.total_seconds():
+            raise RuntimeError(f"{store} has had another writer for {age:.0f} seconds; if it is gone, delete writer.lock")
+        files.delete(path, False)
+    try:
+        files.create(path, False).close()
+    except Py4JJavaError as error:
+        raise RuntimeError(f"{store} has another writer") from error
+    try:
+        yield
+    finally:
+        files.delete(path, False)
+
+
+def vacuum(spark: SparkSession, store: str, grace: datetime.timedelta = datetime.timedelta(days=7)) -> int:
+    """Delete versions of the history that were replaced over ``grace`` ago; how many there were.
+
+    A reader that found a version before it was replaced may still hold it, so none is deleted
+    sooner; ``grace`` must exceed the longest job that reads the history. Rows, bodies and newest versions stay. The
+    time a version was replaced is that of the note of its successor.
+    """
+    noted = read_if_there(spark, _REFRESHED, f"{store}/refreshed")
+    if not noted.inputFiles():
+        return 0
+    dated = noted.select("batch_id", "period", F.col("_metadata.file_modification_time").alias("noted_at"))
+    after = Window.partitionBy("period").orderBy("batch_id")
+    replaced = dated.withColumn("replaced_at", F.lead("noted_at").over(after)).where("replaced_at is not null")
+    old = replaced.where(F.unix_micros("replaced_at") <= int((time.time() - grace.total_seconds()) * 1e6)).collect()
+    deleted = 0
+    for row in old:
+        path, files = _path(spark, f"{store}/current/version={row['batch_id']}/period={row['period']}")
+        deleted += files.delete(path, True)
+    return deleted
+
+
 def refresh_history(spark: SparkSession, store: str, period: str) -> None:
     """Make a new version of the periods in which batches since the last refresh have bars.
 
     It is made from those periods' versions so far and the new batches, so a run
     reads no older batch. Versions are never changed once noted: a reader sees
     the old ones until one small write notes the new, and a refresh that broke off is
-    done again by the next run. Versions no longer noted may be deleted by an
-    expiry rule. Only the first days of the periods come to the driver.
+    done again by the next run. ``vacuum`` deletes versions no longer noted. Only the first days of the periods come to the driver.
     """
     versions = _versions(spark, store)
     label = F.trunc("trade_date", period)
@@ -250,7 +303,8 @@ def _logged(
     try:
         if missing:
             raise ValueError(f"required setting {missing[0]} is missing")
-        ingest(batches)
+        with only_writer(spark, store):
+            ingest(batches)
     except Exception as error:
         # What was stored before it broke counts for this run: the next one won't see it again.
         append_runs(

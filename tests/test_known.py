@@ -178,3 +178,46 @@ def test_daily_job_by_name(spark, make_bars, tmp_path):
     got = daily_ingest.read_history(spark, store).select("symbol", "trade_date", *BAR_VALUES).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, bars.select("symbol", "trade_date", *BAR_VALUES).collect()))
     assert {r.status for r in daily_ingest.read_runs(spark, store).collect()} == {"ok"}
+
+
+# one writer, and old versions
+
+
+def _run(spark, make_bars, files, store, n, close):
+    bars = make_bars([("A", "2024-03-01", 100, 150, 90, close, 1)]).withColumn("fetch_date", F.lit(day(n)))
+    price_csv.write_prices(bars, files)
+    daily_ingest.run_daily(spark, files, store, day(n))
+
+
+def test_a_second_writer_is_refused(spark, make_bars, tmp_path):
+    files, store = str(tmp_path / "files"), str(tmp_path / "store")
+    _run(spark, make_bars, files, store, 1, 110)
+    assert not (tmp_path / "store" / "writer.lock").exists()
+    with daily_ingest.only_writer(spark, store):
+        with pytest.raises(RuntimeError):
+            _run(spark, make_bars, files, store, 2, 120)
+    runs = daily_ingest.read_runs(spark, store).orderBy("run_date").collect()
+    assert [r.status for r in runs] == ["ok", "failed"] and "another writer" in runs[1].reason
+    daily_ingest.run_daily(spark, files, store, day(3))  # takes in what the refused run left
+    assert daily_ingest.read_history(spark, store).first().close_c == 120
+    (tmp_path / "store" / "writer.lock").write_text("")  # of a run that was killed
+    with pytest.raises(RuntimeError):
+        daily_ingest.run_daily(spark, files, store, day(4))
+    with daily_ingest.only_writer(spark, store, stale=datetime.timedelta(0)):
+        pass
+    daily_ingest.run_daily(spark, files, store, day(4))
+
+
+def test_vacuum_spares_versions_a_reader_may_hold(spark, make_bars, tmp_path):
+    files, store = str(tmp_path / "files"), str(tmp_path / "store")
+    assert daily_ingest.vacuum(spark, store) == 0
+    for n in (1, 2, 3):
+        _run(spark, make_bars, files, store, n, 110 + n)
+    held = daily_ingest.read_history(spark, store)
+    versions = tmp_path / "store" / "current"
+    before = sorted(p.name for p in versions.glob("version=*/period=*/.."))
+    assert daily_ingest.vacuum(spark, store, datetime.timedelta(hours=1)) == 0
+    assert daily_ingest.vacuum(spark, store, datetime.timedelta(0)) == 2
+    assert len(before) == 3 and len(list(versions.glob("version=*/period=*"))) == 1
+    assert held.first().close_c == daily_ingest.read_history(spark, store).first().close_c == 113
+    assert daily_ingest.vacuum(spark, store, datetime.timedelta(0)) == 0
