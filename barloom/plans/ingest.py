@@ -200,9 +200,8 @@ def payload_runs(spark, sf_dir):
       from c""",
 )
 def run_log(spark, sf_dir):
-    bars = order_bars(spark, sf_dir)
-    fetched = _faulty_bodies(bars).unionByName(fixtures.error_bodies(bars))
-    bodies = materialize(fetched, "bodies")
+    fetched = materialize(_faulty_bodies(order_bars(spark, sf_dir)), "bodies")
+    bodies = fetched.unionByName(fixtures.error_bodies(fetched))
     run_id = F.col("fetch_date").cast("string").alias("run_id")
     runs = bodies.select(run_id, F.col("fetch_date").alias("run_date"))
     checked = _checked(bodies).withColumn("run_id", run_id)
