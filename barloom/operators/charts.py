@@ -54,10 +54,15 @@ def _span(rows: DataFrame, *values: str) -> DataFrame:
     return rows.groupBy("symbol").agg(*ends)
 
 
+def _bins(value: str, bins: int):
+    """How many bins a symbol has: no more than there are whole numbers between its least and greatest value."""
+    return F.least(F.lit(bins).cast("bigint"), F.col(f"most_{value}") - F.col(f"least_{value}") + 1)
+
+
 def _bin(value: str, bins: int):
-    """0 to ``bins`` - 1 between a symbol's least and greatest value; whole numbers, so no value falls beside its bin."""
+    """The bin of a value, from 0; whole numbers, so none falls beside its bin."""
     width = F.col(f"most_{value}") - F.col(f"least_{value}") + 1
-    return F.floor(((F.col(value) - F.col(f"least_{value}")) * bins) / width).cast("int")
+    return F.floor(((F.col(value) - F.col(f"least_{value}")) * _bins(value, bins)) / width).cast("int")
 
 
 def chart_density(rows: DataFrame, value: str, points: int = 64, bins: int = 256) -> DataFrame:
@@ -84,7 +89,7 @@ def chart_density(rows: DataFrame, value: str, points: int = 64, bins: int = 256
     placed = counted.join(measured, "symbol").withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     least, reach = F.col(f"least_{value}").cast("double"), (F.col(f"most_{value}") - F.col(f"least_{value}")).cast("double")
     at = least + F.col("point") * reach / (points - 1)
-    middle = least + (F.col("bin") + 0.5) * (reach + 1) / bins - 0.5
+    middle = least + (F.col("bin") + 0.5) * (reach + 1) / _bins(value, bins) - 0.5
     off = (at - middle) / F.col("width")
     return placed.groupBy("symbol", "point", at.alias("at"), "n", "width").agg(
         F.sum(F.col("held") * F.exp(-0.5 * off * off)).alias("sum")
@@ -92,7 +97,7 @@ def chart_density(rows: DataFrame, value: str, points: int = 64, bins: int = 256
 
 
 def chart_bins_2d(rows: DataFrame, x: str, y: str, bins: int = 16) -> DataFrame:
-    """How often two whole-number columns occur together, per symbol, in ``bins`` by ``bins`` between their ends."""
+    """How often two whole-number columns occur together, per symbol, in up to ``bins`` by ``bins`` between their ends."""
     known = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select("symbol", x, y)
     placed = known.join(_span(known, x, y), "symbol")
     return placed.groupBy("symbol", _bin(x, bins).alias("x_bin"), _bin(y, bins).alias("y_bin")).agg(F.count(F.lit(1)).alias("n"))

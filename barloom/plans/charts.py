@@ -84,12 +84,12 @@ _DENSITY_POINTS, _DENSITY_BINS = 64, 256
                      - sum(cast(close_c as hugeint)) * sum(cast(close_c as hugeint)) as double)
                      / cast(count(*) * (count(*) - 1) as double)) / 100) * 100 * pow(cast(count(*) as double), -0.2) as width
             from bars group by symbol),
-      binned as (select symbol, ((close_c - least) * {_DENSITY_BINS}) // (most - least + 1) as bin, count(*) as held
+      binned as (select symbol, ((close_c - least) * least({_DENSITY_BINS}, most - least + 1)) // (most - least + 1) as bin, count(*) as held
                  from bars join m using (symbol) group by 1, 2),
       grid as (select *, least + point * cast(most - least as double) / {_DENSITY_POINTS - 1} as "at"
                from m, (select unnest(range({_DENSITY_POINTS})) as point))
       select symbol, round("at", 6) as "at",
-        round(sum(held * exp(-0.5 * pow(("at" - (least + (bin + 0.5) * (cast(most - least as double) + 1) / {_DENSITY_BINS} - 0.5)) / width, 2)))
+        round(sum(held * exp(-0.5 * pow(("at" - (least + (bin + 0.5) * (cast(most - least as double) + 1) / least({_DENSITY_BINS}, most - least + 1) - 0.5)) / width, 2)))
               / (any_value(n) * any_value(width) * sqrt(2 * pi())), 15) as density
       from grid join binned using (symbol) group by symbol, point, "at" """,
 )
@@ -102,8 +102,8 @@ def chart_density(spark, sf_dir):
     "chart_bins_2d",
     f"""with {BARS},
       m as (select symbol, min(close_c) as c0, max(close_c) as c1, min(volume) as v0, max(volume) as v1 from bars group by symbol)
-      select symbol, cast(((close_c - c0) * 16) // (c1 - c0 + 1) as integer) as x_bin,
-             cast(((volume - v0) * 16) // (v1 - v0 + 1) as integer) as y_bin, count(*) as n
+      select symbol, cast(((close_c - c0) * least(16, c1 - c0 + 1)) // (c1 - c0 + 1) as integer) as x_bin,
+             cast(((volume - v0) * least(16, v1 - v0 + 1)) // (v1 - v0 + 1) as integer) as y_bin, count(*) as n
       from bars join m using (symbol) group by 1, 2, 3""",
 )
 def chart_bins_2d(spark, sf_dir):
