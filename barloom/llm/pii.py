@@ -33,9 +33,9 @@ BASE = {
 NEEDS = {"email": "@", "phone": "+"}
 #: Doubtful candidates beside base matches that failed a check.
 MORE = {
-    "email": r"(?i)[a-z0-9][a-z0-9._%+-]{0,63}\x20?(?:\(at\)|\[at\])\x20?[a-z0-9-]{1,63}\x20?(?:\(dot\)|\[dot\]|\.)\x20?[a-z]{2,10}",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]*+(?<=[a-z0-9._%+-])\x20?(?:\(at\)|\[at\])\x20?[a-z0-9-]++\x20?(?:\(dot\)|\[dot\]|\.)\x20?[a-z]{2,}+",
     "phone": r"(?<![0-9+(.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])",
-    "secret": r"(?i)\b(?:token|secret|passw(?:or)?d|api[_-]?key)\b\x20?[=:]\x20?[\"']?[a-z0-9_+/-]{12,128}[\"']?",
+    "secret": r"(?i)\b(?:token|secret|passw(?:or)?d|api[_-]?key)\b\x20?[=:]\x20?[\"']?[a-z0-9_+/-]{12,}+[\"']?",
 }
 MORE_NEEDS = {"email": r"(?i)(?:\(at\)|\[at\])", "phone": r"[0-9]{3}[\x20.-][0-9]{4}", "secret": r"(?i)(?:token|secret|passw|key)\b\x20?[=:]"}
 
@@ -50,6 +50,38 @@ CUES = {
 AGAINST = r"version|isbn|order|invoice|serial|ticket|release|figure|chapter|§|nr\.|no\."
 
 
+#: Elements folded one by one, each step copying what there is so far.
+FOLD = 512
+
+
+def _with(value: Column, use) -> Column:
+    """``use`` of an expression that is evaluated once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _before(values: Column, join, zero: int = 0) -> Column:
+    """For each element of an array of bigints, the join of those before it; at its end, nothing is added.
+
+    Folded in blocks, and the blocks' joins folded likewise, so that the work grows little faster than the array.
+    """
+    empty = F.struct(F.lit(zero).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+    def fold(array):
+        return F.aggregate(
+            array, empty, lambda state, x: F.struct(join(state["at"], x).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+        )
+
+    def folded(array):
+        last = F.floor(F.greatest(F.size(array) - 1, F.lit(0)) / FOLD).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: fold(F.slice(array, k * FOLD + 1, F.lit(FOLD))))
+
+    def joined(blocks):
+        bases = fold(F.transform(blocks, lambda block: block["at"]))["out"]
+        return F.flatten(F.zip_with(blocks, bases, lambda block, base: F.transform(block["out"], lambda x: join(base, x))))
+
+    return _with(values, lambda array: _with(folded(array), joined))
+
+
 def _spans(text: Column, kind: str, pattern: str) -> Column:
     """Array of (kind, s, e, m, near) of the leftmost matches, positions in code points.
 
@@ -58,24 +90,23 @@ def _spans(text: Column, kind: str, pattern: str) -> Column:
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), 0)
     gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(gaps.alias("gap"), matches.alias("m"))
-    empty = F.array().cast("array<struct<kind:string,s:bigint,e:bigint,m:string,before:string,after:string>>")
-
-    def step(state, pair):
-        s = state["at"] + F.length(pair["gap"])
-        e = s + F.length(F.coalesce(pair["m"], F.lit("")))
-        found = F.struct(
-            F.lit(kind).alias("kind"), s.cast("bigint").alias("s"), e.cast("bigint").alias("e"), pair["m"].alias("m"),
-            F.lower(F.substring(pair["gap"], -32, 32)).alias("before"), F.lit("").alias("after"),
-        )
+
+    def length(part: Column) -> Column:
+        return F.length(F.coalesce(part, F.lit(""))).cast("bigint")
+
+    def placed(pair, before):
+        s = before + length(pair["gap"])
         return F.struct(
-            e.cast("bigint").alias("at"),
-            F.when(pair["m"].isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(found))).alias("out"),
+            F.lit(kind).alias("kind"), s.alias("s"), (s + length(pair["m"])).alias("e"), pair["m"].alias("m"),
+            F.lower(F.substring(pair["gap"], -32, 32)).alias("before"), F.lit("").alias("after"),
         )
 
-    return F.aggregate(
-        pairs, F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out")), step, lambda state: state["out"]
-    )
+    def found(pairs):
+        sizes = F.transform(pairs, lambda pair: length(pair["gap"]) + length(pair["m"]))
+        every = F.zip_with(pairs, _before(sizes, lambda a, b: a + b), placed)
+        return F.filter(every, lambda c: c["m"].isNotNull())
+
+    return _with(F.arrays_zip(gaps.alias("gap"), matches.alias("m")), found)
 
 
 def _digits(m: Column) -> Column:
@@ -86,8 +117,8 @@ def luhn(digits: Column) -> Column:
     """Whether a string of digits passes the Luhn check."""
     each = F.transform(
         F.split(F.reverse(digits), ""),
-        lambda d, i: F.when(i % 2 == 0, d.cast("int")).otherwise(
-            F.when(d.cast("int") > 4, d.cast("int") * 2 - 9).otherwise(d.cast("int") * 2)
+        lambda d, i: F.when(i % 2 == 0, d.try_cast("int")).otherwise(
+            F.when(d.try_cast("int") > 4, d.try_cast("int") * 2 - 9).otherwise(d.try_cast("int") * 2)
         ),
     )
     return F.aggregate(each, F.lit(0), lambda a, b: a + F.coalesce(b, F.lit(0))) % 10 == 0
@@ -346,7 +377,10 @@ def detect(df: DataFrame, model: Model | None = None, text: str = "text") -> Dat
             place = F.array_position(F.array(*map(F.lit, KINDS)), c["kind"])
             return F.struct(place.alias("k"), c["s"].alias("s"), c["e"].alias("e"), c["kind"].alias("kind"))
 
-        return F.transform(F.array_sort(F.array_distinct(F.transform(spans, rank))), bare)
+        def once(sorted_spans):
+            return F.filter(sorted_spans, lambda c, i: (i == 0) | (c != F.get(sorted_spans, i - 1)))
+
+        return F.transform(_with(F.sort_array(F.transform(spans, rank)), once), bare)
 
     added = F.filter("_more", lambda c: probability(c, model) >= 0.5)
     return (
@@ -362,26 +396,29 @@ def listed(spans: Column) -> Column:
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "all_spans") -> DataFrame:
-    """``df`` with every span of the text replaced by its kind in angle brackets; spans that overlap count as the first."""
+    """``df`` with every span of the text replaced by its kind in angle brackets; spans that overlap count as the first.
+
+    Pieces are cut from the text as four bytes a code point, so each is found at once however far it is from the start.
+    """
     body = frames.col(text)
-    by_start = F.array_sort(
+    by_start = F.sort_array(
         F.transform(frames.col(spans), lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), c["kind"].alias("kind")))
     )
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(state, c):
-        gap = F.substring(body, (state["at"] + 1).cast("int"), F.greatest(c["s"] - state["at"], F.lit(0)).cast("int"))
-        grown = F.struct(
-            F.greatest(c["e"], state["at"]).alias("at"),
-            F.when(c["s"] < state["at"], state["out"]).otherwise(
-                F.concat(state["out"], F.array(gap, F.concat(F.lit("<"), F.upper(c["kind"]), F.lit(">"))))
-            ).alias("out"),
-        )
-        return grown
 
-    def finish(state):
-        rest = F.substring(body, (state["at"] + 1).cast("int"), F.length(body))
-        return F.concat(F.array_join(state["out"], ""), rest)
+    def piece(wide, start, end):
+        return F.decode(F.substring(wide, (4 * start + 1).cast("int"), (4 * F.greatest(end - start, F.lit(0))).cast("int")), "UTF-32")
+
+    def cut(both):
+        wide, ordered = both["wide"], both["ordered"]
+        reached = _before(F.transform(ordered, lambda c: c["e"]), F.greatest)
+        told = F.zip_with(
+            ordered, reached,
+            lambda c, upto: F.when(c["s"] >= upto, F.concat(piece(wide, upto, c["s"]), F.lit("<"), F.upper(c["kind"]), F.lit(">"))).otherwise(""),
+        )
+        end = F.array_max(F.transform(ordered, lambda c: c["e"]))
+        rest = piece(wide, end, F.length(wide).cast("bigint") / 4)
+        return F.concat(F.array_join(told, ""), rest)
 
-    cut = F.when(F.coalesce(F.size(frames.col(spans)), F.lit(0)) > 0, F.aggregate(by_start, empty, step, finish)).otherwise(body)
-    return df.withColumn(text, cut)
+    both = F.struct(F.encode(body, "UTF-32").alias("wide"), by_start.alias("ordered"))
+    held = F.coalesce(F.size(frames.col(spans)), F.lit(0)) > 0
+    return df.withColumn(text, F.when(held, _with(both, cut)).otherwise(body))
