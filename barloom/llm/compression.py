@@ -35,13 +35,13 @@ class Rule:
     drawn from the curve itself, with deviation ``spread``. A band is the median, more or
     less ``width`` deviations, at every class and table size; a deviation is the quartile
     distance over 1.349, or ``least`` if that is more. No band goes below ``floor`` or above
-    ``ceiling`` times the curve. Texts under ``short`` bytes are not judged by their whole. A
-    text fails too if over half of its full chunks lie outside the band of all documents'
-    middle chunk ratios, drawn in the same way.
+    ``ceiling`` times the curve. A text fails too if over half of its chunks lie outside the band of all documents'
+    middle chunk ratios, drawn in the same way, whether above it or below. Chunks are of ``chunk`` bytes; the last
+    one reaches back so far that it is full. Texts shorter than that have none and are judged by their whole; under
+    some 250 bytes random words compress hardly worse than short prose does, and pass.
     """
 
     chunk: int = 1_024
-    short: int = 200
     width: float = 4.5
     least: float = 0.02
     enough: int = 40
@@ -81,16 +81,18 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
     )
 
 
-def ratios(data: bytes, chunk: int, compressor: zstandard.ZstdCompressor) -> tuple[float, float | None]:
-    """Ratio of the whole, and the middle (lower median) ratio of the full chunks, if any."""
-    parts = sorted(
-        chunk / len(compressor.compress(data[i : i + chunk])) for i in range(0, len(data) - chunk + 1, chunk)
-    )
-    return len(data) / len(compressor.compress(data)), parts[(len(parts) - 1) // 2] if parts else None
+def ratios(data: bytes, chunk: int, compressor: zstandard.ZstdCompressor) -> tuple[float, float | None, list[float]]:
+    """Ratio of the whole, the middle (lower median) ratio of the chunks, if any, and each chunk's."""
+    starts = list(range(0, len(data) - chunk + 1, chunk))
+    if starts and len(data) % chunk:
+        starts.append(len(data) - chunk)
+    parts = [chunk / len(compressor.compress(data[i : i + chunk])) for i in starts]
+    middle = sorted(parts)[(len(parts) - 1) // 2] if parts else None
+    return len(data) / len(compressor.compress(data)), middle, parts
 
 
 def measure(df: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame:
-    """``df`` with the base counts, ``base_failed``, ``n_bytes``, ``ratio`` and ``chunk_ratio``.
+    """``df`` with the base counts, ``base_failed``, ``n_bytes``, ``ratio``, ``chunk_ratio`` and ``chunk_ratios``.
 
     ``base_failed``: under 10 words, or over 20 % of the words in repeated windows of
     five. A null text counts as empty. Columns of these names are replaced, others
@@ -114,7 +116,7 @@ def measure(df: DataFrame, rule: Rule = Rule(), text: str = "text") -> DataFrame
     fields = {
         "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint",
         "n_repeat_words": "bigint", "base_failed": "boolean", "n_bytes": "bigint", "ratio": "double",
-        "chunk_ratio": "double",
+        "chunk_ratio": "double", "chunk_ratios": "array<double>",
     }
     return frames.extend(df, [frames.col(text)], start, fields)
 
@@ -191,8 +193,9 @@ def judge(measured: DataFrame, limits: Bands, rule: Rule = Rule()) -> DataFrame:
     """``measured`` with ``kept``: not base_failed, and all ratios in their bands. Native expressions only."""
     by_class = [limits.whole[k] for k in sorted(limits.whole)]  # classes count from 0
     low, high = (F.get(F.array(*[F.lit(band[side]) for band in by_class]), length_class()) for side in (0, 1))
-    whole = (F.col("n_bytes") < rule.short) | F.col("ratio").between(low, high)
-    chunk = F.col("chunk_ratio").isNull() | F.col("chunk_ratio").between(*limits.chunk)
+    whole = F.col("ratio").between(low, high)
+    outside = F.size(F.filter("chunk_ratios", lambda ratio: ~ratio.between(*limits.chunk)))
+    chunk = 2 * outside <= F.size("chunk_ratios")
     return measured.withColumn("kept", ~F.col("base_failed") & F.coalesce(whole & chunk, F.lit(True)))
 
 
