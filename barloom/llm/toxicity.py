@@ -187,13 +187,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rule: Rule, doc_id: str,
     """(body, toxic) of the labelled documents to learn from: never held-out ones, at most ``rule.labelled``.
 
     The labels (a row of two numbers each, at most ``rule.labelled``) are broadcast, so
-    the documents are filtered where they lie. Null labels, ids and texts are left out.
+    the documents are filtered where they lie. Null labels, ids and texts are left out; of
+    documents that share a labelled id, the one of least hash is taken, so the bound holds for them too.
     """
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(rule.labelled)
     body = docs.select(frames.col(doc_id).cast("bigint").alias("_id"), frames.col(text).alias("body"))
-    return body.where("body is not null").join(F.broadcast(known), "_id").select("body", "toxic")
+    met = body.where("body is not null").join(F.broadcast(known), "_id")
+    one = met.groupBy("_id", "toxic").agg(F.min_by("body", F.struct(F.xxhash64("body"), "body")).alias("body"))
+    return one.select("body", "toxic")
 
 
 def mine(sample: DataFrame, rule: Rule) -> list[str]:
