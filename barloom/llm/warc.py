@@ -22,6 +22,9 @@ from barloom.sources.scratch import materialize
 #: Bytes of records in a file, about; a file is read whole by one task.
 FILE_BYTES = 16_000_000
 
+#: Copies of a repeated page written by one task; before they are dealt to tasks, the page is held once a bundle.
+BUNDLE = 256
+
 END = "\r\n"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -72,7 +75,7 @@ def records(
 
     Payloads never move by their digest: ids and digests are counted first, with
     map-side sums, and written; the payload is joined by page. Repeated rows are met
-    with map-side counts, one payload each, then dealt by their number.
+    with map-side counts, one payload each, then dealt in bundles of their numbers.
     """
     body = F.coalesce(frames.col(html), F.lit(""))
     source = pages.select(
@@ -97,10 +100,12 @@ def records(
     if repeated:
         columns = ["page_id", "url", "body", "digest"]
         many = source.groupBy("key").agg(*[F.first(c).alias(c) for c in columns], F.count("*").alias("n")).where("n > 1")
-        many = many.join(copies, "key", "left").select(
-            "key", *columns, "first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("number")
-        )
-        whole = whole.unionByName(many.repartition(*[files] * bool(files), "key", "number"))
+        bundles = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / BUNDLE))
+        many = many.join(copies, "key", "left").withColumn("bundle", F.explode(bundles))
+        many = many.repartition(*[files] * bool(files), "key", "bundle")
+        last = F.least(F.col("bundle") * BUNDLE + BUNDLE, F.col("n")) - 1
+        many = many.select("key", *columns, "first", F.explode(F.sequence(F.col("bundle") * BUNDLE, last)).alias("number"))
+        whole = whole.unionByName(many)
     own = _urn("response", F.col("key"), F.col("number"))
     refers = F.when(F.col("first").isNotNull(), _urn("response", F.col("first"), F.lit(0)))
     at = [("WARC-Target-URI", F.regexp_replace("url", "[\r\n]", "")), ("WARC-Date", F.lit("2024-01-01T00:00:00Z"))]
