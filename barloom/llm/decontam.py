@@ -150,7 +150,7 @@ class Rule:
 def blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> list[list[tuple[int, str]]]:
     """Items in blocks of at most about ``size`` bytes, fetched block by block."""
     items = benchmark.select(frames.col(item_id).alias("id"), frames.col(text).alias("body"))
-    items = items.where("id is not null and body is not null")
+    items = items.where("body is not null")
     total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     n = -(-total // size) if total else 0
     if n <= 1:
@@ -174,7 +174,8 @@ def scan(
 
     ``spans`` are the hit runs of words, flat: start, end (exclusive), start, ... A word
     inside any occurrence of a window is hit. A null or empty text has no words and is
-    clean; null items, and items without words, have no window. Columns of the new names
+    clean; null items, and items without words, have no window; the windows of an item without
+    an id count as hit, but it is not among ``items``. Columns of the new names
     are replaced, others kept; repeated rows are judged alike; an empty benchmark finds
     nothing. Documents are read in place, without a shuffle. A benchmark over
     ``block_bytes`` is held block by block: all documents are read against each block in
@@ -206,7 +207,7 @@ def scan(
                         spans.append([a, b])
                 n, hit = len(document), sum(b - a for a, b in spans)
                 flat = [x for span in spans for x in span]
-                row = n, hit, sorted(map(str, ids)), longest, flat, hit > 0 and share * hit >= n
+                row = n, hit, sorted(str(i) for i in ids if i is not None), longest, flat, hit > 0 and share * hit >= n
                 yield (*row, without_runs(body, flat)) if cut else row
 
         return work

@@ -85,9 +85,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
-    # As in OP9_SQL, a page without an id is no payload's first; its archived record is a response all the same.
-    kind = F.when(F.col("page_id").isNull(), F.lit("revisit")).otherwise(F.col("record_type"))
-    return warc.captures(spark, path).withColumn("record_type", kind)
+    return warc.captures(spark, path)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +157,7 @@ dwin as (
 ), met as (select doc_id, item_id, k, i from dwin join win using (k, x)),
 hit as (select doc_id, count(distinct p) as n from (
   select doc_id, unnest(range(i, i + k)) as p from met) group by doc_id),
-items as (select doc_id, count(*) as n, string_agg(id, ',' order by id) as ids from (
+items as (select doc_id, count(id) as n, string_agg(id, ',' order by id) as ids from (
   select distinct doc_id, cast(item_id as varchar) as id from met) group by doc_id)
 select dw.doc_id, cast(len(w) as bigint) as n_words, coalesce(hit.n, 0) as n_hit, coalesce(items.n, 0) as n_items,
   sha256(coalesce(ids, '')) as items_sha256,
@@ -178,8 +176,8 @@ with p as (
   from p
 ), f as (select *, max(page_id) over (partition by b) as first from d)
 select page_id, cast(n as bigint) as payload_bytes, b as payload_digest,
-  case when page_id = first then 'response' else 'revisit' end as record_type,
-  case when page_id <> first then first end as refers_to
+  case when page_id < first then 'revisit' else 'response' end as record_type,
+  case when page_id < first then first end as refers_to
 from f
 """
 
