@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm import frames
-from barloom.sources.scratch import materialize
+from barloom.sources.scratch import materialize, new_path
 
 
 @dataclass(frozen=True)
@@ -157,23 +157,24 @@ class Reader:
 
 _PLACES = {
     "high": pa.int64(), "low": pa.int32(), "id": pa.int64(), "version": pa.int64(),
-    "start": pa.int32(), "until": pa.int32(), "s0": pa.int32(), "s1": pa.int32(),
+    "start": pa.int32(), "size": pa.int32(), "sentence": pa.int32(), "more": pa.int32(),
 }
-_PLACES_DDL = "high bigint, low int, id bigint, version bigint, start int, until int, s0 int, s1 int"
+_PLACES_DDL = "high bigint, low int, id bigint, version bigint, start int, size int, sentence int, more int"
 
 #: Texts laid out before their places are handed on.
 SLICE = 64
 
 
 def _runs(one: int, version: int, found: Layout) -> list[np.ndarray]:
-    """The columns of a text's places."""
+    """The columns of a text's places: hash, place, size in bytes, first sentence and how many more it reaches into."""
     n = len(found.first)
-    ends = [found.sentence[found.first], found.sentence[found.end - 1]]
-    return [found.high, found.low >> 32, np.full(n, one), np.full(n, version), found.offset(found.first), found.offset(found.end), *ends]
+    start, sentence = found.offset(found.first), found.sentence[found.first]
+    more = found.sentence[found.end - 1] - sentence
+    return [found.high, found.low >> 32, np.full(n, one), np.full(n, version), start, found.offset(found.end) - start, sentence, more]
 
 
 def _places(rule: Rule):
-    """(id, version, text) batches to a row per run, and one per text, without a hash, with its sentences in ``s1``."""
+    """(id, version, text) batches to a row per run, and one per text, without a hash, with its sentences in ``more``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(rule)
@@ -205,6 +206,8 @@ def _stream():
 
     def table(columns: list[np.ndarray], chosen: np.ndarray, sure: bool) -> pa.RecordBatch:
         picked = [pa.array(c[chosen]) for c in columns]
+        if sure:  # the hash has done its work
+            picked[:2] = [pa.nulls(len(picked[0]), kind) for kind in list(_PLACES.values())[:2]]
         return pa.RecordBatch.from_arrays([*picked, pa.array(np.full(len(picked[0]), sure))], names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,13 +254,17 @@ def _later(runs: DataFrame) -> DataFrame:
     streamed = materialize(ordered.mapInArrow(_stream(), _STREAMED_DDL), "streamed")
     code = Window.partitionBy("high", "low")
     ends = streamed.where("not sure").withColumn("first", F.min(F.struct(*place)).over(code))
-    columns = [*place, "until", "s0", "s1"]
+    columns = [*place, "size", "sentence", "more"]
     others = ends.where(F.struct(*place) > F.col("first"))
     return streamed.where("sure").select(columns).unionByName(others.select(columns)).distinct()
 
 
 def _cuts(later: DataFrame) -> DataFrame:
     """(id, version, cuts, removed): stretches of bytes to cut, in order and apart, and how many sentences they touch."""
+    later = later.select(
+        "id", "version", "start", (F.col("start") + F.col("size")).alias("until"),
+        F.col("sentence").alias("s0"), (F.col("sentence") + F.col("more")).alias("s1"),
+    )
     own = Window.partitionBy("id", "version")
     along = own.orderBy("start", "until")
     reach = F.max("until").over(along.rowsBetween(Window.unboundedPreceding, -1))
@@ -296,9 +303,12 @@ def dedup(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str
         F.xxhash64(body).alias("version"),
         body.alias("body"),
     )
-    places = materialize(rows.select("id", "version", "body").mapInArrow(_places(rule), _PLACES_DDL), "places")
+    path = new_path(df.sparkSession, "places")
+    found = rows.select("id", "version", "body").mapInArrow(_places(rule), _PLACES_DDL)
+    found.write.option("compression", "zstd").parquet(path)  # the largest table by far, written and read once
+    places = df.sparkSession.read.schema(found.schema).parquet(path)
     cuts = _cuts(_later(places.where("high is not null")))
-    texts = places.where("high is null").groupBy("id", "version").agg(F.max("s1").cast("bigint").alias("sentences"))
+    texts = places.where("high is null").groupBy("id", "version").agg(F.max("more").cast("bigint").alias("sentences"))
     told = materialize(texts.join(cuts, ["id", "version"], "left"), "cuts").hint("merge")
 
     same = F.col("r.id").eqNullSafe(F.col("t.id")) & (F.col("r.version") == F.col("t.version"))

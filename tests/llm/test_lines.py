@@ -44,7 +44,7 @@ def result(df, rule):
 @pytest.fixture
 def many_partitions(spark):
     """Partitions are neither joined nor few, so that hashes lie across their ends."""
-    names = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    names = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "20"}
     before = {name: spark.conf.get(name) for name in names}
     for name, value in names.items():
         spark.conf.set(name, value)
@@ -59,7 +59,7 @@ def test_shared_lines_stay_in_the_last_document_only(spark, many_partitions):
     some += ["a third of all lines"] * 6 + [f"rare line {i}" for i in range(60)]
     rows = [(random.choice([None, *range(40)]), "\n".join(random.choices(some, k=random.randrange(1, 12)))) for _ in range(150)]
     rows += [(7, None), (8, ""), (9, "\n\n"), (50, "ab" * 4)] + [(51, "a third of all lines\n" * 30)] * 5
-    for least in (1, 2, 5):
+    for least in (1, 5):
         rule = lines.Rule(least_chars=8, least_documents=least)
         df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
         want = []
