@@ -52,7 +52,8 @@ def asof_join(
     ``slice_of`` the time (a function that never decreases: days unless given), so a key with a
     third of all rows is sorted by as many tasks as it has slices. What a slice
     begins with, one row each, is carried over from the last slice before that has a right row:
-    an aggregate that combines on the map side, and a window over a key's slices.
+    an aggregate that combines on the map side, and a window over a key's slices. Both sides are read
+    for that and again for the join, so pass written tables where they are dear.
     """
     _refuse_clashes(left.columns, values)
     keys = [f"k{i}" for i in range(len(by))]
