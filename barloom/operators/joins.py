@@ -129,19 +129,20 @@ def interval_join(
     Columns of both, ``by`` once. Intervals may overlap and repeat; those without a key, start or
     end, or that end before they start, hold no point, and points without a key or time lie in none.
 
-    Time is cut into bins per class of length: an interval under 2^c long lies in bins of
+    Time is cut into bins per class of length: an interval under 2^c long, c a multiple of ``split``, lies in bins of
     2^(c - ``split``), 2^``split`` + 1 of them at most, and a point in one bin per class. So both meet by
     equality, with no loop over all pairs: an interval over the whole history costs as few rows as a
-    short one, and a bin that holds a pair's interval is at most a few times as wide as
+    short one, and a bin that holds a pair's interval is no longer than
     it. The points of a key that holds a third of them are spread over its bins. Classes are
-    64 at most; those that occur come to the driver.
+    64 over ``split`` at most; those that occur come to the driver.
     """
     others = [name for name in intervals.columns if name.lower() not in {b.lower() for b in by}]
     _refuse_clashes(points.columns, others)
     keys = [f"k{i}" for i in range(len(by))]
     named = [_name(name).alias(key) for name, key in zip(by, keys)]
     lengths = F.col("last") - F.col("first")
-    bits = F.when(lengths == 0, 0).otherwise(F.length(F.bin(lengths)))
+    step = max(split, 1)
+    bits = F.ceil(F.when(lengths == 0, 0).otherwise(F.length(F.bin(lengths))) / step).cast("int") * step
     sound = intervals.where(_none_null([*by, start, end])).select(
         *named, _whole(intervals, start).alias("first"), _whole(intervals, end).alias("last"), _row(intervals, others).alias("interval")
     ).where("first <= last").withColumn("class", F.greatest(bits - split, F.lit(0)))
