@@ -1,9 +1,11 @@
 """The tables under the usual price charts, small enough to draw. No drawing here."""
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,12 @@ from barloom.functions.windows import by_day, whole_symbol
 from barloom.operators.indicators import daily_return
 from barloom.sources.scratch import materialize
 
-SYMBOLS_PER_BLOCK = 64
+#: The most series, and the most returns, that a block of the correlation is meant to hold: 12 bytes a return.
+SYMBOLS_PER_BLOCK, VALUES_PER_BLOCK = 8192, 4_000_000
+#: So many blocks at least, unless they would hold fewer series than this.
+LEAST_BLOCKS, SYMBOLS_TO_SPREAD = 8, 64
+#: Within a block, series are laid out so many at a time, in so many cells (symbols by days), at most.
+SYMBOLS_PER_TILE, CELLS_PER_TILE = 512, 2**21
 
 
 def chart_line(bars: DataFrame, points: int = 50) -> DataFrame:
@@ -134,63 +141,92 @@ _PAIRS = "symbol_a string, symbol_b string, n bigint, correlation double"
 
 
 def _block_correlator(min_days: int):
-    """The pandas function for one pair of symbol blocks.
+    """The Arrow function for one pair of symbol blocks.
+
+    It holds the series of both as they came, and lays them out over the days a tile of symbols
+    at a time: the more days, the fewer symbols, so a tile and the pairs made of two have
+    a bounded size.
 
     Made here so that it is sent to the executors by value: they need numpy and
-    pandas, not this package.
+    pyarrow, not this package.
     """
-
-    def grid(rows: pd.DataFrame, days: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Returns centred per symbol, and a 0/1 presence mask, both symbols x days."""
-        values = np.zeros((len(rows), len(days)))
-        present = np.zeros_like(values)
-        for i, (d, r) in enumerate(zip(rows["days"], rows["rets"])):
-            at = np.searchsorted(days, d)
-            values[i, at] = r - np.mean(r)
-            present[i, at] = 1.0
-        return values, present
-
-    def correlate(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        left_block, right_block = key
-        rows = rows.sort_values("symbol")
-        days = np.unique(np.concatenate(rows["days"].to_list()))
-        left, right = rows[rows["block"] == left_block], rows[rows["block"] == right_block]
-        x, in_x = grid(left, days)
-        y, in_y = (x, in_x) if left_block == right_block else grid(right, days)
-
-        n = in_x @ in_y.T
-        with np.errstate(divide="ignore", invalid="ignore"):
-            mean_x, mean_y = (x @ in_y.T) / n, (in_x @ y.T) / n
-            cov = (x @ y.T) / n - mean_x * mean_y
-            var_x = (x**2 @ in_y.T) / n - mean_x**2
-            var_y = (in_x @ (y**2).T) / n - mean_y**2
-            corr = cov / np.sqrt(var_x * var_y)
-            # A variance that rounding could have made: look at the shared days themselves.
-            noise = (var_x <= 1e-9 * (var_x + mean_x**2)) | (var_y <= 1e-9 * (var_y + mean_y**2))
-        for a, b in zip(*np.nonzero(noise & (n > 0))):
-            shared = (in_x[a] > 0) & (in_y[b] > 0)
-            own_x, own_y = x[a, shared], y[b, shared]
-            flat = np.ptp(own_x) == 0 or np.ptp(own_y) == 0
-            corr[a, b] = np.nan if flat else np.corrcoef(own_x, own_y)[0, 1]
-        corr[n < min_days] = np.nan
-        wanted = n > 0
-        if left_block == right_block:
-            wanted &= np.triu(np.ones_like(wanted), k=1)
-        i, j = np.nonzero(wanted)
-        a, b = left["symbol"].to_numpy(object)[i], right["symbol"].to_numpy(object)[j]
-        swap = a > b
-        return pd.DataFrame(
-            {
-                "symbol_a": np.where(swap, b, a),
-                "symbol_b": np.where(swap, a, b),
-                "n": n[i, j].astype("int64"),
-                "correlation": corr[i, j],
-            }
-        )
+    most_symbols, most_cells = SYMBOLS_PER_TILE, CELLS_PER_TILE
+
+    def correlate(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left_block, right_block = (k.as_py() for k in key)
+        rows = pa.Table.from_batches(list(batches))
+        rows = rows.take(pc.sort_indices(rows["symbol"])).combine_chunks()
+        symbols, block = rows["symbol"].combine_chunks(), rows["block"].to_numpy()
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(rows["days"]).to_numpy())])
+        dates, at = np.unique(pc.list_flatten(rows["days"]).to_numpy(), return_inverse=True)
+        at = at.astype("int32")
+        rets = pc.list_flatten(rows["rets"]).to_numpy().copy()
+        for begin, end in zip(ends[:-1], ends[1:]):
+            rets[begin:end] -= np.mean(rets[begin:end])
+        tile = max(1, min(most_symbols, most_cells // len(dates)))
+
+        def tiles(of: int) -> list[np.ndarray]:
+            own = np.flatnonzero(block == of)
+            return [own[i : i + tile] for i in range(0, len(own), tile)]
+
+        def grid(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Returns centred per symbol, and a 0/1 presence mask, both symbols x days."""
+            values = np.zeros((len(own), len(dates)))
+            present = np.zeros_like(values)
+            for i, k in enumerate(own):
+                days = at[ends[k] : ends[k + 1]]
+                values[i, days] = rets[ends[k] : ends[k + 1]]
+                present[i, days] = 1.0
+            return values, present
+
+        lefts, rights = tiles(left_block), tiles(right_block)
+        for p, left in enumerate(lefts):
+            x, in_x = grid(left)
+            squares_x = x**2
+            for q, right in enumerate(rights):
+                same = left_block == right_block and p == q
+                if left_block == right_block and q < p:
+                    continue
+                y, in_y = (x, in_x) if same else grid(right)
+                n = in_x @ in_y.T
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    mean_x, mean_y = (x @ in_y.T) / n, (in_x @ y.T) / n
+                    cov = (x @ y.T) / n - mean_x * mean_y
+                    var_x = (squares_x @ in_y.T) / n - mean_x**2
+                    var_y = (in_x @ (y**2).T) / n - mean_y**2
+                    corr = cov / np.sqrt(var_x * var_y)
+                    # A variance that rounding could have made: look at the shared days themselves.
+                    noise = (var_x <= 1e-9 * (var_x + mean_x**2)) | (var_y <= 1e-9 * (var_y + mean_y**2))
+                wanted = n > 0
+                if same:
+                    wanted &= np.triu(np.ones_like(wanted), k=1)
+                for a, b in zip(*np.nonzero(noise & wanted & (n >= min_days))):
+                    shared = (in_x[a] > 0) & (in_y[b] > 0)
+                    own_x, own_y = x[a, shared], y[b, shared]
+                    flat = np.ptp(own_x) == 0 or np.ptp(own_y) == 0
+                    corr[a, b] = np.nan if flat else np.corrcoef(own_x, own_y)[0, 1]
+                corr[n < min_days] = np.nan
+                i, j = np.nonzero(wanted)
+                a, b = left[i], right[j]  # places in the order of the symbols
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        symbols.take(pa.array(np.minimum(a, b))),
+                        symbols.take(pa.array(np.maximum(a, b))),
+                        pa.array(n[i, j].astype("int64")),
+                        pa.array(corr[i, j]),
+                    ],
+                    ["symbol_a", "symbol_b", "n", "correlation"],
+                )
 
     return correlate
 
 
+def _blocks(symbols: int, values: int, symbols_per_block: int) -> int:
+    """How many blocks: few, as a series is copied once for each, but enough that the pairs of blocks keep a cluster busy."""
+    spread = min(LEAST_BLOCKS, -(-symbols // SYMBOLS_TO_SPREAD))
+    return max(1, spread, -(-symbols // symbols_per_block), -(-values // VALUES_PER_BLOCK))
+
+
 def chart_correlation(
     bars: DataFrame,
     min_days: int = 3,
@@ -201,14 +237,15 @@ def chart_correlation(
 
     It is null for pairs that share fewer than ``min_days``.
 
-    The result, and with it the copying, grows with the square of the symbols: of very
+    The result grows with the square of the symbols: of very
     many, pass the ``chosen`` ones (column ``symbol``), and the others drop out first.
 
     A blocked matrix product. A self-join on the date would emit every pair of
     symbols once per day; here a symbol's series is one row, copied once per
-    block of symbols, and a task sees the series of two blocks only. Both bounds
-    are fixed: a block pair holds about ``2 x symbols_per_block`` series of at
-    most one value per calendar day. The series are written to the shared folder
+    block of symbols, and a task sees the series of two blocks only. There are ``LEAST_BLOCKS`` blocks
+    until one would hold more than ``symbols_per_block`` series or ``VALUES_PER_BLOCK`` returns; up to there
+    the copies grow with the input, and beyond it they are few beside the pairs they
+    yield. The series are written to the shared folder
     first, so that counting symbols does not repeat the work above.
     """
     if chosen is not None:
@@ -224,14 +261,15 @@ def chart_correlation(
         ),
         "return_series",
     )
-    blocks = max(1, -(-series.count() // symbols_per_block))
+    held = series.agg(F.count(F.lit(1)).alias("symbols"), F.sum(F.size("days")).alias("values")).first()
+    blocks = _blocks(held["symbols"], held["values"] or 0, symbols_per_block)
     mine = F.pmod(F.xxhash64("symbol"), F.lit(blocks)).cast("int")
     placed = series.withColumn("block", mine).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
     pairs = placed.groupBy(
         F.least("block", "other").alias("left_block"), F.greatest("block", "other").alias("right_block")
-    ).applyInPandas(_block_correlator(min_days), _PAIRS)
+    ).applyInArrow(_block_correlator(min_days), _PAIRS)
     return pairs.withColumn(
         "correlation",
         F.when(~F.isnan("correlation"), F.round("correlation", 9)),

@@ -2,10 +2,12 @@
 
 import datetime
 import random
+import re
 
 import pytest
 from conftest import by_key
 from pyspark.sql import functions as F
+from test_plans import plan_of
 
 from barloom.operators import bars as bar_ops
 from barloom.operators import charts, forecast, history, indicators, quality
@@ -114,6 +116,28 @@ def test_correlation_is_the_same_for_any_blocking(random_bars):
     assert len(some) == 3 and some == rows_of(among)
 
 
+def test_correlation_is_the_same_for_any_tiling(random_bars, monkeypatch):
+    bars = random_bars(8, symbols=9)
+    want = rows_of(charts.chart_correlation(bars))
+    for cells in [1, 150]:
+        monkeypatch.setattr(charts, "CELLS_PER_TILE", cells)
+        for size in [4, 64]:
+            assert rows_of(charts.chart_correlation(bars, symbols_per_block=size)) == want
+
+
+def test_copies_of_a_series_do_not_grow_with_the_symbols(spark):
+    def copies(symbols):
+        key = F.col("id") % symbols
+        day, close = F.date_add(F.lit(START), F.floor(F.col("id") / symbols).cast("int")), 100 + F.pmod(F.xxhash64("id"), F.lit(50))
+        bars = spark.range(3 * symbols).select(key.cast("string").alias("symbol"), day.alias("trade_date"), close.alias("close_c"))
+        pairs = charts.chart_correlation(bars, min_days=2)
+        assert pairs.count() == symbols * (symbols - 1) // 2
+        (blocks,) = re.findall(r"pmod\(xxhash64\(symbol#\d+, 42\), (\d+)\)", plan_of(pairs))
+        return int(blocks)
+
+    assert copies(600) == copies(1_200) == 8
+
+
 def test_pairs_of_few_shared_days_have_n_and_no_correlation(make_bars):
     days = {"A": range(2, 8), "B": range(2, 8), "C": range(6, 12), "D": range(20, 24)}
     rows = [(s, f"2024-01-{d:02d}", c, c, c, c, 1) for s in days for d in days[s] for c in [100 + d * d % 7 + ord(s)]]
