@@ -101,17 +101,22 @@ def asof_join(
     return matched.unionByName(lost)
 
 
-def _whole(df: DataFrame, name: str) -> Column:
-    """A day, instant or whole number as a number."""
+#: How many bins an interval may lie in, for the sake of fewer classes.
+BINS_PER_INTERVAL = 1024
+
+
+def _whole(df: DataFrame, name: str, inside: str | None = None) -> Column:
+    """A day, instant or whole number as a number; ``inside`` names the struct it has been put in."""
     kind = df.schema[name].dataType
+    value = F.col(inside).getField(name) if inside else _name(name)
     if isinstance(kind, T.DateType):
-        return F.unix_date(_name(name)).cast("bigint")
+        return F.unix_date(value).cast("bigint")
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(_name(name))
+        return F.unix_micros(value)
     if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(utc_instant(_name(name)))
+        return F.unix_micros(utc_instant(value))
     if isinstance(kind, T.IntegralType):
-        return _name(name).cast("bigint")
+        return value.cast("bigint")
     raise ValueError(f"{name} is neither a day, an instant nor a whole number")
 
 
@@ -134,30 +139,61 @@ def interval_join(
     equality, with no loop over all pairs: an interval over the whole history costs as few rows as a
     short one, and a bin that holds a pair's interval is no longer than
     it. The points of a key that holds a third of them are spread over its bins. Classes are
-    64 over ``split`` at most; those that occur come to the driver.
+    64 over ``split`` at most; those that occur come to the driver, with their numbers of intervals.
+
+    A point is copied once per class, so where long intervals are few beside the others, they take the bins of a lower class:
+    the lowest that at most doubles the bins all intervals may lie in, with ``BINS_PER_INTERVAL`` for any.
     """
     others = [name for name in intervals.columns if name.lower() not in {b.lower() for b in by}]
     _refuse_clashes(points.columns, others)
     keys = [f"k{i}" for i in range(len(by))]
     named = [_name(name).alias(key) for name, key in zip(by, keys)]
-    lengths = F.col("last") - F.col("first")
-    step = max(split, 1)
-    bits = F.ceil(F.when(lengths == 0, 0).otherwise(F.length(F.bin(lengths))) / step).cast("int") * step
-    sound = intervals.where(_none_null([*by, start, end])).select(
-        *named, _whole(intervals, start).alias("first"), _whole(intervals, end).alias("last"), _row(intervals, others).alias("interval")
-    ).where("first <= last").withColumn("class", F.greatest(bits - split, F.lit(0)))
-    classes = sorted(row["class"] for row in sound.select("class").distinct().collect())
+    first, last = _whole(intervals, start, "interval"), _whole(intervals, end, "interval")
+    now = _whole(points, at, "point")
+    bounds = [name for name in (start, end) if name.lower() not in {other.lower() for other in others}]
+    own = [name for name in points.columns if name not in by or name.lower() == at.lower()]
 
-    def bin_of(name: str) -> Column:
-        return F.call_function("shiftright", F.col(name), F.col("class"))
-
-    binned = sound.withColumn("bin", F.explode(F.sequence(bin_of("first"), bin_of("last"))))
+    step = max(split, 1)
+    bits = F.ceil(F.when(last == first, 0).otherwise(F.length(F.bin(last - first))) / step).cast("int") * step
+    sound = intervals.where(_none_null([*by, start, end])).select(*named, _row(intervals, [*others, *bounds]).alias("interval"))
+    sound = sound.where(first <= last).withColumn("class", F.greatest(bits - split, F.lit(0)))
+    held = {row["class"]: row["count"] for row in sound.groupBy("class").count().collect()}
+    highest = _highest_class(held, split, step)
+    classes = sorted({min(c, highest) for c in held})
+
+    def bin_of(value: Column) -> Column:
+        return F.call_function("shiftright", value, F.col("class"))
+
+    # No row has a number beside the value that it is made from: every byte here is shuffled, once per class or bin.
+    binned = sound.withColumn("class", F.least("class", F.lit(highest))).withColumn(
+        "bin", F.explode(F.sequence(bin_of(first), bin_of(last)))
+    )
     placed = points.where(_none_null([*by, at])).select(
-        *named, _whole(points, at).alias("now"), _row(points, points.columns).alias("point"),
+        *named, _row(points, own).alias("point"),
         F.explode(F.array(*[F.lit(c) for c in classes]).cast("array<int>")).alias("class"),
-    ).withColumn("bin", bin_of("now"))
-    met = placed.join(binned, [*keys, "class", "bin"]).where("now between first and last")
-    return met.select("point.*", "interval.*")
+    )
+    p, i = placed.alias("p"), binned.alias("i")
+    same = F.lit(True)
+    for key in [*keys, "class"]:
+        same &= F.col(f"p.{key}") == F.col(f"i.{key}")
+    same &= F.call_function("shiftright", now, F.col("p.class")) == F.col("i.bin")
+    # Intervals are many times what they were once laid in bins, so their size as stored must not have them broadcast.
+    met = p.join(i.hint("merge"), same & now.between(first, last))
+    key_of = {name: F.col(f"p.{key}") for name, key in zip(by, keys)}
+    columns = [key_of.get(name, F.col("point").getField(name)).alias(name) for name in points.columns]
+    return met.select(*columns, *[F.col("interval").getField(name).alias(name) for name in others])
+
+
+def _highest_class(held: dict[int, int], split: int, step: int) -> int:
+    """The class that higher ones are put in, for intervals of so many per class: see ``interval_join``."""
+    top = max(held, default=0)
+    for c in range(0, top, step):
+        if 2 ** (top + split - c) > BINS_PER_INTERVAL:
+            continue
+        bins = sum(n * (1 + 2 ** (split + max(own - c, 0))) for own, n in held.items())
+        if bins <= 2 * (1 + 2**split) * sum(held.values()):
+            return c
+    return top
 
 
 def under_water(bars: DataFrame) -> DataFrame:

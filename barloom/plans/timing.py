@@ -115,7 +115,8 @@ def drawdown_episodes(spark, sf_dir):
 def bars_in_episodes(spark, sf_dir):
     """Every bar with every episode of its symbol that it lies in."""
     bars = materialize(order_bars(spark, sf_dir).select(*KEY, "close_c"), "bars")
-    return joins.interval_join(bars, _episodes(bars), ["symbol"], "trade_date", "start_date", "end_date")
+    episodes = materialize(_episodes(bars), "episodes")
+    return joins.interval_join(bars, episodes, ["symbol"], "trade_date", "start_date", "end_date")
 
 
 @query(
@@ -128,8 +129,9 @@ def bars_in_episodes(spark, sf_dir):
 )
 def episode_stats(spark, sf_dir):
     """What happened within each episode, over many symbols."""
-    bars = materialize(supplier_bars(spark, sf_dir), "bars")
-    met = joins.interval_join(bars, _episodes(bars), ["symbol"], "trade_date", "start_date", "end_date")
+    bars = materialize(supplier_bars(spark, sf_dir).drop("open_c"), "bars")
+    episodes = materialize(_episodes(bars), "episodes")
+    met = joins.interval_join(bars, episodes, ["symbol"], "trade_date", "start_date", "end_date")
     return met.groupBy("symbol", "kind", "start_date", "end_date").agg(
         F.count(F.lit(1)).alias("n_bars"),
         F.min("low_c").alias("low_c"),

@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import re
 
 import pytest
 from conftest import by_key
@@ -128,6 +129,40 @@ def test_a_whole_history_costs_few_rows(spark):
     assert length.bit_length() - 3 > 0 and (length >> (length.bit_length() - 3)) <= 8
 
 
+def test_few_long_intervals_add_no_copies_of_points(spark):
+    """Nor does a row carry a number beside the value it is made from."""
+    day = datetime.date(2000, 1, 1)
+    spans = [("a", day, day + datetime.timedelta(days=n)) for n in [*range(1, 8)] * 60 + [90, 100]]
+    a = spark.createDataFrame([("a", day)], "symbol string, day date")
+    b = spark.createDataFrame(spans, "symbol string, first date, last date")
+    joined = joins.interval_join(a, b, ["symbol"], "day", "first", "last")
+    assert joined.count() == len(spans) and joined.columns == ["symbol", "day", "first", "last"]
+    plan = plan_of(joined)
+    assert "Generate explode([0])" in plan
+    (shuffled,) = re.findall(r"Project \[(symbol#.*point#\d+, class#\d+.*)\]", plan)
+    assert shuffled.count(" AS ") == 2
+
+
+def test_long_intervals_take_the_bins_of_a_lower_class_where_they_are_few():
+    highest = lambda held: joins._highest_class(held, 3, 3)
+    assert highest({}) == 0 and highest({9: 5}) == 9 and highest({0: 5, 9: 5}) == 9
+    assert highest({0: 600, 3: 600, 6: 12, 9: 15}) == 3 and highest({0: 1_000, 6: 1}) == 0
+    assert highest({0: 10**9, 48: 1}) == 42  # one interval in 513 bins at most, not in millions
+
+
+def test_long_intervals_among_many_short_ones_equal_brute_force(spark):
+    """Bins shorter than those of the longest class, before and after 0, with a hot key."""
+    random.seed(45)
+    points = [(i, random.choice(["hot", "hot", "a"]), random.randrange(-3_000, 3_000)) for i in range(400)]
+    spans = [(random.choice(["hot", "hot", "a"]), s, s + random.choice([0, 1, 5, 9, 30])) for s in (random.randrange(-3_000, 3_000) for _ in range(300))]
+    spans += [("hot", -3_000, 3_000), ("a", -2_999, 1_500), ("a", -64, 63), ("hot", -513, -1)]
+    want = sorted((i, *span) for i, key, now in points for span in spans if key == span[0] and span[1] <= now <= span[2])
+    a = spark.createDataFrame(points, "id int, symbol string, now bigint")
+    b = spark.createDataFrame(spans, "symbol string, first bigint, last bigint")
+    got = joins.interval_join(a, b, ["symbol"], "now", "first", "last")
+    assert sorted((r.id, r.symbol, r.first, r.last) for r in got.collect()) == want
+
+
 def test_drawdowns(make_bars):
     closes = [10, 9, 8, 10, 12, 11, 12, 13, 5]
     bars = make_bars([("A", f"2024-01-{i + 1:02d}", c, c, c, c, 1) for i, c in enumerate(closes)])
