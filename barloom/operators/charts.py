@@ -235,7 +235,7 @@ def chart_correlation(
 ) -> DataFrame:
     """Correlation of daily returns for every pair of symbols sharing a day, with their number ``n``.
 
-    It is null for pairs that share fewer than ``min_days``.
+    It is null for pairs that share fewer than ``min_days``. Bars without a symbol are in no pair.
 
     The result grows with the square of the symbols: of very
     many, pass the ``chosen`` ones (column ``symbol``), and the others drop out first.
@@ -250,7 +250,7 @@ def chart_correlation(
     """
     if chosen is not None:
         bars = bars.join(chosen.select("symbol"), "symbol", "left_semi")
-    returns = daily_return(bars).where(F.col("ret").isNotNull())
+    returns = daily_return(bars).where(F.col("ret").isNotNull() & F.col("symbol").isNotNull())
     series = materialize(
         returns.groupBy("symbol")
         .agg(F.sort_array(F.collect_list(F.struct("trade_date", "ret"))).alias("s"))

@@ -147,6 +147,12 @@ def test_pairs_of_few_shared_days_have_n_and_no_correlation(make_bars):
     ]
 
 
+def test_bars_without_a_symbol_are_in_no_pair(make_bars):
+    rows = [(s, f"2024-01-{d:02d}", c, c, c, c, 1) for s in ["B", None, "A"] for d in range(1, 9) for c in [100 + d * d % 7 + len(s or "")]]
+    got = charts.chart_correlation(make_bars(rows).orderBy("trade_date")).collect()
+    assert [(r.symbol_a, r.symbol_b, r.n) for r in got] == [("A", "B", 7)]
+
+
 def test_correlation_of_a_flat_series_is_null(make_bars):
     rows = [("A", f"2024-01-{d:02d}", 1, 1, 1, 100, 1) for d in range(1, 8)]
     rows += [("B", f"2024-01-{d:02d}", 1, 1, 1, 100 + d * d, 1) for d in range(1, 8)]
